@@ -70,7 +70,7 @@ def padded(text: Column, length: int = PID_LENGTH) -> Column:
 def pid_list(text: Column) -> Column:
     """All parcel ids of a comma-separated list, padded; empty when there are none."""
     parts = F.filter(F.transform(F.split(text, ","), stripped), lambda p: p != "")
-    return F.coalesce(F.transform(parts, padded), F.array().cast("array<string>"))
+    return F.coalesce(F.transform(parts, lambda p: padded(p)), F.array().cast("array<string>"))
 
 
 def primary_pid(text: Column) -> Column:

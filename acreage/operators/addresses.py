@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.functions.text import filled, house_number
-from acreage.operators.spread import lookup_join, salted_join
+from acreage.operators.spread import fits_broadcast, lookup_join, salted_join
+from acreage.session import stored
 
 # Fixed value: a match must score above this.
 SCORE_MINIMUM = 60
@@ -61,9 +62,10 @@ def match_addresses(addresses: DataFrame, civics: DataFrame, score_minimum: int
     names = known.withColumnRenamed("street", "their_street")
     left = rest.withColumn("mine", mine).withColumn("pair", F.explode("mine"))
     right = names.withColumn("theirs", theirs).withColumn("pair", F.explode("theirs"))
-    candidates = salted_join(left, right, on=["house", "community", "pair"], by=["street"]).where(
-        F.col("pair") == F.array_min(F.array_intersect("mine", "theirs"))
-    )
+    # a civic gives at most one row per letter pair of its street, so a small table stays small
+    candidates = salted_join(
+        left, right, on=["house", "community", "pair"], by=["street"], small=fits_broadcast(civics)
+    ).where(F.col("pair") == F.array_min(F.array_intersect("mine", "theirs")))
     scored = candidates.withColumn("score", _score(F.col("street"), F.col("their_street")))
     close = scored.where(F.col("score") > score_minimum).groupBy(*ADDRESS).agg(
         F.max_by(F.struct("score", "civic"), F.struct("score", -F.col("civic.CIV_ID"))).alias("best")
@@ -84,5 +86,5 @@ def geocode_addresses(permits: DataFrame, civics: DataFrame, score_minimum: int
         dict(zip(ADDRESS, address_key("Civic_Number", "Street_Name", "Community"), strict=True))
     )
     points = civics.select("CIV_ID", *address_key("FULL_CIVIC", "STR_NAME", "GSA_NAME"), "X", "Y")
-    matches = match_addresses(keyed, points, score_minimum)
-    return lookup_join(keyed, matches, ADDRESS).drop(*ADDRESS)
+    matches = stored(match_addresses(keyed, points, score_minimum))
+    return lookup_join(keyed, matches, ADDRESS, probe=True).drop(*ADDRESS)

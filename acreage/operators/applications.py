@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from acreage.functions.text import known, pid_list, primary_pid
 from acreage.operators.parcels import grid_edges, parcel_measures, parcel_point
-from acreage.operators.spread import lookup_join, salted_join
+from acreage.operators.spread import fits_broadcast, lookup_join, salted_join
+from acreage.session import stored
 
 KEY = "Planning_App_Num"
 
@@ -42,7 +43,8 @@ def dissolve_outline(
 
 def _edge_counts(applications: DataFrame, vertices: DataFrame, pid_field: str, key: str) -> DataFrame:
     listed = listed_parcels(applications, pid_field, key)
-    joined = salted_join(listed, grid_edges(vertices), on=["PID"], by=[key])
+    # a parcel has as many edges as vertices
+    joined = salted_join(listed, grid_edges(vertices), on=["PID"], by=[key], small=fits_broadcast(vertices))
     return joined.groupBy(key, "x0", "y0", "x1", "y1").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -59,7 +61,8 @@ def dissolve_area(applications: DataFrame, vertices: DataFrame, pid_field: str =
         )
     )
     listed = listed_parcels(applications, pid_field, key)
-    areas = lookup_join(listed, parcel_measures(vertices).select("PID", "area"), ["PID"], "inner")
+    measures = stored(parcel_measures(vertices).select("PID", "area"))
+    areas = lookup_join(listed, measures, ["PID"], "inner", probe=True)
     found = areas.groupBy(key).agg(F.sum("area").alias("area"), F.count(F.lit(1)).alias("pids_found"))
     return found.join(outline, key)
 
@@ -88,8 +91,8 @@ def locate_apps_polygon(
 def locate_apps_point(applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs") -> DataFrame:
     """Applications with the point of their first parcel."""
     rows = split_pid(applications, pid_field).withColumn("primary_pid", primary_pid(F.col(pid_field)))
-    points = parcel_point(vertices).select(F.col("PID").alias("primary_pid"), "x", "y")
-    placed = lookup_join(rows, points, ["primary_pid"])
+    points = stored(parcel_point(vertices)).select(F.col("PID").alias("primary_pid"), "x", "y")
+    placed = lookup_join(rows, points, ["primary_pid"], probe=True)
     return placed.select(
         *applications.columns,
         "primary_pid",

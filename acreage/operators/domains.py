@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreage.operators.spread import fits_broadcast, lookup_join, numbered
+from acreage.operators.spread import lookup_join, numbered
 
 # Types a new domain may have.
 DOMAIN_TYPES = ("TEXT", "SHORT", "LONG", "FLOAT", "DOUBLE", "DATE")
@@ -23,14 +23,14 @@ def _codes(domains: DataFrame, domain: str, code_column: str) -> DataFrame:
 
 def domain_decode(rows: DataFrame, domains: DataFrame, column: str, domain: str) -> DataFrame:
     """``rows`` with the description of the code in ``column``."""
-    return lookup_join(rows, _codes(domains, domain, column), [column], small=fits_broadcast(domains))
+    return lookup_join(rows, _codes(domains, domain, column), [column], probe=True)
 
 
 def domain_violations(rows: DataFrame, domains: DataFrame, column: str, domain: str) -> DataFrame:
     """Rows whose code is present but not in the domain."""
     coded = rows.where(F.col(column).isNotNull())
     codes = _codes(domains, domain, column).select(column)
-    return lookup_join(coded, codes, [column], "left_anti", small=fits_broadcast(domains))
+    return lookup_join(coded, codes, [column], "left_anti", probe=True)
 
 
 def subtype_domain_check(
@@ -45,8 +45,8 @@ def subtype_domain_check(
     codes = domains.groupBy("domain", F.col("code").alias(column)).agg(
         F.min("description").alias("description"), F.lit(True).alias("_valid")
     )
-    ruled = lookup_join(rows, rules, [subtype_column], small=fits_broadcast(subtypes))
-    checked = lookup_join(ruled, codes, ["domain", column], small=fits_broadcast(domains))
+    ruled = lookup_join(rows, rules, [subtype_column], probe=True)
+    checked = lookup_join(ruled, codes, ["domain", column], probe=True)
     return checked.withColumn(
         "check",
         F.when(F.col("domain").isNull(), "no_subtype")

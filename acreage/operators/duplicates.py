@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from acreage.functions.text import padded
 from acreage.operators.spread import first_per_key, lookup_join, rows_after_first
+from acreage.session import stored
 
 KEYS = ("Permit_Category", "Permit_Number")
 RELATED_COLUMNS = ("Permit_Category", "Permit_Number", "PID", "Occupancy_Type", "Active_Parcel")
@@ -42,9 +43,9 @@ def permits_extra_rows(permits: DataFrame, ties: Sequence[str], keys: Sequence[s
 
 def permits_repeated(permits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """All rows of permits that have more than one."""
-    counts = permits.groupBy(*keys).count()
+    counts = stored(permits.groupBy(*keys).count())
     repeated = counts.where("count > 1").select(*keys)
-    return lookup_join(permits, repeated, keys, "left_semi", counts=counts, null_safe=True)
+    return lookup_join(permits, repeated, keys, "left_semi", counts=counts, null_safe=True, probe=True)
 
 
 def permit_group_profile(permits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -84,13 +85,18 @@ def related_rows(permits: DataFrame, ties: Sequence[str], keys: Sequence[str] =
         F.bool_and(_active()).alias("all_active"),
         F.min_by(row, order).alias("first_row"),
     )
-    facts = profile.where("count > 1").select(
-        *keys,
-        (F.col("one_occupancy") & F.col("Permit_Number").isNotNull()).alias("ruled"),
-        "all_active",
-        F.when(F.col("one_occupancy") & F.col("all_active"), F.col("first_row")).alias("first_row"),
+    facts = stored(
+        profile.where("count > 1").select(
+            *keys,
+            "count",
+            (F.col("one_occupancy") & F.col("Permit_Number").isNotNull()).alias("ruled"),
+            "all_active",
+            F.when(F.col("one_occupancy") & F.col("all_active"), F.col("first_row")).alias("first_row"),
+        )
+    )
+    rows = lookup_join(
+        permits, facts.drop("count"), keys, "inner", counts=facts.select(*keys, "count"), null_safe=True, probe=True
     )
-    rows = lookup_join(permits, facts, keys, "inner", counts=profile.select(*keys, "count"), null_safe=True)
     removed = F.col("ruled") & F.when(F.col("all_active"), row.eqNullSafe(F.col("first_row"))).otherwise(_active())
     first = [*category, *(c for c in RELATED_COLUMNS if c not in category)]
     return rows.where(~removed).select(*(c for c in first if c in permits.columns))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from acreage.functions.text import filled
 from acreage.operators.spread import linked_rows, lookup_join
-from acreage.session import BLOCK_ROWS, setting
+from acreage.session import BLOCK_ROWS, setting, stored
 
 # Labels and headings of a form.
 NAME_LABELS = ("Feature Class Name", "Data Source Name")
@@ -62,7 +62,7 @@ def _ranked(rows: DataFrame, **more) -> DataFrame:
 
 
 def form_facts(rows: DataFrame) -> DataFrame:
-    """Name, shape and type of each form, its header row and where its field and domain sections lie."""
+    """Written once: name, shape and type of each form, its header row and where its field and domain sections lie."""
     label = F.regexp_replace("c0", "^:+|:+$", "")
     cells = [c for c in rows.columns if c.startswith("c")]
 
@@ -87,16 +87,15 @@ def form_facts(rows: DataFrame) -> DataFrame:
     )
     shaped = (F.upper("feature_type") == "FEATURE CLASS") & ~F.upper("shape").isin("POINT", "NOT APPLICABLE")
     last = F.when(shaped, F.col("_last_shape")).otherwise(F.col("_last"))
-    return facts.withColumn("last_row", F.coalesce(last, F.col("domain_row") - 1, F.col("_end"))).drop(
-        "_last", "_last_shape", "_end"
-    )
+    ends = F.coalesce(last, F.col("domain_row") - 1, F.col("_end"))
+    return stored(facts.withColumn("last_row", ends).drop("_last", "_last_shape", "_end"))
 
 
 def _fields(rows: DataFrame, facts: DataFrame) -> DataFrame:
     """One row per field, its cells under the names in the form's header row."""
     cells = [c for c in rows.columns if c.startswith("c")]
     needed = facts.select("form_id", "header_row", "last_row", "header")
-    placed = lookup_join(rows, needed, ["form_id"], "inner", counts=facts.select("form_id", "count"))
+    placed = lookup_join(rows, needed, ["form_id"], "inner", counts=facts.select("form_id", "count"), probe=True)
     fields = placed.where((F.col("row_no") > F.col("header_row")) & (F.col("row_no") <= F.col("last_row")))
     pairs = F.filter(F.arrays_zip(F.col("header").alias("k"), F.array(*cells).alias("v")), lambda p: p["k"].isNotNull())
     named = fields.withColumn("cell", F.map_from_entries(pairs))
@@ -208,13 +207,12 @@ def domain_blocks(cells: DataFrame) -> DataFrame:
     rows = form_rows(cells)
     facts = form_facts(rows)
     sections = facts.select("form_id", "domain_row")
-    placed = lookup_join(rows, sections, ["form_id"], "inner", counts=facts.select("form_id", "count"))
+    counts = facts.select("form_id", "count")
+    placed = lookup_join(rows, sections, ["form_id"], "inner", counts=counts, probe=True)
     inside = placed.where(F.col("row_no") > F.col("domain_row")).select("form_id", "row_no", "c0", "c1")
-    ahead = _ranked(inside).select("form_id", "row_no", "c0", "c1", F.upper("next.c0").alias("next_label"))
+    ahead = stored(_ranked(inside).select("form_id", "row_no", "c0", "c1", F.upper("next.c0").alias("next_label")))
     opens = F.coalesce(F.col("next_label") == CODE_HEADER, F.lit(False))
-    marked = _ranked(
-        ahead.withColumn("head", F.when(opens, F.col("row_no"))), running_max=F.col("head")
-    )
+    marked = stored(_ranked(ahead.withColumn("head", F.when(opens, F.col("row_no"))), running_max=F.col("head")))
     names = marked.where(F.col("head").isNotNull()).select(
         "form_id", F.col("row_no").alias("highest"), F.col("c1").alias("domain"), F.col("c0").alias("domain_field")
     )
@@ -224,7 +222,7 @@ def domain_blocks(cells: DataFrame) -> DataFrame:
         & (F.upper("c0") != CODE_HEADER)
         & F.col("c1").isNotNull()
     ).select("form_id", "highest", "row_no", F.col("c0").alias("code"), F.col("c1").alias("description"))
-    joined = lookup_join(codes, names, ["form_id", "highest"], "inner")
+    joined = lookup_join(codes, names, ["form_id", "highest"], "inner", probe=True)
     return joined.select(
         "form_id", "domain", "domain_field", "code", "description", (~F.col("domain").contains(" ")).alias("valid_name")
     )

@@ -9,7 +9,8 @@ from acreage.functions.text import padded
 from acreage.operators.addresses import ADDRESS, SCORE_MINIMUM, address_key, match_addresses
 from acreage.operators.cleaning import route
 from acreage.operators.parcels import parcel_point, street_points
-from acreage.operators.spread import first_per_key, fits_broadcast, lookup_join
+from acreage.operators.spread import first_per_key, lookup_join
+from acreage.session import stored
 
 
 def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID") -> DataFrame:
@@ -22,7 +23,7 @@ def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID"
     per_id = points.groupBy(id_field).agg(
         F.count(F.lit(1)).alias("n"), F.min("X").alias("X"), F.min("Y").alias("Y")
     )
-    single = lookup_join(permits, per_id.where("n = 1").select(id_field, "X", "Y"), [id_field], "inner")
+    single = lookup_join(permits, per_id.where("n = 1").select(id_field, "X", "Y"), [id_field], "inner", probe=True)
     repeated = per_id.where("n > 1").select(id_field)
     many = points.join(repeated, id_field, "left_semi")
     return single.unionByName(permits.join(many, id_field).select(*single.columns))
@@ -31,7 +32,7 @@ def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID"
 def civic_unjoined(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID") -> DataFrame:
     """Permits with an id that no civic has."""
     ids = civics.select(F.col("CIV_ID").alias(id_field)).distinct()
-    return lookup_join(permits.where(F.col(id_field).isNotNull()), ids, [id_field], "left_anti")
+    return lookup_join(permits.where(F.col(id_field).isNotNull()), ids, [id_field], "left_anti", probe=True)
 
 
 def retired_civic_join(
@@ -40,12 +41,16 @@ def retired_civic_join(
     """Permits without a civic, with the point of the retired civic of that id, null when there is none."""
     points = retired.select(F.col("CIV_ID").alias(id_field), "X", "Y")
     one_each = first_per_key(points, [id_field], [F.col("X"), F.col("Y")])
-    return lookup_join(civic_unjoined(permits, civics, id_field), one_each, [id_field])
+    return lookup_join(civic_unjoined(permits, civics, id_field), one_each, [id_field], probe=True)
 
 
 def pid_points(permits: DataFrame, points: DataFrame) -> DataFrame:
-    """Permits with the point of their parcel, and whether they are located, unlocated or without a parcel id."""
-    placed = lookup_join(permits.withColumn("PID", padded(F.col("PID"))), points.select("PID", "x", "y"), ["PID"])
+    """Permits with the point of their parcel, and whether they are located, unlocated or without a parcel id.
+
+    ``points`` is a stored table.
+    """
+    keyed = permits.withColumn("PID", padded(F.col("PID")))
+    placed = lookup_join(keyed, points.select("PID", "x", "y"), ["PID"], probe=True)
     return placed.withColumn(
         "status",
         F.when(F.col("PID").isNull(), "no_pid").when(F.col("x").isNull(), "pid_not_found").otherwise("located"),
@@ -55,7 +60,7 @@ def pid_points(permits: DataFrame, points: DataFrame) -> DataFrame:
 def street_segment_points(permits: DataFrame, segments: DataFrame, id_field: str = "HRM_ID") -> DataFrame:
     """Permits with the centroid of the street segment that has their id."""
     points = street_points(segments).withColumnRenamed("FDMID", id_field)
-    placed = lookup_join(permits, points, [id_field])
+    placed = lookup_join(permits, points, [id_field], probe=True)
     return placed.withColumn(
         "status",
         F.when(F.col(id_field).isNull(), "no_id").when(F.col("x").isNull(), "unlocated").otherwise("located"),
@@ -84,33 +89,28 @@ def locate_permits(
     A permit whose civic id is unknown is not tried in other ways. A permit whose address has no match falls
     through to its parcel. A permit with part of an address is reported, not dropped.
     """
-    rows = unique.withColumn("route", route(id_field)).withColumn("PID", padded(F.col("PID")))
+    columns = unique.columns
+    by_address = F.col("route") == "2_address"
+    keys = dict(zip(ADDRESS, address_key("Civic_Number", "Street_Name", "Community"), strict=True))
+    routed = unique.withColumn("route", route(id_field)).withColumn("PID", padded(F.col("PID")))
+    rows = unique = stored(routed.withColumns({name: F.when(by_address, key) for name, key in keys.items()}))
 
     by_id = civic_points(active, retired).select(
         F.col("CIV_ID").alias(id_field), F.col("X").alias("civic_x"), F.col("Y").alias("civic_y"), "source"
     )
-    small = fits_broadcast(active) and fits_broadcast(retired)
-    rows = lookup_join(rows, by_id, [id_field], small=small)
+    rows = lookup_join(rows, by_id, [id_field], counts=unique.groupBy(id_field).count(), probe=True)
 
-    by_address = F.col("route") == "2_address"
-    keys = dict(zip(ADDRESS, address_key("Civic_Number", "Street_Name", "Community"), strict=True))
-    rows = rows.withColumns({name: F.when(by_address, key) for name, key in keys.items()})
     civics = active.select("CIV_ID", *address_key("FULL_CIVIC", "STR_NAME", "GSA_NAME"), "X", "Y")
-    wanted = unique.where(route(id_field) == "2_address").select(
-        *address_key("Civic_Number", "Street_Name", "Community")
-    )
-    matches = match_addresses(wanted, civics, score_minimum)
-    rows = lookup_join(rows, matches, ADDRESS, counts=wanted.groupBy(*ADDRESS).count())
+    wanted = unique.where(by_address).select(*ADDRESS)
+    matches = stored(match_addresses(wanted, civics, score_minimum))
+    rows = lookup_join(rows, matches, ADDRESS, counts=wanted.groupBy(*ADDRESS).count(), probe=True)
 
     by_parcel = (F.col("route") == "3_pid") | (by_address & F.col("match_x").isNull())
     rows = rows.withColumn("parcel_key", F.when(by_parcel, F.col("PID")))
-    points = parcel_point(vertices).select(F.col("PID").alias("parcel_key"), "x", "y")
-    counts = (
-        unique.where(route(id_field).isin("2_address", "3_pid"))
-        .groupBy(padded(F.col("PID")).alias("parcel_key"))
-        .count()
-    )
-    rows = lookup_join(rows, points, ["parcel_key"], counts=counts)
+    points = stored(parcel_point(vertices)).select(F.col("PID").alias("parcel_key"), "x", "y")
+    placeable = unique.where(F.col("route").isin("2_address", "3_pid"))
+    counts = placeable.groupBy(F.col("PID").alias("parcel_key")).count()
+    rows = lookup_join(rows, points, ["parcel_key"], counts=counts, probe=True)
 
     method = (
         F.when(F.col("source").isNotNull(), F.substring("source", 3, 20))
@@ -125,7 +125,7 @@ def locate_permits(
         .otherwise("pid_not_found")
     )
     return rows.withColumn("method", method).select(
-        *unique.columns,
+        *columns,
         "route",
         "method",
         F.when(F.col("method").isNull(), reason).alias("reason"),

@@ -6,11 +6,11 @@ of full grid coordinates lose digits. Rings need not be closed; holes wind again
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.operators.spread import first_per_key, linked_rows, lookup_join
-from acreage.session import BLOCK_ROWS, setting
+from acreage.session import BLOCK_ROWS, setting, stored
 
 
 def first_parcels(vertices: DataFrame, object_id: str) -> DataFrame:
@@ -80,19 +80,21 @@ def parcel_centroid(vertices: DataFrame) -> DataFrame:
     return found.select("PID", (F.col("ox") + F.col("cx")).alias("x"), (F.col("oy") + F.col("cy")).alias("y"))
 
 
-def _crossing(height: str):
-    """Whether an edge crosses a height, and where."""
+def _crossing(height: str) -> tuple[Column, Column]:
+    """Whether an edge crosses a height, and where; null when it does not."""
     y0, y1, h = F.col("y0"), F.col("y1"), F.col(height)
-    return (y0 > h) != (y1 > h), F.col("x0") + (h - y0) * (F.col("x1") - F.col("x0")) / (y1 - y0)
+    crosses = (y0 > h) != (y1 > h)
+    return crosses, F.when(crosses, F.col("x0") + (h - y0) * (F.col("x1") - F.col("x0")) / (y1 - y0))
 
 
-def _tested(edge_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges with their parcel's measures, and per parcel the centroid test and the scan height.
+def _tested(edge_rows: DataFrame) -> DataFrame:
+    """Per parcel the centroid test and the scan height, with the measures they need.
 
     The scan height lies between the two vertex heights around the middle, so no vertex lies on it.
     """
-    found = measures_of(edge_rows)
-    joined = lookup_join(edge_rows.drop("ox", "oy"), found, ["PID"], "inner", counts=found.select("PID", "count"))
+    found = stored(measures_of(edge_rows))
+    counts = found.select("PID", "count")
+    joined = lookup_join(edge_rows.drop("ox", "oy"), found, ["PID"], "inner", counts=counts, probe=True)
     middle = (F.col("y_low") + F.col("y_high")) / 2
     crosses, at = _crossing("cy")
     tests = joined.groupBy("PID").agg(
@@ -101,17 +103,18 @@ def _tested(edge_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min(F.when(F.col("y0") > middle, F.col("y0"))).alias("above"),
         *(F.min(c).alias(c) for c in ("ox", "oy", "cx", "cy", "x_low", "x_high", "count")),
     )
-    return joined, tests.withColumn("scan", (F.col("below") + F.col("above")) / 2).drop("below", "above")
+    return tests.withColumn("scan", (F.col("below") + F.col("above")) / 2).drop("below", "above")
 
 
 def centroid_inside(vertices: DataFrame) -> DataFrame:
-    return _tested(edges(vertices))[1].select("PID", "inside")
+    return _tested(stored(edges(vertices))).select("PID", "inside")
 
 
-def _label_points(edge_rows: DataFrame, tests: DataFrame) -> DataFrame:
+def _label_points(edge_rows: DataFrame, tests: DataFrame, wanted: Column | None = None) -> DataFrame:
     """Middle of the widest inside span of each parcel's scan line, in the parcel's frame; the leftmost of equals."""
-    scans = tests.select("PID", "scan", "x_low", "x_high")
-    lines = lookup_join(edge_rows, scans, ["PID"], "inner", counts=edge_rows.groupBy("PID").count())
+    scans = (tests if wanted is None else tests.where(wanted)).select("PID", "scan", "x_low", "x_high")
+    counts = tests.select("PID", "count")
+    lines = lookup_join(edge_rows, scans, ["PID"], "inner", counts=counts, probe=True)
     crosses, at = _crossing("scan")
     cuts = lines.where(crosses).select("PID", "scan", at.alias("cut"), "x_low", "x_high", "ring", "seq")
     width = F.greatest(F.col("x_high") - F.col("x_low"), F.lit(1e-9))
@@ -126,8 +129,8 @@ def _label_points(edge_rows: DataFrame, tests: DataFrame) -> DataFrame:
 
 def parcel_label_point(vertices: DataFrame) -> DataFrame:
     """A point inside each parcel."""
-    rows = edges(vertices)
-    _, tests = _tested(rows)
+    rows = stored(edges(vertices))
+    tests = stored(_tested(rows))
     labels = _label_points(rows.drop("ox", "oy"), tests)
     origin = tests.select("PID", "ox", "oy")
     return labels.join(origin, "PID").select(
@@ -137,10 +140,9 @@ def parcel_label_point(vertices: DataFrame) -> DataFrame:
 
 def parcel_point(vertices: DataFrame) -> DataFrame:
     """Where a parcel is placed as a point: its centroid when that is inside, else its label point."""
-    rows = edges(vertices)
-    _, tests = _tested(rows)
-    outside = tests.where(~F.col("inside"))
-    labels = _label_points(rows.drop("ox", "oy"), outside)
+    rows = stored(edges(vertices))
+    tests = stored(_tested(rows))
+    labels = _label_points(rows.drop("ox", "oy"), tests, ~F.col("inside"))
     placed = tests.join(labels, "PID", "left")
     return placed.select(
         "PID",

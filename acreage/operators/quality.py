@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from acreage.functions.text import RELATIONSHIPS, SHORT_NAMES, renamed
 from acreage.operators.duplicates import KEYS
 from acreage.operators.spread import lookup_join
+from acreage.session import stored
 
 CATEGORY, PERMIT = KEYS
 
@@ -27,8 +28,8 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
 
 def permits_absent(source: DataFrame, *tables: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Source rows whose permit is in none of the tables."""
-    present = _union([t.select(*keys) for t in tables]).distinct()
-    return lookup_join(source, present, keys, "left_anti", null_safe=True)
+    present = stored(_union([t.select(*keys) for t in tables]).distinct())
+    return lookup_join(source, present, keys, "left_anti", null_safe=True, probe=True)
 
 
 def reconcile_counts(
@@ -51,11 +52,8 @@ def reconcile_counts(
 def load_missing_permits(source: DataFrame, loaded: DataFrame) -> DataFrame:
     """How many distinct permits of each category did not arrive."""
     permits = source.select(*KEYS).distinct()
-    return (
-        lookup_join(permits, loaded.select(*KEYS).distinct(), KEYS, null_safe=True, how="left_anti")
-        .groupBy(CATEGORY)
-        .agg(F.count(F.lit(1)).alias("n_missing"))
-    )
+    absent = permits_absent(permits, loaded)
+    return absent.groupBy(CATEGORY).agg(F.count(F.lit(1)).alias("n_missing"))
 
 
 def occupancy_missing_in_related(permits: DataFrame, related: DataFrame) -> DataFrame:
@@ -66,9 +64,11 @@ def occupancy_missing_in_related(permits: DataFrame, related: DataFrame) -> Data
 def multi_pid_no_occupancy(permits: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Rows without an occupancy of permits that have several parcels among such rows."""
     rows = permits.where(F.col("Occupancy_Type").isNull() & F.col("PID").isNotNull())
-    groups = rows.groupBy(*keys).agg(F.countDistinct("PID").alias("PID_Count"), F.count(F.lit(1)).alias("count"))
+    groups = stored(
+        rows.groupBy(*keys).agg(F.countDistinct("PID").alias("PID_Count"), F.count(F.lit(1)).alias("count"))
+    )
     several = groups.where("PID_Count > 1").select(*keys, "PID_Count")
-    return lookup_join(rows, several, keys, "inner", counts=groups.select(*keys, "count"))
+    return lookup_join(rows, several, keys, "inner", counts=groups.select(*keys, "count"), probe=True)
 
 
 def related_by_category(related: DataFrame) -> DataFrame:

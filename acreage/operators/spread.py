@@ -55,21 +55,21 @@ def lookup_join(
     how: str = "left",
     counts: DataFrame | None = None,
     null_safe: bool = False,
-    small: bool = False,
+    probe: bool = False,
 ) -> DataFrame:
     """Join ``left`` to a table with one row per key.
 
     Rows of heavy keys get their match from a broadcast of those keys' rows, at most ``HEAVY_KEYS`` of them.
     Together with rows without a key they are then spread over the shuffle by their input partition, so they
-    never meet in one task. ``counts`` may give the row count per key where it is already at hand. ``small``
-    says that ``right`` has passed ``fits_broadcast``; then there is no shuffle at all.
+    never meet in one task. ``counts`` may give the row count per key where it is already at hand. ``probe``
+    is for a ``right`` that is cheap to read: when it proves small enough it is broadcast whole.
     """
     on = list(on)
     values = [c for c in right.columns if c not in on]
     keyed = right.select(
         *(F.col(c).alias(f"_on_{c}") for c in on), F.struct(F.lit(1).alias("_is"), *values).alias("_found")
     )
-    if small:
+    if probe and fits_broadcast(right):
         joined = _drop_on(left.join(F.broadcast(keyed), _matches(left, keyed, on, null_safe), "left"), on)
     else:
         if counts is None:
@@ -105,13 +105,17 @@ def lookup_join(
     return joined.select(*left.columns, *(F.col(f"_found.{c}").alias(c) for c in values))
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str]) -> DataFrame:
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], small: bool = False
+) -> DataFrame:
     """Inner join to a table with many rows per key, for left rows that ``on`` and ``by`` tell apart.
 
     A heavy key of ``left`` is cut into shares by a hash of ``by``; the right rows of that key are repeated
-    once per share.
+    once per share. ``small`` says that ``right`` is known to fit a broadcast.
     """
     on, by = list(on), list(by)
+    if small:
+        return left.join(F.broadcast(right), on)
     heavy = F.broadcast(heavy_keys(left.groupBy(*on).count(), on))
     rows = left.join(heavy, on, "left").withColumn(
         "_slot", F.coalesce(F.pmod(F.xxhash64(*by), F.col("_shares")), F.lit(0)).cast("int")

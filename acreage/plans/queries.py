@@ -12,7 +12,7 @@ from acreage.functions.markup import without_tags
 from acreage.operators import addresses, cleaning, domains, duplicates, forms, locating, metadata, parcels, quality
 from acreage.operators import applications as apps
 from acreage.operators import syncing
-from acreage.session import fresh_folder
+from acreage.session import fresh_folder, stored
 from acreage.sources import sinks, tables
 from acreage.sources.stand_ins import stand_in, table
 
@@ -69,12 +69,6 @@ class _Inputs:
     def located(self) -> DataFrame:
         return locating.locate_permits(self.unique, self.active, self.retired, self.parcel_vertex)
 
-    def written(self, rows: DataFrame) -> DataFrame:
-        """``rows`` written to the shared folder, for results that several branches read."""
-        path = fresh_folder(self.spark, "table")
-        rows.write.parquet(path)
-        return self.spark.read.parquet(path)
-
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Coordinates rounded; the addition turns negative zero into zero."""
@@ -120,7 +114,7 @@ def load_guarded(spark, folder):
     """A load, an append, and a load of nothing, with the row counts before and after each."""
     located = _Inputs(spark, folder).located.where("method IS NOT NULL").select(*PERMIT, "method", "X", "Y")
     path = fresh_folder(spark, "load")
-    rows = _Inputs(spark, folder).written(located)
+    rows = stored(located)
     steps = [
         ("1_truncate", *sinks.load_guarded(rows, path)),
         ("2_append", *sinks.load_guarded(rows, path, truncate=False)),
@@ -164,7 +158,7 @@ def catalog_name_filter(spark, folder):
 @query
 def stage_counts(spark, folder):
     given = _Inputs(spark, folder)
-    located = given.written(given.located.select(*PERMIT, "method"))
+    located = stored(given.located.select(*PERMIT, "method"))
     return quality.stage_counts(
         {
             "source": given.permit_category,
@@ -260,7 +254,7 @@ def retired_civic_join(spark, folder):
 @query
 def pid_points(spark, folder):
     given = _Inputs(spark, folder)
-    rows = locating.pid_points(given.unique, parcels.parcel_point(given.parcel_vertex))
+    rows = locating.pid_points(given.unique, stored(parcels.parcel_point(given.parcel_vertex)))
     return _rounded(rows.select(*PERMIT, "PID", "status", "x", "y"), "x", "y")
 
 
@@ -315,7 +309,7 @@ def occupancy_missing_in_related(spark, folder):
 def missing_permits(spark, folder):
     """Permits that would be lost if partial addresses were neither placed nor reported."""
     given = _Inputs(spark, folder)
-    located = given.written(given.located.select(*PERMIT, "method", "reason"))
+    located = stored(given.located.select(*PERMIT, "method", "reason"))
     rows = quality.permits_absent(
         given.permit_category,
         located.where("method IS NOT NULL"),
@@ -402,7 +396,7 @@ def related_by_category(spark, folder):
 def reconcile_counts(spark, folder):
     """Counts per stage, with a published copy that predates the retired civics."""
     given = _Inputs(spark, folder)
-    located = given.written(given.located.select(*PERMIT, "method"))
+    located = stored(given.located.select(*PERMIT, "method"))
     rw = located.where("method IS NOT NULL")
     return quality.reconcile_counts(
         given.permit_category,

@@ -40,6 +40,17 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    For results that several branches need: they are computed once, survive the loss of executors, and come back
+    with column pruning and with a size that the optimizer knows.
+    """
+    path = fresh_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder, with its partitions and their row order fixed."""
     shared_folder(df.sparkSession)
