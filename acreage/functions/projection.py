@@ -47,9 +47,9 @@ def to_web_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     isometric = F.log(F.tan(F.lit(math.pi / 4) + conformal / 2))
     ecc = math.sqrt(_ECC2)
     latitude = conformal
-    for _ in range(5):
-        s = F.lit(ecc) * F.sin(latitude)
-        latitude = 2 * F.atan(F.exp(isometric + F.lit(ecc / 2) * F.log((1 + s) / (1 - s)))) - F.lit(math.pi / 2)
+    for _ in range(6):
+        shift = F.lit(ecc) * F.atanh(F.lit(ecc) * F.sin(latitude))
+        latitude = 2 * F.atan(F.exp(isometric + shift)) - F.lit(math.pi / 2)
     mercator_y = F.lit(SEMI_MAJOR) * F.log(F.tan(F.lit(math.pi / 4) + latitude / 2))
     return F.lit(SEMI_MAJOR) * longitude, mercator_y
 
@@ -60,6 +60,5 @@ def reprojected(points: DataFrame, x: str, y: str, source_system: str, target_co
         raise ValueError(f"not a valid source system: {source_system}")
     if target_code != TARGET_CODE:
         raise ValueError(f"no projection to {target_code}")
-    # stepwise columns keep the expression from growing with every step
     new_x, new_y = to_web_mercator(F.col(x), F.col(y))
     return points.withColumns({x: new_x, y: new_y})

@@ -122,6 +122,7 @@ def with_padded_pid(df: DataFrame) -> DataFrame:
 def related_table(unique: DataFrame, related: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Related rows and occupancy additions, without exact duplicates."""
     if "Occupancy_Type" in related.columns:
+        related = stored(related)
         related = related.unionByName(occupancy_additions(unique, related, keys))
     return with_padded_pid(related).dropDuplicates()
 

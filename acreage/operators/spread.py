@@ -89,7 +89,8 @@ def lookup_join(
             for name in on:
                 apart = apart | F.col(name).isNull()
         rows = rows.withColumn("_slot", F.when(apart, F.spark_partition_id() + 1).otherwise(0))
-        cold = keyed.withColumn("_cold", F.lit(0))
+        # always 0, but not a constant, so that the slot stays a join key and takes part in the shuffle
+        cold = keyed.withColumn("_cold", F.pmod(F.hash(*(f"_on_{c}" for c in on)), F.lit(1)))
         joined = _drop_on(
             rows.join(cold, _matches(rows, cold, on, null_safe) & (rows["_slot"] == cold["_cold"]), "left"), on
         ).withColumn("_found", F.when(F.col("_heavy").isNotNull(), F.col("_hot")).otherwise(F.col("_found")))

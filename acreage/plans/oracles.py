@@ -207,8 +207,9 @@ XY6 = "round(X, 6) + 0.0 AS X, round(Y, 6) + 0.0 AS Y"
 XY6_LOW = "round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y"
 IGNORED = "('OBJECTID', 'GLOBALID', 'SHAPE', 'SHAPE_AREA', 'SHAPE_LENGTH')"
 
-# Krüger series written out with its numeric coefficients; the latitude by its series in the conformal latitude
-_N = "0.0016792203946287192"
+# Krüger series with the third flattening and the eccentricity as numbers
+_N = "0.0016792203946287448"
+_E = "0.08181919104281579"
 _A1, _A2, _A3, _A4 = (
     "(n/2 - 2*n*n/3 + 37*n*n*n/96 - n*n*n*n/360)",
     "(n*n/48 + n*n*n/15 - 437*n*n*n*n/1440)",
@@ -216,6 +217,25 @@ _A1, _A2, _A3, _A4 = (
     "(4397*n*n*n*n/161280)",
 )
 
+
+
+def _latitude() -> str:
+    """Longitude and latitude of the civics, the latitude by repeated substitution."""
+    sql = f"""(
+        SELECT CIV_ID, atan2(sinh(e1), cos(x1)) AS lam, chi AS phi, asinh(tan(chi)) AS psi FROM (
+            SELECT *, asin(sin(x1) / cosh(e1)) AS chi FROM (
+                SELECT *, xi - {_A1}*sin(2*xi)*cosh(2*eta) - {_A2}*sin(4*xi)*cosh(4*eta)
+                             - {_A3}*sin(6*xi)*cosh(6*eta) - {_A4}*sin(8*xi)*cosh(8*eta) AS x1,
+                       eta - {_A1}*cos(2*xi)*sinh(2*eta) - {_A2}*cos(4*xi)*sinh(4*eta)
+                           - {_A3}*cos(6*xi)*sinh(6*eta) - {_A4}*cos(8*xi)*sinh(8*eta) AS e1
+                FROM (SELECT CIV_ID, n, Y / (0.9999 * r) AS xi, (X - 25500000.0) / (0.9999 * r) AS eta
+                      FROM (SELECT *, 6378137.0 / (1 + n) * (1 + n*n/4 + n*n*n*n/64) AS r
+                            FROM (SELECT *, cast({_N} AS double) AS n FROM fx_civic))))))"""
+    for _ in range(6):
+        sql = f"(SELECT CIV_ID, lam, psi, atan(sinh(psi + {_E} * atanh({_E} * sin(phi)))) AS phi FROM {sql})"
+    return sql
+
+
 _BODIES = {
     "scan_attributes": "SELECT vec_id, label FROM embeddings",
     "scan_csv_typed": f"""
@@ -301,7 +321,7 @@ _BODIES = {
     "locate_apps_polygon": """
         SELECT a.Planning_App_Num, a.PIDs,
                CASE WHEN a.PIDs IS NULL THEN 'no_pid' WHEN pids_found IS NULL THEN 'unlocated' ELSE 'located' END AS status,
-               coalesce(t.n, 0) AS pids_total, coalesce(pids_found, 0) AS pids_found,
+               cast(coalesce(t.n, 0) AS int) AS pids_total, coalesce(pids_found, 0) AS pids_found,
                round(area, 6) + 0.0 AS area, round(perimeter, 6) + 0.0 AS perimeter
         FROM fx_application a LEFT JOIN dissolved d ON a.Planning_App_Num = d.Planning_App_Num
         LEFT JOIN (SELECT Planning_App_Num, count(*) AS n FROM listed GROUP BY 1) t
@@ -359,11 +379,11 @@ _BODIES = {
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method <> 'retired_civic') AS ro,
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method IS NULL) AS failed,
                (SELECT count(*) FROM related r WHERE r.Permit_Category = s.Permit_Category) AS related,
-               0 AS missing_rw,
+               cast(0 AS bigint) AS missing_rw,
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method = 'retired_civic')
                    AS missing_ro
         FROM fx_permit_category s GROUP BY s.Permit_Category""",
-    "max_text_length": "SELECT Permit_Category, max(coalesce(length(Work_Description), 0)) AS max_length FROM clean GROUP BY 1",
+    "max_text_length": "SELECT Permit_Category, cast(max(coalesce(length(Work_Description), 0)) AS int) AS max_length FROM clean GROUP BY 1",
     "pid_coverage": """
         SELECT count(*) AS n_pids, count(*) FILTER (f) AS n_found, round(count(*) FILTER (f) / count(*), 6) AS ratio
         FROM (SELECT DISTINCT PID, PID IN (SELECT PID FROM fx_parcel_vertex) AS f FROM listed)""",
@@ -410,7 +430,7 @@ _BODIES = {
         SELECT domain, CASE WHEN domain IN ('LND_N_PROMO', 'LND_R_SMALL') THEN 'LONG' WHEN domain = 'LND_A_PROMO'
                THEN 'SHORT' ELSE 'TEXT' END AS field_type FROM new_domain""",
     "normalize_pids": f"""
-        SELECT Planning_App_Num, array_to_string(ids, '|') AS pids, len(ids) AS n_pids FROM (
+        SELECT Planning_App_Num, array_to_string(ids, '|') AS pids, cast(len(ids) AS int) AS n_pids FROM (
             SELECT Planning_App_Num, coalesce([{PADDED.format("trim(p)")} FOR p IN string_split(PIDs, ',')
                    IF trim(p) <> ''], []) AS ids FROM fx_application)""",
     "primary_pid": "SELECT Planning_App_Num, primary_pid FROM app_point",
@@ -448,19 +468,8 @@ _BODIES = {
     "parcel_measures": "SELECT PID, round(area, 6) + 0.0 AS area, round(perimeter, 6) + 0.0 AS perimeter FROM measure",
     "reproject_points": f"""
         SELECT CIV_ID, round(6378137.0 * (radians(-64.5) + lam), 3) + 0.0 AS X,
-               round(6378137.0 * (asinh(tan(phi))), 3) + 0.0 AS Y
-        FROM (SELECT CIV_ID, atan2(sinh(e1), cos(x1)) AS lam,
-                     chi + sin(2*chi) * (2*n - 2*n*n/3 - 2*n*n*n + 116*n*n*n*n/45)
-                         + sin(4*chi) * (7*n*n/3 - 8*n*n*n/5 - 227*n*n*n*n/45)
-                         + sin(6*chi) * (56*n*n*n/15 - 136*n*n*n*n/35) + sin(8*chi) * (4279*n*n*n*n/630) AS phi
-              FROM (SELECT *, asin(sin(x1) / cosh(e1)) AS chi
-                    FROM (SELECT *, xi - {_A1}*sin(2*xi)*cosh(2*eta) - {_A2}*sin(4*xi)*cosh(4*eta)
-                                       - {_A3}*sin(6*xi)*cosh(6*eta) - {_A4}*sin(8*xi)*cosh(8*eta) AS x1,
-                                 eta - {_A1}*cos(2*xi)*sinh(2*eta) - {_A2}*cos(4*xi)*sinh(4*eta)
-                                     - {_A3}*cos(6*xi)*sinh(6*eta) - {_A4}*cos(8*xi)*sinh(8*eta) AS e1
-                          FROM (SELECT CIV_ID, n, Y / (0.9999 * r) AS xi, (X - 25500000.0) / (0.9999 * r) AS eta
-                                FROM (SELECT *, 6378137.0 / (1 + n) * (1 + n*n/4 + n*n*n*n/64) AS r
-                                      FROM (SELECT *, cast({_N} AS double) AS n FROM fx_civic))))))""",
+               round(6378137.0 * asinh(tan(phi)), 3) + 0.0 AS Y
+        FROM {_latitude()}""",
     "spec_to_schema": f"""
         SELECT form_id, row_no, field_name, alias, spec_type,
                CASE spec_type WHEN 'TEXT' THEN 'string' WHEN 'FLOAT' THEN 'float' WHEN 'DOUBLE' THEN 'double'
@@ -502,7 +511,7 @@ _BODIES = {
                AS GlobalID
         FROM (SELECT *, sha256('LND_PPLC_Permit_Info|' || Permit_Category || '|' || Permit_Number) AS h FROM uniq)""",
     "length_violations": """
-        SELECT field, declared, count(*) FILTER (n > declared) AS n_too_long, coalesce(max(n), 0) AS longest FROM (
+        SELECT field, declared, count(*) FILTER (n > declared) AS n_too_long, cast(coalesce(max(n), 0) AS int) AS longest FROM (
             SELECT 'Work_Description' AS field, 30 AS declared, length(Work_Description) AS n FROM fx_permit_category
             UNION ALL SELECT 'Occupancy_Type', 8, length(Occupancy_Type) FROM fx_permit_category
             UNION ALL SELECT 'Street_Name', 10, length(Street_Name) FROM fx_permit_category

@@ -34,14 +34,20 @@ class _Inputs:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return stand_in(self.spark, self.folder, f"fx_{name}")
+        self.__dict__[name] = stand_in(self.spark, self.folder, f"fx_{name}")
+        return self.__dict__[name]
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.folder, name)
 
     @property
     def permits(self) -> DataFrame:
-        return cleaning.clean_permits(self.permit_category)
+        return self.__dict__.get("_shared") or cleaning.clean_permits(self.permit_category)
+
+    def shared(self) -> _Inputs:
+        """The same inputs with the permits, a join of five test tables, written once for several uses."""
+        self._shared = stored(self.permits)
+        return self
 
     @property
     def unique(self) -> DataFrame:
@@ -53,9 +59,7 @@ class _Inputs:
 
     @property
     def related_table(self) -> DataFrame:
-        permits = self.permits
-        unique = duplicates.permits_unique(permits, TIES)
-        return duplicates.related_table(unique, duplicates.related_rows(permits, TIES))
+        return duplicates.related_table(self.unique, self.related)
 
     @property
     def active(self) -> DataFrame:
@@ -157,7 +161,7 @@ def catalog_name_filter(spark, folder):
 
 @query
 def stage_counts(spark, folder):
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     located = stored(given.located.select(*PERMIT, "method"))
     return quality.stage_counts(
         {
@@ -294,13 +298,13 @@ def locate_apps_point(spark, folder):
 
 @query
 def occupancy_anti(spark, folder):
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     return duplicates.occupancy_additions(given.unique, given.related)
 
 
 @query
 def occupancy_missing_in_related(spark, folder):
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     rows = quality.occupancy_missing_in_related(given.permits, given.related)
     return rows.select(*PERMIT, "Occupancy_Type", "l_linenumber", "l_partkey")
 
@@ -308,7 +312,7 @@ def occupancy_missing_in_related(spark, folder):
 @query
 def missing_permits(spark, folder):
     """Permits that would be lost if partial addresses were neither placed nor reported."""
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     located = stored(given.located.select(*PERMIT, "method", "reason"))
     rows = quality.permits_absent(
         given.permit_category,
@@ -321,19 +325,19 @@ def missing_permits(spark, folder):
 
 @query
 def load_missing_permits(spark, folder):
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     return quality.load_missing_permits(given.permits, given.located.where("method IS NOT NULL"))
 
 
 @query
 def related_rollup(spark, folder):
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     return quality.related_rollup(given.located.where("method IS NOT NULL"), given.related_table)
 
 
 @query
 def related_orphans(spark, folder):
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     return quality.related_orphans(given.located.where("method IS NOT NULL"), given.related_table)
 
 
@@ -389,13 +393,13 @@ def permit_group_profile(spark, folder):
 
 @query
 def related_by_category(spark, folder):
-    return quality.related_by_category(_Inputs(spark, folder).related_table)
+    return quality.related_by_category(_Inputs(spark, folder).shared().related_table)
 
 
 @query
 def reconcile_counts(spark, folder):
     """Counts per stage, with a published copy that predates the retired civics."""
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     located = stored(given.located.select(*PERMIT, "method"))
     rw = located.where("method IS NOT NULL")
     return quality.reconcile_counts(
@@ -487,13 +491,13 @@ def domain_order(spark, folder):
 
 @query
 def related_table(spark, folder):
-    return _Inputs(spark, folder).related_table
+    return _Inputs(spark, folder).shared().related_table
 
 
 @query
 def split_duplicates(spark, folder):
     """Unique and related rows side by side."""
-    given = _Inputs(spark, folder)
+    given = _Inputs(spark, folder).shared()
     unique = given.unique.select(F.lit("unique").alias("part"), *duplicates.RELATED_COLUMNS)
     related = given.related.select(F.lit("related").alias("part"), *duplicates.RELATED_COLUMNS)
     return unique.unionByName(related)
@@ -501,7 +505,7 @@ def split_duplicates(spark, folder):
 
 @query
 def drop_duplicate_rows(spark, folder):
-    return duplicates.without_copies(duplicates.with_padded_pid(_Inputs(spark, folder).related))
+    return duplicates.without_copies(duplicates.with_padded_pid(_Inputs(spark, folder).shared().related))
 
 
 @query
