@@ -59,7 +59,7 @@ def not_nan(value: Column, kind) -> Column:
 
 def filled(text: Column) -> Column:
     """Null in place of blank text."""
-    return F.when(stripped(text) != "", text)
+    return F.when(text.rlike(r"(?U)\S"), text)
 
 
 def padded(text: Column, length: int = PID_LENGTH) -> Column:

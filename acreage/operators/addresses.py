@@ -50,7 +50,7 @@ def match_addresses(addresses: DataFrame, civics: DataFrame, score_minimum: int
     house number and community, and each candidate is scored at its first shared pair only. A lower score cannot
     use that rule and joins on house number and community alone.
     """
-    wanted = addresses.select(*ADDRESS).dropna().distinct()
+    wanted = stored(addresses.select(*ADDRESS).dropna().distinct())
     # one civic per address: copies of an address are one candidate, the lowest id standing for them
     known = civics.dropna(subset=ADDRESS).groupBy(*ADDRESS).agg(F.min(F.struct("CIV_ID", "X", "Y")).alias("civic"))
     exact = wanted.join(known, ADDRESS).select(*ADDRESS, F.lit(100).alias("score"), "civic")

@@ -9,24 +9,27 @@ from acreage.functions.text import padded
 from acreage.operators.addresses import ADDRESS, SCORE_MINIMUM, address_key, match_addresses
 from acreage.operators.cleaning import route
 from acreage.operators.parcels import parcel_point, street_points
-from acreage.operators.spread import first_per_key, lookup_join
+from acreage.operators.spread import first_per_key, fits_broadcast, lookup_join, salted_join
 from acreage.session import stored
 
 
 def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID") -> DataFrame:
     """Permits with the point of each civic that has their id; one row per pair, as civic ids may repeat.
 
-    The number of civics per id is settled before the join: ids with one civic take the balanced lookup, repeated
-    ids an ordinary join, whose output is as large as its pairs.
+    A small civic table is broadcast. Otherwise ids with one civic take the balanced lookup, and repeated ids a
+    join whose heavy keys are cut into shares; its output is as large as its pairs.
     """
     points = civics.select(F.col("CIV_ID").alias(id_field), "X", "Y")
+    if fits_broadcast(civics):
+        return permits.join(F.broadcast(points), id_field).select(*permits.columns, "X", "Y")
     per_id = points.groupBy(id_field).agg(
         F.count(F.lit(1)).alias("n"), F.min("X").alias("X"), F.min("Y").alias("Y")
     )
-    single = lookup_join(permits, per_id.where("n = 1").select(id_field, "X", "Y"), [id_field], "inner", probe=True)
+    single = lookup_join(permits, per_id.where("n = 1").select(id_field, "X", "Y"), [id_field], "inner")
     repeated = per_id.where("n > 1").select(id_field)
     many = points.join(repeated, id_field, "left_semi")
-    return single.unionByName(permits.join(many, id_field).select(*single.columns))
+    pairs = salted_join(permits, many, on=[id_field], by=permits.columns)
+    return single.unionByName(pairs.select(*single.columns))
 
 
 def civic_unjoined(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID") -> DataFrame:

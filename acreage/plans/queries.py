@@ -71,7 +71,8 @@ class _Inputs:
 
     @property
     def located(self) -> DataFrame:
-        return locating.locate_permits(self.unique, self.active, self.retired, self.parcel_vertex)
+        permits = self.unique.select(*PERMIT, "PID", "Civic_ID", "Civic_Number", "Street_Name", "Community")
+        return locating.locate_permits(permits, self.active, self.retired, self.parcel_vertex)
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
