@@ -82,9 +82,8 @@ def match_addresses(addresses: DataFrame, civics: DataFrame, score_minimum: int
 
 def geocode_addresses(permits: DataFrame, civics: DataFrame, score_minimum: int = SCORE_MINIMUM) -> DataFrame:
     """Permits with their match, null where there is none: no address, or no civic above the score."""
-    keyed = permits.withColumns(
-        dict(zip(ADDRESS, address_key("Civic_Number", "Street_Name", "Community"), strict=True))
-    )
+    keys = dict(zip(ADDRESS, address_key("Civic_Number", "Street_Name", "Community"), strict=True))
+    keyed = stored(permits.withColumns(keys))
     points = civics.select("CIV_ID", *address_key("FULL_CIVIC", "STR_NAME", "GSA_NAME"), "X", "Y")
     matches = stored(match_addresses(keyed, points, score_minimum))
     return lookup_join(keyed, matches, ADDRESS, probe=True).drop(*ADDRESS)

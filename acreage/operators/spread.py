@@ -15,13 +15,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acreage.session import BROADCAST_ROWS, HEAVY_KEYS, HEAVY_ROWS, checkpointed, setting
+from acreage.session import BROADCAST_BYTES, BROADCAST_ROWS, HEAVY_KEYS, HEAVY_ROWS, checkpointed, setting
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether ``df`` has few enough rows to broadcast; reads no more than that many rows of one literal."""
-    limit = setting(df.sparkSession, BROADCAST_ROWS)
-    return df.select(F.lit(1)).offset(limit).isEmpty()
+    """Whether ``df`` is small enough to broadcast, by rows and then by bytes.
+
+    The row check reads no more rows than the limit, and of those no column; only a table that passes it is
+    measured in bytes.
+    """
+    spark = df.sparkSession
+    if not df.select(F.lit(1)).offset(setting(spark, BROADCAST_ROWS)).isEmpty():
+        return False
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    return (df.agg(F.sum(width).alias("n")).first()["n"] or 0) <= setting(spark, BROADCAST_BYTES)
 
 
 def heavy_keys(counts: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -205,6 +205,10 @@ STEPS = {
 KEY = "Permit_Category, Permit_Number"
 XY6 = "round(X, 6) + 0.0 AS X, round(Y, 6) + 0.0 AS Y"
 XY6_LOW = "round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y"
+# the four entities of the pages; HTML reads them with and without the semicolon, the ampersand's own last
+UNESCAPED = "html"
+for _name, _character in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+    UNESCAPED = f"regexp_replace({UNESCAPED}, '&{_name};?', '{_character}', 'g')"
 IGNORED = "('OBJECTID', 'GLOBALID', 'SHAPE', 'SHAPE_AREA', 'SHAPE_LENGTH')"
 
 # Krüger series with the third flattening and the eccentricity as numbers
@@ -441,22 +445,19 @@ _BODIES = {
         FROM (SELECT Permit_Category, CASE Permit_Category WHEN 'Halifax_Water' THEN 'HW'
                      WHEN 'Land_Use_Approval' THEN 'LU_Approval' WHEN 'Public_Works_ROW' THEN 'PW_ROW'
                      ELSE Permit_Category END AS k FROM fx_permit_category) GROUP BY Permit_Category, k""",
-    # the pages use four entities
-    "strip_html": """
-        SELECT page_id, regexp_replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'),
-               '&quot;', '"'), '&amp;', '&'), '<[^<]+?>', '', 'g') AS text FROM pages""",
+    "strip_html": f"""
+        SELECT page_id, regexp_replace({UNESCAPED}, '<[^<]+?>', '', 'g') AS text FROM pages""",
     "tag_text": """
         SELECT doc_id, nullif(regexp_extract(xml, '<CreaDate>(.*?)</CreaDate>', 1), '') AS created,
                nullif(regexp_extract(xml, '<reviseDate>(.*?)</reviseDate>', 1), '') AS revised FROM fx_metadata""",
     "revise_date": """
         SELECT doc_id, regexp_replace(xml, '<reviseDate>.*?</reviseDate>', '<reviseDate>2024-05-17T00:00:00</reviseDate>')
                AS xml FROM fx_metadata""",
-    "metadata_records": """
+    "metadata_records": f"""
         SELECT replace(feature, 'GISDB.', '') AS FEATURE,
                coalesce(title, replace(feature, 'GISDB.ADM.', '') || ' (*NO TITLE in Metadata*)') AS TITLE,
                coalesce(html, '') AS DESCRIPTION,
-               coalesce(regexp_replace(replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'),
-               '&quot;', '"'), '&amp;', '&'), '<[^<]+?>', '', 'g'), '') AS DESCRIPTION_SANITIZED, '' AS SUMMARY,
+               coalesce(regexp_replace({UNESCAPED}, '<[^<]+?>', '', 'g'), '') AS DESCRIPTION_SANITIZED, '' AS SUMMARY,
                regexp_extract(xml, '<CreaDate>(.*?)</CreaDate>', 1) AS CREATION_DATE, '' AS PUBLICATION_DATE,
                regexp_extract(xml, '<reviseDate>(.*?)</reviseDate>', 1) AS REVISION_DATE
         FROM fx_metadata LEFT JOIN pages ON page_id = doc_id""",

@@ -274,7 +274,9 @@ def street_segment_points(spark, folder):
 @query
 def geocode_addresses(spark, folder):
     given = _Inputs(spark, folder)
-    rows = given.unique.where(cleaning.route() == "2_address")
+    rows = given.unique.where(cleaning.route() == "2_address").select(
+        *PERMIT, "Civic_Number", "Street_Name", "Community", "FORMATTEDADDRESS"
+    )
     placed = addresses.geocode_addresses(rows, given.active)
     return placed.select(*PERMIT, "FORMATTEDADDRESS", "match_id", "score")
 

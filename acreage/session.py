@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 HEAVY_ROWS = "spark.acreage.heavyRows", 1_000_000
 # At most this many keys are; every further key holds less than 1 / HEAVY_KEYS of the rows.
 HEAVY_KEYS = 2_000
-# A table is broadcast only when it is known to have no more rows than this.
+# A table is broadcast only when it is known to have no more rows and bytes than this.
 BROADCAST_ROWS = "spark.acreage.broadcastRows", 50_000
+BROADCAST_BYTES = "spark.acreage.broadcastBytes", 32 << 20
 # Rows of one key that share a block in the two-level windows.
 BLOCK_ROWS = "spark.acreage.blockRows", 4_096
 

@@ -327,6 +327,11 @@ def test_cleaning(spark):
     assert cleaning.pruned(got, "Public_Works_ROW").columns == [c for c in got.columns if "Inspection" not in c]
 
 
+def test_one_id_column_for_both_kinds(spark):
+    df = spark.createDataFrame([("a", 1)], "Permit_Number string, HRM_ID int")
+    assert tuple(cleaning.with_locator_id(df, "HRM_ID").first()) == ("a", 1, "street_segment")
+
+
 def test_address_line(spark):
     df = spark.createDataFrame([("12 A", "Elm St", "Town")], "a string, b string, c string")
     line = t.address_line(F.col("a"), F.col("b"), F.col("c"))

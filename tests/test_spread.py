@@ -111,3 +111,13 @@ def test_numbered(spark):
 def test_fits_broadcast(crowded):
     assert not fits_broadcast(crowded.range(1))
     assert fits_broadcast(crowded.range(0))
+
+
+def test_fits_broadcast_counts_bytes(spark):
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"))
+    assert fits_broadcast(wide)
+    spark.conf.set("spark.acreage.broadcastBytes", "5000")
+    try:
+        assert not fits_broadcast(wide)
+    finally:
+        spark.conf.unset("spark.acreage.broadcastBytes")
