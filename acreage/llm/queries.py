@@ -5,11 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import packing, rans
+from acreage.llm import chat, packing, rans, urls
 from acreage.llm.common import table
 from acreage.session import fresh_folder
 
 
+# The rules on hosts and paths.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.lit("</s>[INST] ok [/INST]")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        said.alias("text"),
+    )
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    made = chat.examples(chats.unionByName(extra))
+    turns = chat.turns_of(F.col("text"))
+    said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    read = made.select(
+        "conv_id",
+        F.when(F.col("last"), F.struct(F.size(turns).alias("n"), F.sha2(said, 256).alias("sha"))).alias("whole"),
+        F.struct("example", chat.trained_text(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("text")).alias("reply"),
+        F.length("text").alias("chars"),
+    )
+    trained = F.array_join(F.transform(F.sort_array(F.collect_list("reply")), lambda r: r["text"]), "")
+    return (
+        read.groupBy("conv_id")
+        .agg(F.max("whole").alias("whole"), trained.alias("trained"), F.sum("chars").alias("formatted_chars"))
+        .select(
+            "conv_id",
+            F.col("whole.n").cast("bigint").alias("n_turns"),
+            F.col("whole.sha").alias("turns_sha256"),
+            F.length("trained").cast("bigint").alias("loss_chars"),
+            F.sha2("trained", 256).alias("loss_sha256"),
+            "formatted_chars",
+        )
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
@@ -21,8 +64,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 REGISTRY = {
+    "op6_chat": op6_chat,
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
+    "op10_urls": op10_urls,
 }
 ORACLES: dict[str, str] = {}
