@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import chat, packing, rans, urls
+from acreage.llm import chat, packing, rans, rules, urls
 from acreage.llm.common import table
 from acreage.session import fresh_folder
 
@@ -53,6 +53,13 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents")).drop("ids")
 
@@ -70,6 +77,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op6_chat": op6_chat,
+    "op7_rules": op7_rules,
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_urls": op10_urls,
