@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ CACHE_WORDS = 400_000
 # Longer words are encoded each time, so that the cache has a bound in bytes.
 CACHE_LENGTH = 64
 END_ID = 1
+# No apostrophe, which may begin a piece with letters, and no character that ends a special token.
+_MARKS = b"!#$%&*.,:;?)-"
 
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
@@ -40,6 +43,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
+        self.code = "H" if self.dtype == "<u2" else "I"
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -52,29 +56,49 @@ class WordEncoder:
 
     def encode(self, text: bytes) -> bytes:
         words = text.split()
-        young = self.young
-        missing = [w for w in dict.fromkeys(words) if w not in young]
-        own: dict[bytes, bytes] = {}
+        coded = list(map(self.young.get, words))
+        if None in coded:
+            new = self._learned({w for w, ids in zip(words, coded) if ids is None})
+            coded = [new[w] if ids is None else ids for w, ids in zip(words, coded)]
+            if len(self.young) > CACHE_WORDS:
+                self.old, self.young = self.young, {}
+        return b"".join(coded)
+
+    def _learned(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of words that the young generation lacks, which it gets.
+
+        ASCII marks behind an ASCII letter or digit are pieces of their own, and ASCII letters are lower-cased by the
+        tokenizer, so "Word," is the ids of "word" and of ",".
+        """
+        known, plan, missing = {}, [], set()
+        for word in words:
+            ids = self.old.get(word)
+            if ids is not None:
+                known[word] = ids
+                continue
+            base = word.rstrip(_MARKS)
+            if base[-1:].isalnum():
+                stem, tail = (base.lower() if base.isalnum() else base), word[len(base) :]
+            else:
+                stem, tail = word, b""
+            plan.append((word, stem, tail))
+            for part in (stem, tail):
+                if part not in known:
+                    ids = self.young.get(part) or self.old.get(part) if part else b""
+                    if ids is None:
+                        missing.add(part)
+                    else:
+                        known[part] = ids
         if missing:
-            new = []
-            for w in missing:
-                known = self.old.get(w)
-                if known is None:
-                    new.append(w)
-                else:
-                    young[w] = known
-            if new:
-                coded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                for w, piece in zip(new, coded):
-                    ids = np.array(piece.ids, dtype=self.dtype).tobytes()
-                    (young if len(w) <= CACHE_LENGTH else own)[w] = ids
-        if own:
-            ids = b"".join([young[w] if w in young else own[w] for w in words])
-        else:
-            ids = b"".join(map(young.__getitem__, words))
-        if len(young) > CACHE_WORDS:
-            self.old, self.young = young, {}
-        return ids
+            parts = list(missing)
+            texts = [p.decode("utf-8", "replace") for p in parts]
+            for part, piece in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                known[part] = array(self.code, piece.ids).tobytes()
+        for word, stem, tail in plan:
+            if tail or stem is not word:
+                known[word] = known[stem] + known[tail]
+        self.young.update((w, ids) for w, ids in known.items() if len(w) <= CACHE_LENGTH)
+        return known
 
 
 def id_type(vocabulary: int) -> str:
