@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import chat, packing, rans, rules, urls
+from acreage.llm import chat, packing, rans, rules, secrets, urls
 from acreage.llm.common import table
 from acreage.session import fresh_folder
 
@@ -20,6 +20,18 @@ URL_RULES = [
 ]
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    written = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("</s>[INST] ok [/INST]")
     extra = spark.range(2).select(
@@ -76,6 +88,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op3_secrets": op3_secrets,
     "op6_chat": op6_chat,
     "op7_rules": op7_rules,
     "op8_packing": op8_packing,
