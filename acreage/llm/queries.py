@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import chat, packing, rans, rules, secrets, urls
+from acreage.llm import chat, decontaminate, packing, rans, rules, secrets, urls
 from acreage.llm.common import table
 from acreage.session import fresh_folder
 
@@ -32,6 +32,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("</s>[INST] ok [/INST]")
     extra = spark.range(2).select(
@@ -89,6 +93,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op3_secrets": op3_secrets,
+    "op4_decontaminate": op4_decontaminate,
     "op6_chat": op6_chat,
     "op7_rules": op7_rules,
     "op8_packing": op8_packing,
