@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -18,9 +19,17 @@ CACHE_WORDS = 400_000
 # Longer words are encoded each time, so that the cache has a bound in bytes.
 CACHE_LENGTH = 64
 END_ID = 1
+# Fixed value: the pieces of tokenizers that allow encoding by words.
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # No apostrophe, which may begin a piece with letters, and no character that ends a special token.
 _MARKS = b"!#$%&*.,:;?)-"
 
+# Letters below this are single composed characters, which composing leaves as they are.
+_COMPOSED = "\u0250"
+# Byte-level models write each byte as a visible character: Latin-1's own, and for the others the next from 256 on.
+_SHOWN = {b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()}
+_BYTE_LETTERS = {b: chr(b) if b in _SHOWN else chr(256 + k - sum(x < b for x in _SHOWN)) for k, b in enumerate(range(256))}
+
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -31,10 +40,10 @@ def default_tokenizer() -> str:
 
 
 class WordEncoder:
-    """Encodes texts word by word with a cache.
+    """Encodes texts, word by word with a cache where the tokenizer allows it.
 
-    The tokenizer splits at white space before anything else and joins no characters across it, so a text's ids are
-    the ids of its words (split at ASCII white space) in order. Ids are little-endian, two bytes each if all fit.
+    A tokenizer that drops white space and joins no characters across it gives a text the ids of its words (split
+    at ASCII white space) in order. Others encode whole texts. Ids are little-endian, two bytes each if all fit.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,6 +53,8 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype == "<u2" else "I"
+        self.model = self.tokenizer.model
+        self.by_words = _drops_spaces(json.loads(self.tokenizer.to_str()))
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -55,6 +66,9 @@ class WordEncoder:
         return _ENCODERS[path]
 
     def encode(self, text: bytes) -> bytes:
+        if not self.by_words:
+            whole = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+            return array(self.code, whole.ids).tobytes()
         words = text.split()
         coded = list(map(self.young.get, words))
         if None in coded:
@@ -89,9 +103,18 @@ class WordEncoder:
                         missing.add(part)
                     else:
                         known[part] = ids
-        if missing:
-            parts = list(missing)
-            texts = [p.decode("utf-8", "replace") for p in parts]
+        parts, texts, tokenize = [], [], self.model.tokenize
+        for part in missing:
+            text = part.decode("utf-8", "replace")
+            low = text.lower()
+            if low.isalpha() and max(low) < _COMPOSED:
+                # letters alone are one piece that the normaliser only lower-cases: straight to the merges
+                mapped = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                known[part] = array(self.code, [t.id for t in tokenize(mapped)]).tobytes()
+            else:
+                parts.append(part)
+                texts.append(text)
+        if texts:
             for part, piece in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
                 known[part] = array(self.code, piece.ids).tobytes()
         for word, stem, tail in plan:
@@ -101,6 +124,20 @@ class WordEncoder:
         return known
 
 
+def _drops_spaces(config: dict) -> bool:
+    """Whether the tokenizer is of the kind whose pieces are letters, digits or marks and never white space."""
+    splits = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
+    steps = [n.get("type") for n in (config.get("normalizer") or {}).get("normalizers") or []]
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and [x.get("type") for x in splits] == ["Split", "ByteLevel"]
+        and splits[0]["pattern"].get("Regex") == _PIECES
+        and (splits[0]["behavior"], splits[0]["invert"]) == ("Removed", True)
+        and not splits[1]["add_prefix_space"]
+        and config.get("post_processor") is None
+    )
+
+
 def id_type(vocabulary: int) -> str:
     return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
