@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import chat, decontaminate, packing, rans, rules, secrets, urls
-from acreage.llm.common import table
+from acreage.llm import chat, decontaminate, packing, quality, rans, rules, secrets, urls
+from acreage.llm.common import remainder, table
 from acreage.session import fresh_folder
 
 
@@ -20,6 +20,15 @@ URL_RULES = [
 ]
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, quality.without_held_out(table(spark, sf_dir, "labels")))
+    scored = docs.select(
+        "doc_id", (remainder(docs["doc_id"], 5) == 0).alias("held_out"), quality.score(docs, model).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= quality.THRESHOLD).cast("int"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     written = lambda s: F.array_join(F.transform(s, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
@@ -92,6 +101,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
     "op6_chat": op6_chat,
