@@ -3,7 +3,7 @@
 Two zstandard dictionaries are built from labelled text, one from good and one from bad documents. A text that is like
 the good ones gets shorter with the good dictionary than with the bad one. The difference of the two sizes, over the
 text's own size, becomes a probability by a logistic curve fitted to labelled documents that the dictionaries have not
-seen.
+seen. The curve also has a term for shortness, as a few words say little either way.
 
 Texts are compressed in pieces of ``PIECE`` bytes: in one long stream a text's own beginning would soon serve better
 than either dictionary. All pieces of a text count.
@@ -11,10 +11,10 @@ than either dictionary. All pieces of a text count.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
@@ -25,10 +25,11 @@ from acreage.llm.common import remainder, stored, text_bytes
 
 PIECE = 512
 LEVEL = 6
-# Bounds of what the model is fitted on: labelled documents per class whose pieces may enter a dictionary, pieces in a
-# dictionary, and labelled documents for the curve.
+# Bounds of what the model is fitted on: labelled documents per class whose lines may enter a dictionary, lines (or parts
+# of long lines) and bytes in a dictionary, and labelled documents for the curve.
 DICTIONARY_DOCUMENTS = 8_000
-DICTIONARY_PIECES = 900
+DICTIONARY_LINES = 4_000
+DICTIONARY_BYTES = 448 << 10
 CURVE_DOCUMENTS = 20_000
 # Differences are counted in steps of 1 / STEPS for the fit.
 STEPS = 2_000
@@ -46,8 +47,9 @@ def pieces_of(text: bytes) -> list[bytes]:
 class Model:
     good: bytes
     bad: bytes
-    slope: float = 0.0
     offset: float = 0.0
+    slope: float = 0.0
+    short: float = 0.0
 
 
 class Sizes:
@@ -84,33 +86,35 @@ def difference(docs: DataFrame, model: Model) -> Column:
     return measure(text_bytes())
 
 
-def _piece_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each document's different lines, long ones in pieces."""
     for batch in batches:
-        quality, texts = batch.column(0).to_pylist(), batch.column(1)
-        rows = [(q, p, xxhash.xxh64_intdigest(p) >> 1) for q, t in zip(quality, texts) for p in pieces_of(t.as_py()) if p]
+        rows = []
+        for quality, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            lines = {p for line in text.as_py().split(b"\n") for p in pieces_of(line.strip()) if p}
+            rows += [(quality, p, xxhash.xxh64_intdigest(p) >> 1) for p in sorted(lines)]
         columns = zip(*rows) if rows else ((), (), ())
         kinds = pa.int32(), pa.binary(), pa.int64()
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["quality", "piece", "key"])
-
-
-def logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Slope and offset of the curve for (value, label, count), by Newton's steps with a slight pull to zero."""
-    slope = offset = 0.0
-    for _ in range(50):
-        g0 = g1 = h00 = h01 = h11 = 0.0
-        for x, y, n in points:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, slope * x + offset))))
-            w = n * p * (1 - p)
-            g0, g1 = g0 + n * (y - p), g1 + n * (y - p) * x
-            h00, h01, h11 = h00 + w, h01 + w * x, h11 + w * x * x
-        g0, g1, h00, h11 = g0 - 1e-3 * offset, g1 - 1e-5 * slope, h00 + 1e-3, h11 + 1e-5
-        det = h00 * h11 - h01 * h01
-        d0, d1 = (h11 * g0 - h01 * g1) / det, (h00 * g1 - h01 * g0) / det
-        scale = min(1.0, 5.0 / max(abs(d0), 1e-9), 200.0 / max(abs(d1), 1e-9))
-        offset, slope = offset + scale * d0, slope + scale * d1
-        if abs(d0) < 1e-8 and abs(d1) < 1e-6:
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["quality", "line", "key"])
+
+
+def shortness(size: Column) -> Column:
+    return 1 / (1 + size / 100)
+
+
+def logistic(inputs: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weights of the curve, the constant first, by Newton's steps with a slight pull to zero."""
+    x = np.column_stack([np.ones(len(inputs)), inputs])
+    weights, pull = np.zeros(x.shape[1]), np.array([1e-3, 1e-5, 1e-3])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        gradient = x.T @ (counts * (labels - p)) - pull * weights
+        step = np.linalg.solve((x * (counts * p * (1 - p))[:, None]).T @ x + np.diag(pull), gradient)
+        step *= min(1.0, 5.0 / max(abs(step[0]), abs(step[1]) / 40, abs(step[2]), 1e-9))
+        weights = weights + step
+        if np.abs(step).max() < 1e-7:
             break
-    return slope, offset
+    return weights
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -133,24 +137,31 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     chosen = F.broadcast(chosen.union(least(marks.where("half = 1"), CURVE_DOCUMENTS)))
     texts = docs.select("doc_id", text_bytes().alias("text")).join(chosen, F.col("doc_id") == F.col("_id"))
     texts = stored(texts.select("quality", "half", "text"), "labelled-texts")
-    pieces = texts.where("half = 0").select("quality", "text").mapInArrow(_piece_rows, "quality int, piece binary, key bigint")
-    pieces = stored(pieces.dropDuplicates(["quality", "key"]), "dictionary-pieces")
+    lines = texts.where("half = 0").select("quality", "text").mapInArrow(_line_rows, "quality int, line binary, key bigint")
+    # a line that several documents share, such as a licence or a copied passage, says nothing of its document's quality
+    lines = lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first("quality").alias("quality"), F.first("line").alias("line"))
+    lines = stored(lines.where("n = 1"), "dictionary-lines")
     contents = []
     for label in (1, 0):
-        rows = pieces.where(F.col("quality") == label).orderBy("key").limit(DICTIONARY_PIECES).collect()
-        contents.append(b"".join(r["piece"] for r in rows))
+        rows = lines.where(F.col("quality") == label).orderBy("key").limit(DICTIONARY_LINES).collect()
+        contents.append(b"\n".join(r["line"] for r in rows)[:DICTIONARY_BYTES])
     model = Model(*contents)
     curve = texts.where("half = 1")
     step = F.round(difference(curve, model) * STEPS).cast("int")
-    counts = curve.select("quality", step.alias("step")).groupBy("quality", "step").count().orderBy("quality", "step").collect()
-    if len({r["quality"] for r in counts}) == 2:
-        model.slope, model.offset = logistic([(r["step"] / STEPS, r["quality"], r["count"]) for r in counts])
+    # one row per step of the difference, twentieth of shortness and label
+    short = F.round(shortness(F.octet_length("text")) * 20).cast("int")
+    counts = curve.select("quality", step.alias("step"), short.alias("short")).groupBy("quality", "step", "short").count()
+    rows = np.array(counts.orderBy("quality", "step", "short").collect(), dtype=float).reshape(-1, 4)
+    if len(set(rows[:, 0])) == 2:
+        fitted = logistic(rows[:, 1:3] / (STEPS, 20), rows[:, 0], rows[:, 3])
+        model.offset, model.slope, model.short = (float(w) for w in fitted)
     return model
 
 
 def score(docs: DataFrame, model: Model) -> Column:
     """The chance, from 0 to 1, that a text is good. It depends on the text alone; a null text counts as empty."""
-    return 1 / (1 + F.exp(-(model.slope * difference(docs, model) + model.offset)))
+    short = shortness(F.octet_length(text_bytes()))
+    return 1 / (1 + F.exp(-(model.slope * difference(docs, model) + model.short * short + model.offset)))
 
 
 def without_held_out(labels: DataFrame, folds: int = 5) -> DataFrame:
