@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreage.llm import chat, decontaminate, packing, quality, rans, rules, secrets, urls
+import corpus_pipeline
+from acreage.llm import chat, decontaminate, packing, quality, rans, rules, secrets, simhash, urls
 from acreage.llm.common import remainder, table
 from acreage.session import fresh_folder
 
@@ -20,6 +21,11 @@ URL_RULES = [
 ]
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.grouped(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, quality.without_held_out(table(spark, sf_dir, "labels")))
@@ -101,6 +107,7 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
@@ -109,5 +116,6 @@ REGISTRY = {
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_urls": op10_urls,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
