@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from acreage.llm import chat, decontaminate, packing, quality, rans, rules, secrets, simhash, urls
+from acreage.llm import chat, decontaminate, lm, packing, quality, rans, rules, secrets, simhash, urls
 from acreage.llm.common import remainder, table
 from acreage.session import fresh_folder
 
@@ -51,6 +51,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.scores(docs, remainder(docs["doc_id"], 7) == 2)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.lit("</s>[INST] ok [/INST]")
     extra = spark.range(2).select(
@@ -111,6 +116,7 @@ REGISTRY = {
     "op2_quality": op2_quality,
     "op3_secrets": op3_secrets,
     "op4_decontaminate": op4_decontaminate,
+    "op5_lm": op5_lm,
     "op6_chat": op6_chat,
     "op7_rules": op7_rules,
     "op8_packing": op8_packing,
