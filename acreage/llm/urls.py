@@ -21,7 +21,7 @@ THRESHOLD = 0.5
 # Rounds end when no more than this part of the seeds' weight still moves, and after this many in any case: what is
 # left then is less than DAMPING to that power.
 TOLERANCE = 1e-4
-ROUNDS = 30
+ROUNDS = 60
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 Rule = tuple[str, str, str]
