@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreage.functions.text import known, pid_list, primary_pid
-from acreage.operators.parcels import grid_edges, parcel_measures, parcel_point
+from acreage.operators.parcels import grid_edges, parcel_measures, parcel_point, wanted_parcels
 from acreage.operators.spread import fits_broadcast, lookup_join, salted_join
 from acreage.session import stored
 
@@ -43,8 +43,8 @@ def dissolve_outline(
 
 def _edge_counts(applications: DataFrame, vertices: DataFrame, pid_field: str, key: str) -> DataFrame:
     listed = listed_parcels(applications, pid_field, key)
-    # a parcel has as many edges as vertices
-    joined = salted_join(listed, grid_edges(vertices), on=["PID"], by=[key], small=fits_broadcast(vertices))
+    borders = stored(grid_edges(wanted_parcels(vertices, listed)))
+    joined = salted_join(listed, borders, on=["PID"], by=[key], small=fits_broadcast(borders))
     return joined.groupBy(key, "x0", "y0", "x1", "y1").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -61,7 +61,7 @@ def dissolve_area(applications: DataFrame, vertices: DataFrame, pid_field: str =
         )
     )
     listed = listed_parcels(applications, pid_field, key)
-    measures = stored(parcel_measures(vertices).select("PID", "area"))
+    measures = stored(parcel_measures(wanted_parcels(vertices, listed)).select("PID", "area"))
     areas = lookup_join(listed, measures, ["PID"], "inner", probe=True)
     found = areas.groupBy(key).agg(F.sum("area").alias("area"), F.count(F.lit(1)).alias("pids_found"))
     return found.join(outline, key)
@@ -91,7 +91,8 @@ def locate_apps_polygon(
 def locate_apps_point(applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs") -> DataFrame:
     """Applications with the point of their first parcel."""
     rows = split_pid(applications, pid_field).withColumn("primary_pid", primary_pid(F.col(pid_field)))
-    points = stored(parcel_point(vertices)).select(F.col("PID").alias("primary_pid"), "x", "y")
+    wanted = wanted_parcels(vertices, rows.select(F.col("primary_pid").alias("PID")))
+    points = stored(parcel_point(wanted)).select(F.col("PID").alias("primary_pid"), "x", "y")
     placed = lookup_join(rows, points, ["primary_pid"], probe=True)
     return placed.select(
         *applications.columns,
@@ -123,8 +124,8 @@ def pid_coverage(applications: DataFrame, parcels: DataFrame, pid_field: str = "
     )
 
 
-def application_failures(located: DataFrame) -> DataFrame:
+def application_failures(located: DataFrame, pid_field: str = "PIDs") -> DataFrame:
     """The report of applications without a place, one section per reason."""
     return located.where(F.col("status") != "located").select(
-        F.when(F.col("status") == "no_pid", "No_PID").otherwise("Unlocated_PID").alias("section"), KEY, "PIDs"
+        F.when(F.col("status") == "no_pid", "No_PID").otherwise("Unlocated_PID").alias("section"), KEY, pid_field
     )

@@ -21,13 +21,22 @@ VALUE_COLUMNS = (
 INSPECTION_COLUMNS = ("Date_Inspection_Completed", "Most_Recent_Inspection")
 UNPUBLISHED = {
     "Building": (),
-    "Construction": VALUE_COLUMNS[1:],
+    "Construction": (
+        "Existing_Residential_Units",
+        "Total_End_Residential_Units",
+        "Building_Footprint_Area",
+        "Number_of_Storeys",
+    ),
     "Engineering": VALUE_COLUMNS,
     "Halifax_Water": VALUE_COLUMNS,
     "Land_Use_Approval": VALUE_COLUMNS + INSPECTION_COLUMNS,
     "Public_Works_ROW": VALUE_COLUMNS + INSPECTION_COLUMNS,
 }
 
+# The categories whose rows carry a street segment's id; the others carry a civic's.
+SEGMENT_CATEGORIES = ("Engineering", "Public_Works_ROW")
+SEGMENT_ID, CIVIC_ID = "HRM_ID", "Civic_ID"
+
 # Target column → source column.
 PLANNING_FIELDS = {
     "APP_NUM": "Planning_App_Num",
@@ -149,10 +158,20 @@ def pruned_values(permits: DataFrame, category: str = "Permit_Category") -> Data
     return permits
 
 
-def with_locator_id(permits: DataFrame, id_field: str) -> DataFrame:
-    """One id column whatever the source calls it, with its kind beside it."""
-    kind = "civic" if id_field == "Civic_ID" else "street_segment"
-    return permits.withColumnRenamed(id_field, "locator_id").withColumn("id_kind", F.lit(kind))
+def located_by(permits: DataFrame, category: str = "Permit_Category") -> DataFrame:
+    """``locator_id``, the id that a row's category goes by, and ``id_kind`` in place of the two id columns.
+
+    A table without one of the columns has null ids there.
+    """
+    held = [c for c in (CIVIC_ID, SEGMENT_ID) if c in permits.columns]
+    segment = F.coalesce(F.col(category).isin(*SEGMENT_CATEGORIES), F.lit(False))
+    value = lambda c: F.col(c).cast("bigint") if c in held else F.lit(None).cast("bigint")
+    return permits.withColumns(
+        {
+            "locator_id": F.when(segment, value(SEGMENT_ID)).otherwise(value(CIVIC_ID)),
+            "id_kind": F.when(segment, "street_segment").otherwise("civic"),
+        }
+    ).drop(*held)
 
 
 def field_mapped(source: DataFrame, target: StructType, fields: Mapping[str, str]) -> tuple[DataFrame, list[str]]:

@@ -76,30 +76,29 @@ def related_rows(permits: DataFrame, ties: Sequence[str], keys: Sequence[str] =
     if "Occupancy_Type" not in permits.columns:
         extra = permits_extra_rows(permits, ties, keys)
         return extra.select(*(c for c in RELATED_COLUMNS if c in extra.columns))
-    whole = [c for c in permits.columns if c not in keys]
-    row = F.struct(*whole)
-    order = F.struct("Active_Parcel", *ties)
     profile = permits.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("count"),
         (_several("PID") & ~_several("Occupancy_Type")).alias("one_occupancy"),
         F.bool_and(_active()).alias("all_active"),
-        F.min_by(row, order).alias("first_row"),
-    )
-    facts = stored(
-        profile.where("count > 1").select(
-            *keys,
-            "count",
-            (F.col("one_occupancy") & F.col("Permit_Number").isNotNull()).alias("ruled"),
-            "all_active",
-            F.when(F.col("one_occupancy") & F.col("all_active"), F.col("first_row")).alias("first_row"),
-        )
     )
+    facts = profile.where("count > 1").withColumn("ruled", F.col("one_occupancy") & F.col("Permit_Number").isNotNull())
+    facts = stored(facts.drop("one_occupancy"))
     rows = lookup_join(
         permits, facts.drop("count"), keys, "inner", counts=facts.select(*keys, "count"), null_safe=True, probe=True
     )
-    removed = F.col("ruled") & F.when(F.col("all_active"), row.eqNullSafe(F.col("first_row"))).otherwise(_active())
+    rows = stored(rows)
+    apart = F.col("ruled") & F.col("all_active")
+    # only here is a first row wanted, and Spark limits the pick to one row per permit before the shuffle
+    whole = [c for c in permits.columns if c not in keys]
+    ruled = rows.where(apart)
+    firsts = first_per_key(ruled, keys, [F.col(c).asc() for c in ("Active_Parcel", *ties)])
+    firsts = stored(firsts.select(*keys, F.struct(*whole).alias("first_row")))
+    counts = facts.where(apart).select(*keys, "count")
+    others = lookup_join(ruled, firsts, keys, counts=counts, null_safe=True, probe=True)
+    others = others.where(~F.struct(*whole).eqNullSafe(F.col("first_row"))).drop("first_row")
+    kept = rows.where(~apart & ~(F.col("ruled") & _active())).unionByName(others)
     first = [*category, *(c for c in RELATED_COLUMNS if c not in category)]
-    return rows.where(~removed).select(*(c for c in first if c in permits.columns))
+    return kept.select(*(c for c in first if c in permits.columns))
 
 
 def occupancy_additions(unique: DataFrame, related: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

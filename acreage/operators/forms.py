@@ -97,11 +97,11 @@ def _fields(rows: DataFrame, facts: DataFrame) -> DataFrame:
     needed = facts.select("form_id", "header_row", "last_row", "header")
     placed = lookup_join(rows, needed, ["form_id"], "inner", counts=facts.select("form_id", "count"), probe=True)
     fields = placed.where((F.col("row_no") > F.col("header_row")) & (F.col("row_no") <= F.col("last_row")))
-    pairs = F.filter(F.arrays_zip(F.col("header").alias("k"), F.array(*cells).alias("v")), lambda p: p["k"].isNotNull())
-    named = fields.withColumn("cell", F.map_from_entries(pairs))
+    named = fields.withColumn("pairs", F.arrays_zip(F.col("header").alias("k"), F.array(*cells).alias("v")))
 
     def cell(name: str) -> Column:
-        return F.element_at("cell", name)
+        """The cell under a heading, the first column's if the heading is repeated."""
+        return F.get(F.filter("pairs", lambda p: p["k"] == name), F.lit(0))["v"]
 
     kind = F.upper(F.trim(cell("Field Type")))
     return named.select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from acreage.functions.text import padded
 from acreage.operators.addresses import ADDRESS, SCORE_MINIMUM, address_key, match_addresses
 from acreage.operators.cleaning import route
-from acreage.operators.parcels import parcel_point, street_points
+from acreage.operators.parcels import parcel_point, street_points, wanted_parcels
 from acreage.operators.spread import first_per_key, fits_broadcast, lookup_join, salted_join
 from acreage.session import stored
 
@@ -108,10 +108,11 @@ def locate_permits(
     matches = stored(match_addresses(wanted, civics, score_minimum))
     rows = lookup_join(rows, matches, ADDRESS, counts=wanted.groupBy(*ADDRESS).count(), probe=True)
 
+    placeable = unique.where(F.col("route").isin("2_address", "3_pid"))
+    vertices = wanted_parcels(vertices, placeable)
     by_parcel = (F.col("route") == "3_pid") | (by_address & F.col("match_x").isNull())
     rows = rows.withColumn("parcel_key", F.when(by_parcel, F.col("PID")))
     points = stored(parcel_point(vertices)).select(F.col("PID").alias("parcel_key"), "x", "y")
-    placeable = unique.where(F.col("route").isin("2_address", "3_pid"))
     counts = placeable.groupBy(F.col("PID").alias("parcel_key")).count()
     rows = lookup_join(rows, points, ["parcel_key"], counts=counts, probe=True)
 

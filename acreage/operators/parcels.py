@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreage.operators.spread import first_per_key, linked_rows, lookup_join
+from acreage.operators.spread import linked_rows, lookup_join
 from acreage.session import BLOCK_ROWS, setting, stored
 
 
@@ -20,6 +20,11 @@ def first_parcels(vertices: DataFrame, object_id: str) -> DataFrame:
     return kept.where(F.col(object_id) == F.col("_lowest")).drop("_lowest", object_id)
 
 
+def wanted_parcels(vertices: DataFrame, pids: DataFrame) -> DataFrame:
+    """The vertices of the parcels named in ``pids``: no others need geometry."""
+    return vertices.join(pids.select("PID").where("PID IS NOT NULL").distinct(), "PID", "left_semi").select(*vertices.columns)
+
+
 def edges(vertices: DataFrame) -> DataFrame:
     """Edges in the parcel's own frame, with the frame's origin."""
     block = F.floor(F.col("seq") / setting(vertices.sparkSession, BLOCK_ROWS))
@@ -39,11 +44,14 @@ def edges(vertices: DataFrame) -> DataFrame:
 
 
 def grid_edges(vertices: DataFrame) -> DataFrame:
-    """Edges in grid coordinates, each with its lesser end first, so that neighbours' edges compare equal."""
+    """Edges in grid coordinates, each with its lesser end first, so that neighbours' edges compare equal.
+
+    A ring whose last vertex repeats the first has no edge of length zero there.
+    """
     block = F.floor(F.col("seq") / setting(vertices.sparkSession, BLOCK_ROWS))
     rows = linked_rows(vertices, ["PID", "ring"], block, ["seq"], ["x", "y"], wrap=True)
     here, there = F.struct("x", "y"), F.struct(F.col("next.x").alias("x"), F.col("next.y").alias("y"))
-    ends = rows.select("PID", F.least(here, there).alias("a"), F.greatest(here, there).alias("b"))
+    ends = rows.select("PID", F.least(here, there).alias("a"), F.greatest(here, there).alias("b")).where("a <> b")
     return ends.select(
         "PID", F.col("a.x").alias("x0"), F.col("a.y").alias("y0"), F.col("b.x").alias("x1"), F.col("b.y").alias("y1")
     )
@@ -114,11 +122,14 @@ def _label_points(edge_rows: DataFrame, tests: DataFrame, wanted: Column | None
     """Middle of the widest inside span of each parcel's scan line, in the parcel's frame; the leftmost of equals."""
     scans = (tests if wanted is None else tests.where(wanted)).select("PID", "scan", "x_low", "x_high")
     counts = tests.select("PID", "count")
+    # as many blocks as a parcel's edges ask for
+    size = setting(edge_rows.sparkSession, BLOCK_ROWS)
+    scans = scans.join(counts.select("PID", F.ceil(F.col("count") / size).alias("blocks")), "PID")
     lines = lookup_join(edge_rows, scans, ["PID"], "inner", counts=counts, probe=True)
     crosses, at = _crossing("scan")
-    cuts = lines.where(crosses).select("PID", "scan", at.alias("cut"), "x_low", "x_high", "ring", "seq")
+    cuts = lines.where(crosses).select("PID", "scan", at.alias("cut"), "x_low", "x_high", "blocks", "ring", "seq")
     width = F.greatest(F.col("x_high") - F.col("x_low"), F.lit(1e-9))
-    block = F.floor((F.col("cut") - F.col("x_low")) / width * 1024)
+    block = F.floor((F.col("cut") - F.col("x_low")) / width * F.col("blocks"))
     spans = linked_rows(cuts, ["PID"], block, ["cut", "ring", "seq"], ["scan"]).where("rank % 2 = 1")
     best = spans.groupBy("PID").agg(
         F.max(F.struct((F.col("next.cut") - F.col("cut")).alias("width"), (-F.col("cut")).alias("left"))).alias("best"),
@@ -169,7 +180,3 @@ def street_points(segments: DataFrame) -> DataFrame:
         F.when(F.col("n") > 0, F.col("my") / F.col("n")).otherwise(F.col("ay")).alias("y"),
     )
 
-
-def first_point(points: DataFrame, key: str, x: str, y: str) -> DataFrame:
-    """One point per key for tables whose key may repeat."""
-    return first_per_key(points, [key], [F.col(x), F.col(y)])

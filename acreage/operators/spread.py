@@ -3,8 +3,8 @@
 A plain window or join sends all rows of a key to one task. The operators here take three ways round that:
 
 * aggregates and first-row picks shrink each map task's rows before the shuffle;
-* ``lookup_join`` and ``salted_join`` treat the few heavy keys apart, the heavy keys being the most frequent
-  ones, counted exactly and limited in number, so that what is broadcast has a known bound;
+* ``lookup_join`` and ``salted_join`` treat heavy keys apart, those with ``heavyRows`` rows or more, counted exactly;
+  there are at most rows / ``heavyRows`` of them, and Spark broadcasts them only if their stored size is small;
 * numberings work in blocks or sorted ranges, and only one row per block goes on to the second level.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acreage.session import BROADCAST_BYTES, BROADCAST_ROWS, HEAVY_KEYS, HEAVY_ROWS, checkpointed, setting
+from acreage.session import BROADCAST_BYTES, BROADCAST_ROWS, HEAVY_ROWS, checkpointed, setting, stored
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -32,14 +32,9 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def heavy_keys(counts: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The keys with the most rows, from a table of keys and their ``count``."""
+    """All keys with many rows, from a table of keys and their ``count``, and into how many shares to cut each."""
     least = setting(counts.sparkSession, HEAVY_ROWS)
-    return (
-        counts.where(F.col("count") >= least)
-        .orderBy(F.col("count").desc(), *on)
-        .limit(HEAVY_KEYS)
-        .select(*on, F.ceil(F.col("count") / least).cast("int").alias("_shares"))
-    )
+    return counts.where(F.col("count") >= least).select(*on, F.ceil(F.col("count") / least).cast("int").alias("_shares"))
 
 
 def _matches(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool) -> Column:
@@ -66,9 +61,9 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` to a table with one row per key.
 
-    Rows of heavy keys get their match from a broadcast of those keys' rows, at most ``HEAVY_KEYS`` of them.
-    Together with rows without a key they are then spread over the shuffle by their input partition, so they
-    never meet in one task. ``counts`` may give the row count per key where it is already at hand. ``probe``
+    Rows of heavy keys get their match from those keys' rows alone, a broadcast where these are few. Together
+    with rows without a key they are then spread over the shuffle by their input partition, so they never meet in
+    one task. ``counts`` may give the row count per key where it is already at hand. ``probe``
     is for a ``right`` that is cheap to read: when it proves small enough it is broadcast whole.
     """
     on = list(on)
@@ -81,17 +76,19 @@ def lookup_join(
     else:
         if counts is None:
             counts = left.groupBy(*on).count()
-        heavy = F.broadcast(heavy_keys(counts, on).select(*(F.col(c).alias(f"_on_{c}") for c in on)))
-        renamed = keyed.select(*(F.col(f"_on_{c}").alias(c) for c in on), "_found")
-        hot = F.broadcast(
-            renamed.join(heavy, _matches(renamed, heavy, on, null_safe), "left_semi").select(
+        # stored tables have a known size, by which Spark broadcasts them or not
+        heavy = stored(heavy_keys(counts, on).select(*(F.col(c).alias(f"_on_{c}") for c in on)), "heavy-keys")
+        rows, apart, some = left, F.lit(False), not heavy.isEmpty()
+        if some:
+            renamed = keyed.select(*(F.col(f"_on_{c}").alias(c) for c in on), "_found")
+            hot = renamed.join(heavy, _matches(renamed, heavy, on, null_safe), "left_semi").select(
                 *(F.col(c).alias(f"_on_{c}") for c in on), F.col("_found").alias("_hot")
             )
-        )
-        flagged = heavy.withColumn("_heavy", F.lit(True))
-        rows = _drop_on(left.join(flagged, _matches(left, flagged, on, null_safe), "left"), on)
-        rows = _drop_on(rows.join(hot, _matches(rows, hot, on, null_safe), "left"), on)
-        apart = F.col("_heavy").isNotNull()
+            hot = stored(hot, "heavy-rows")
+            flagged = heavy.withColumn("_heavy", F.lit(True))
+            rows = _drop_on(left.join(flagged, _matches(left, flagged, on, null_safe), "left"), on)
+            rows = _drop_on(rows.join(hot, _matches(rows, hot, on, null_safe), "left"), on)
+            apart = F.col("_heavy").isNotNull()
         if not null_safe:
             for name in on:
                 apart = apart | F.col(name).isNull()
@@ -100,7 +97,9 @@ def lookup_join(
         cold = keyed.withColumn("_cold", F.pmod(F.hash(*(f"_on_{c}" for c in on)), F.lit(1)))
         joined = _drop_on(
             rows.join(cold, _matches(rows, cold, on, null_safe) & (rows["_slot"] == cold["_cold"]), "left"), on
-        ).withColumn("_found", F.when(F.col("_heavy").isNotNull(), F.col("_hot")).otherwise(F.col("_found")))
+        )
+        if some:
+            joined = joined.withColumn("_found", F.when(F.col("_heavy").isNotNull(), F.col("_hot")).otherwise(F.col("_found")))
     found = F.col("_found").isNotNull()
     if how in ("inner", "left_semi"):
         joined = joined.where(found)
@@ -124,7 +123,9 @@ def salted_join(
     on, by = list(on), list(by)
     if small:
         return left.join(F.broadcast(right), on)
-    heavy = F.broadcast(heavy_keys(left.groupBy(*on).count(), on))
+    heavy = stored(heavy_keys(left.groupBy(*on).count(), on), "heavy-keys")
+    if heavy.isEmpty():
+        return left.join(right, on)
     rows = left.join(heavy, on, "left").withColumn(
         "_slot", F.coalesce(F.pmod(F.xxhash64(*by), F.col("_shares")), F.lit(0)).cast("int")
     )
@@ -201,7 +202,8 @@ def linked_rows(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.max("_block_top").over(before).alias("_top_before"),
     )
-    return ranked.join(heads, part).select(
+    heads = heads.select(*(F.col(k).alias(f"_on_{k}") for k in part), *(c for c in heads.columns if c not in part))
+    return ranked.join(heads, _matches(ranked, heads, part, null_safe=True)).select(
         *df.columns,
         (F.col("_before") + F.col("_rank")).alias("rank"),
         F.coalesce("_next", "_follower").alias("next"),

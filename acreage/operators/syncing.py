@@ -12,6 +12,8 @@ from acreage.operators.spread import numbered
 
 # Fixed value: digits of a padded sequence number.
 SEQUENCE_DIGITS = 3
+# Fixed value: width of the columns for user names.
+USER_LENGTH = 32
 
 
 def _keyed(df: DataFrame, keys: Sequence[str], values: Sequence[str], name: str) -> DataFrame:
@@ -44,10 +46,13 @@ def sync_changes(rw: DataFrame, ro: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def synced(ro: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``ro`` after the changes."""
+    """``ro`` after the changes. Rows without a key are all replaced, as the changes delete each of them."""
     keys = list(keys)
-    stale = changes.select(*keys)
-    kept = ro.join(stale, keys, "left_anti")
+    stale = changes.where(F.col("change") != "insert").select(*(F.col(k).alias(f"_on_{k}") for k in keys)).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & ro[k].eqNullSafe(stale[f"_on_{k}"])
+    kept = ro.join(stale, same, "left_anti")
     return kept.unionByName(changes.where(F.col("change") != "delete").select(*ro.columns))
 
 
@@ -59,9 +64,12 @@ def out_of_sync_ids(rw: DataFrame, ro: DataFrame, keys: Sequence[str], id_field:
     return ours.join(theirs, keys).where(~F.col("rw_id").eqNullSafe(F.col("ro_id")))
 
 
-def stamp_audit(changes: DataFrame, user: str, at: Column) -> DataFrame:
-    """Changes with who made them and when; the creation columns only for inserts."""
-    who, when = F.lit(user).substr(1, 32), at
+def stamp_audit(changes: DataFrame, user: str, at: Column, user_length: int = USER_LENGTH) -> DataFrame:
+    """Changes with who made them and when; the creation columns only for inserts.
+
+    A user name longer than ``user_length``, the width of the source system's column, is cut.
+    """
+    who, when = F.lit(user).substr(1, user_length), at
     created = F.col("change") == "insert"
     touched = F.col("change").isin("insert", "update")
     return changes.withColumns(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from acreage.sources.stand_ins import STAND_INS, with_tables
 
+DATED = "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"
 TIES = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 TIES_DOWN = ", ".join(f"{c} DESC NULLS LAST" for c in TIES.split(", "))
 KEEP_ORDER = f"(Active_Parcel IS NULL) DESC, Active_Parcel DESC, {TIES_DOWN}"
@@ -223,6 +224,12 @@ _A1, _A2, _A3, _A4 = (
 
 
 
+def _field_map(fields: dict[str, str]) -> str:
+    held = {"Planning_App_Num", "Application_Name", "Application_Type", "App_Status", "PIDs"}
+    columns = {c: c for c in held} | {"Submitted_Date": "strftime(Submitted_Date, '%Y-%m-%d %H:%M:%S')"}
+    return "SELECT " + ", ".join(f"{columns.get(c, 'CAST(NULL AS varchar)')} AS {name}" for name, c in fields.items()) + " FROM fx_application"
+
+
 def _latitude() -> str:
     """Longitude and latitude of the civics, the latitude by repeated substitution."""
     sql = f"""(
@@ -244,7 +251,7 @@ _BODIES = {
     "scan_attributes": "SELECT vec_id, label FROM embeddings",
     "scan_csv_typed": f"""
         SELECT Permit_Category, Permit_Number, {PADDED.format("PID")} AS PID, Civic_Number, Civic_ID, l_linenumber,
-               l_partkey, l_suppkey, l_extendedprice FROM clean""",
+               l_partkey, l_suppkey, l_extendedprice, {DATED} AS l_shipdate FROM clean""",
     "form_cells": "SELECT * FROM fx_form_cell WHERE c0 IS NOT NULL",
     "failure_report": f"SELECT Permit_Category || '_Permits_fails' AS section, {KEY}, PID, reason FROM located WHERE method IS NULL",
     "application_failure_report": """
@@ -266,17 +273,13 @@ _BODIES = {
         SELECT DISTINCT feature FROM fx_metadata WHERE feature LIKE '%ADM%' AND NOT regexp_matches(feature,
         '(_SAP|_temp|_H)$|^AR_|SDE_VAT|SDEADM\.AR_|SDEADM\.SAP_|SDEADM\.TMP_|DirtyObjects')""",
     "stage_counts": "SELECT Permit_Category, stage, count(*) AS n FROM stage GROUP BY ALL",
-    "clean_permits": "SELECT * EXCLUDE (l_shipdate) FROM clean",
-    "apply_field_map": "SELECT Planning_App_Num AS APP_NUM, Application_Name AS APP_NAME, Application_Type AS APP_TYPE, "
-    + "App_Status AS APPSTATUS, PIDs AS PID, "
-    + ", ".join(
-        f"CAST(NULL AS varchar) AS {c}"
-        for c in (
-            "APPSCOPE ADAPPSCOPE SUBMITDATE COMPLEDATE DESCRIPACT LOCATION APPROVDATE FINDDATE MONMETDATE RECORDDATE "
-            "PLUSERNAME WEBURL GSA_NAME DIST_ID CURLANDUSE REGDESIG LOCDESIG PLAN_NAME ZONE"
-        ).split()
-    )
-    + " FROM fx_application",
+    "clean_permits": f"SELECT * REPLACE ({DATED} AS l_shipdate) FROM clean",
+    "apply_field_map": _field_map(PLANNING_FIELDS),
+    "apply_subdivision_map": _field_map(SUBDIVISION_FIELDS),
+    "locator_id": f"""
+        SELECT {KEY}, CASE WHEN Permit_Category IN ('Engineering', 'Public_Works_ROW') THEN l_suppkey ELSE Civic_ID END
+               AS locator_id, CASE WHEN Permit_Category IN ('Engineering', 'Public_Works_ROW') THEN 'street_segment' ELSE 'civic' END
+               AS id_kind FROM uniq""",
     "prune_by_category": f"""
         SELECT {KEY},
                CASE WHEN Permit_Category IN ('Building', 'Construction') THEN l_extendedprice END AS Estimated_Project_Value,
@@ -387,16 +390,17 @@ _BODIES = {
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method = 'retired_civic')
                    AS missing_ro
         FROM fx_permit_category s GROUP BY s.Permit_Category""",
-    "max_text_length": "SELECT Permit_Category, cast(max(coalesce(length(Work_Description), 0)) AS int) AS max_length FROM clean GROUP BY 1",
+    "max_text_length": "SELECT Permit_Category, cast(max(coalesce(length(Work_Description), 0)) AS int) AS max_length FROM fx_permit_category GROUP BY 1",
     "pid_coverage": """
         SELECT count(*) AS n_pids, count(*) FILTER (f) AS n_found, round(count(*) FILTER (f) / count(*), 6) AS ratio
         FROM (SELECT DISTINCT PID, PID IN (SELECT PID FROM fx_parcel_vertex) AS f FROM listed)""",
     "locate_summary": "SELECT App_Status, status, count(*) AS n FROM app_point GROUP BY ALL",
+    "first_parcels": "SELECT * FROM fx_parcel_vertex",
     "dissolve_outline": "SELECT Planning_App_Num, x0, y0, x1, y1 FROM app_edge WHERE n = 1",
     "dissolve_area": """
         SELECT Planning_App_Num, round(area, 6) + 0.0 AS area, pids_found, round(perimeter, 6) + 0.0 AS perimeter, n_edges,
                dissolve_check FROM dissolved""",
-    "permits_unique": "SELECT * EXCLUDE (l_shipdate) FROM uniq",
+    "permits_unique": f"SELECT * REPLACE ({DATED} AS l_shipdate) FROM uniq",
     "permits_repeated": f"SELECT {KEY}, PID, l_linenumber, l_partkey, l_suppkey FROM ranked WHERE n_rows > 1",
     "permits_extra_rows": f"SELECT {KEY}, PID, Active_Parcel, l_linenumber, l_partkey, l_suppkey FROM ranked WHERE rn > 1",
     "multi_pid_no_occupancy": f"""

@@ -80,6 +80,11 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns})
 
 
+def _dated(df: DataFrame, column: str = "l_shipdate") -> DataFrame:
+    """The date as text, which every engine writes alike."""
+    return df.withColumn(column, F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
+
+
 # --- scans and sinks ---
 
 
@@ -95,7 +100,7 @@ def scan_csv_typed(spark, folder):
     rows = rows.select(*PERMIT, "PID", "Civic_Number", "Civic_ID", *TIES)
     path = fresh_folder(spark, "csv")
     sinks.write_csv(rows, path)
-    return tables.scan_csv(spark, path, rows.schema).drop("l_shipdate")
+    return _dated(tables.scan_csv(spark, path, rows.schema))
 
 
 @query
@@ -180,17 +185,30 @@ def stage_counts(spark, folder):
 
 @query
 def clean_permits(spark, folder):
-    return _Inputs(spark, folder).permits.drop("l_shipdate")
+    return _dated(_Inputs(spark, folder).permits)
 
 
 @query
 def apply_field_map(spark, folder):
-    source = _Inputs(spark, folder).application.drop("Submitted_Date")
+    return _mapped(_Inputs(spark, folder).application, cleaning.PLANNING_FIELDS)
+
+
+@query
+def apply_subdivision_map(spark, folder):
+    return _mapped(_Inputs(spark, folder).application, cleaning.SUBDIVISION_FIELDS)
+
+
+def _mapped(source: DataFrame, fields: dict[str, str]) -> DataFrame:
     numeric = {"APP_NUM": T.LongType()}
-    target = T.StructType(
-        [T.StructField(c, numeric.get(c, T.StringType())) for c in cleaning.PLANNING_FIELDS if c != "PROPLANDUSE"]
-    )
-    return cleaning.field_mapped(source, target, cleaning.PLANNING_FIELDS)[0]
+    target = T.StructType([T.StructField(c, numeric.get(c, T.StringType())) for c in fields])
+    return cleaning.field_mapped(_dated(source, "Submitted_Date"), target, fields)[0]
+
+
+@query
+def locator_id(spark, folder):
+    """The categories' tables with one id column, whatever a category calls its own."""
+    rows = _Inputs(spark, folder).unique.select(*PERMIT, "Civic_ID", F.col("l_suppkey").alias("HRM_ID"))
+    return cleaning.located_by(rows)
 
 
 @query
@@ -416,7 +434,8 @@ def reconcile_counts(spark, folder):
 
 @query
 def max_text_length(spark, folder):
-    rows = _Inputs(spark, folder).permits
+    """How long descriptions are before they are cut."""
+    rows = _Inputs(spark, folder).permit_category
     return quality.max_text_length(rows, "Work_Description", ["Permit_Category"])
 
 
@@ -433,6 +452,14 @@ def locate_summary(spark, folder):
     return quality.locate_summary(placed, ["App_Status", "status"])
 
 
+@query
+def first_parcels(spark, folder):
+    """Two parcel rows with one id, of which the first is taken."""
+    rows = _Inputs(spark, folder).parcel_vertex
+    again = rows.withColumns({"x": F.col("x") + 7, "OBJECTID": F.lit(2)})
+    return parcels.first_parcels(again.unionByName(rows.withColumn("OBJECTID", F.lit(1))), "OBJECTID")
+
+
 @query
 def dissolve_outline(spark, folder):
     given = _Inputs(spark, folder)
@@ -450,7 +477,7 @@ def dissolve_area(spark, folder):
 
 @query
 def permits_unique(spark, folder):
-    return _Inputs(spark, folder).unique.drop("l_shipdate")
+    return _dated(_Inputs(spark, folder).unique)
 
 
 @query

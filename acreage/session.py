@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,8 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A key with at least this many rows is joined apart from the others.
 HEAVY_ROWS = "spark.acreage.heavyRows", 1_000_000
-# At most this many keys are; every further key holds less than 1 / HEAVY_KEYS of the rows.
-HEAVY_KEYS = 2_000
 # A table is broadcast only when it is known to have no more rows and bytes than this.
 BROADCAST_ROWS = "spark.acreage.broadcastRows", 50_000
 BROADCAST_BYTES = "spark.acreage.broadcastBytes", 32 << 20
@@ -24,12 +23,12 @@ def setting(spark: SparkSession, entry: tuple[str, int]) -> int:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one is made only in local mode, where none may be set."""
+    """The cluster's checkpoint folder; a temporary one is made only where driver and executors are one process."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="acreage-")
         context.setCheckpointDir(folder)

@@ -14,7 +14,9 @@ def stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None when there is none."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -23,6 +25,17 @@ def row_count(df: DataFrame | None) -> int:
     return 0 if df is None else df.count()
 
 
+def load(rows: DataFrame, path: str) -> tuple[int, int]:
+    """Replace a table's rows, by none if there are none; returns the row counts before and after."""
+    spark = rows.sparkSession
+    target = stored(spark, path)
+    before = row_count(target)
+    if target is not None:
+        rows = appended(empty_like(target), rows)
+    rows.write.mode("overwrite").parquet(path)
+    return before, row_count(stored(spark, path))
+
+
 def load_guarded(rows: DataFrame, path: str, truncate: bool = True) -> tuple[int, int]:
     """Load a table if there is anything to load; returns the row counts before and after."""
     spark = rows.sparkSession
@@ -61,8 +74,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_report(failed: DataFrame, path: str) -> bool:
-    """One folder of CSV files per section; sections without rows do not appear. False when there is nothing."""
-    if failed.isEmpty():
-        return False
+    """One folder of CSV files per section; sections without rows do not appear.
+
+    With nothing to report, False, an empty report takes the place of an earlier one.
+    """
     failed.write.mode("overwrite").partitionBy("section").option("header", True).csv(path)
-    return True
+    return not failed.isEmpty()

@@ -13,7 +13,7 @@ from acreage.operators import applications as apps
 from acreage.operators import syncing
 from acreage.plans import permits as jobs
 from acreage.plans.queries import TIES, _Inputs
-from acreage.session import fresh_folder
+from acreage.session import fresh_folder, stored
 from acreage.sources import sinks, tables
 
 
@@ -329,7 +329,10 @@ def test_cleaning(spark):
 
 def test_one_id_column_for_both_kinds(spark):
     df = spark.createDataFrame([("a", 1)], "Permit_Number string, HRM_ID int")
-    assert tuple(cleaning.with_locator_id(df, "HRM_ID").first()) == ("a", 1, "street_segment")
+    df = df.withColumn("Permit_Category", F.lit("Engineering"))
+    assert tuple(cleaning.located_by(df).first()) == ("a", "Engineering", 1, "street_segment")
+    df = df.withColumn("Permit_Category", F.lit("Building")).withColumn("Civic_ID", F.lit(5))
+    assert tuple(cleaning.located_by(df).first()) == ("a", "Building", 5, "civic")
 
 
 def test_address_line(spark):
@@ -387,15 +390,72 @@ def test_metadata_titles(spark):
 def test_whole_jobs(spark, folder):
     given = _Inputs(spark, folder)
     work, publish = fresh_folder(spark, "job"), fresh_folder(spark, "public")
-    inputs = jobs.PermitTables(given.permit_category, given.active, given.retired, given.parcel_vertex)
+    permits = stored(given.permit_category.withColumns({"HRM_ID": F.col("Civic_ID"), "Estimated_Project_Value": F.lit(1.0)}))
+    inputs = jobs.PermitTables(permits, given.active, given.retired, given.parcel_vertex)
     jobs.run_permits(inputs, TIES, work, publish)
-    loaded = spark.read.parquet(f"{publish}/permits")
+    loaded = {c: spark.read.parquet(f"{publish}/{jobs.permit_table(c)}") for c in cleaning.UNPUBLISHED}
     failed = spark.read.option("header", True).csv(f"{work}/failed_locates")
-    assert loaded.count() + failed.count() == given.unique.count()
+    assert sum(rows.count() for rows in loaded.values()) + failed.count() == given.unique.count()
+    for category, rows in loaded.items():
+        own, other = ("HRM_ID", "Civic_ID") if category in ("Engineering", "Public_Works_ROW") else ("Civic_ID", "HRM_ID")
+        assert own in rows.columns and other not in rows.columns and "GlobalID" in rows.columns
+        assert ("Estimated_Project_Value" in rows.columns) == (category in ("Building", "Construction"))
+        assert rows.where("route = '1_civic_id'").count() > 0
     assert "Building_Permits_fails" in {r["section"] for r in failed.select("section").distinct().collect()}
     assert spark.read.parquet(f"{publish}/permit_info").count() > 0
-    apps_folder = fresh_folder(spark, "job")
-    jobs.run_applications(given.application, given.parcel_vertex, apps_folder)
-    placed = spark.read.parquet(f"{apps_folder}/applications").count()
-    report = spark.read.option("header", True).csv(f"{apps_folder}/failed_locates").count()
-    assert placed + report == given.application.count()
+    # a run that places nothing leaves no permit and no old failure behind
+    jobs.run_permits(inputs._replace(permits=permits.where("false")), TIES, work, publish)
+    assert spark.read.parquet(f"{publish}/{jobs.permit_table('Building')}").count() == 0
+    assert not [r for r in spark.read.text(f"{work}/failed_locates").collect() if "Building" in str(r)]
+    apps_folder, apps_public = fresh_folder(spark, "job"), fresh_folder(spark, "public")
+    twice = given.parcel_vertex.withColumn("OBJECTID", F.lit(1))
+    twice = twice.unionByName(twice.withColumns({"x": F.col("x") + 7, "OBJECTID": F.lit(2)}))
+    sources = [
+        jobs.ApplicationSource("planning", given.application, cleaning.PLANNING_FIELDS),
+        jobs.ApplicationSource("subdivision", given.application.withColumnRenamed("PIDs", "PID_LIST"), {"APP_NUM": "Planning_App_Num"}, "PID_LIST"),
+    ]
+    spark.read.parquet(f"{publish}/permit_info").limit(0).selectExpr("1 AS APP_NUM", "0D AS area").write.parquet(f"{apps_public}/planning")
+    jobs.run_applications(sources, twice, apps_folder, apps_public)
+    for source in sources:
+        placed = spark.read.parquet(f"{apps_folder}/{source.name}")
+        report = spark.read.option("header", True).csv(f"{apps_folder}/{source.name}_failed_locates").count()
+        assert placed.count() + report == given.application.count() and placed.where("dissolve_check").count() == placed.count()
+    # the lenient copy serves only what is published already
+    copy = spark.read.parquet(f"{apps_public}/planning")
+    assert copy.columns == ["APP_NUM", "area"] and copy.count() == placed.count()
+    assert sinks.stored(spark, f"{apps_public}/subdivision") is None
+
+
+def test_closed_rings_have_no_edge_of_length_zero(spark):
+    square = lambda pid, x: [(pid, 0, k, x + dx, dy) for k, (dx, dy) in enumerate([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)])]
+    vertices = spark.createDataFrame(square("00000001", 0.0) + square("00000002", 1.0), "PID string, ring int, seq int, x double, y double")
+    found = spark.createDataFrame([(1, "1, 2")], "Planning_App_Num bigint, PIDs string")
+    row = apps.dissolve_area(found, vertices).first()
+    assert (row["area"], row["perimeter"], row["n_edges"], row["dissolve_check"]) == (2.0, 6.0, 6, True)
+
+
+def test_rows_without_a_ring_or_number_keep_their_edges(spark):
+    rows = [(None, 0, 0, 0.0, 0.0), (None, 0, 1, 1.0, 0.0), (None, 0, 2, 0.0, 1.0)]
+    vertices = spark.createDataFrame(rows, "PID string, ring int, seq int, x double, y double")
+    assert parcels.edges(vertices).count() == 3
+
+
+def test_synced_replaces_rows_without_a_key(spark):
+    rw = spark.createDataFrame([(1, "a"), (None, "new"), (3, "c")], "k int, v string")
+    ro = spark.createDataFrame([(1, "b"), (None, "old"), (2, "gone")], "k int, v string")
+    once = syncing.synced(ro, syncing.sync_changes(rw, ro, ["k"]), ["k"])
+    assert sorted(map(tuple, once.collect()), key=repr) == sorted(map(tuple, rw.collect()), key=repr)
+
+
+def test_repeated_heading_takes_the_first_column(spark):
+    cells = [(1, 1, "Feature Class Name:", "f", None), (1, 2, "Shape Type:", "Point", None), (1, 3, "Feature Type:", "Feature Class", None),
+             (1, 4, "Alias", "Field Name", "Field Name"), (1, 5, "A", "FIRST", "SECOND")]
+    df = spark.createDataFrame(cells, "form_id int, row_no int, c0 string, c1 string, c2 string")
+    assert [r["field_name"] for r in forms.spec_to_schema(df).collect()] == ["FIRST"]
+
+
+def test_report_without_failures_replaces_the_old_one(spark):
+    path = fresh_folder(spark, "report")
+    failed = spark.createDataFrame([("s", 1)], "section string, n int")
+    assert sinks.write_report(failed, path) and not sinks.write_report(failed.limit(0), path)
+    assert spark.read.text(path).count() == 0
