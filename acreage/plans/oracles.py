@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from acreage.operators.cleaning import PLANNING_FIELDS, SUBDIVISION_FIELDS
 from acreage.sources.stand_ins import STAND_INS, with_tables
 
 DATED = "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')"
