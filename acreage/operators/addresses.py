@@ -30,11 +30,16 @@ def address_key(number: str, street: str, community: str) -> list[Column]:
     ]
 
 
-def _pairs_of_letters(street: Column) -> Column:
-    """Adjacent letters of a street name, its start and end included."""
-    marked = F.concat(F.lit("^"), street, F.lit("$"))
-    at = F.sequence(F.lit(1), F.length(marked) - 1)
-    return F.array_sort(F.array_distinct(F.transform(at, lambda i: F.substring(marked, i, F.lit(2)))))
+def _grams(street: Column, score_minimum: int) -> Column:
+    """What two names with a score above the minimum share at least one of.
+
+    Every edit touches one letter and two pairs of adjacent letters, start and end marks included. Fewer edits than
+    half the longer name's letters leave a pair, and fewer edits than its letters leave a letter.
+    """
+    size = 2 if score_minimum >= 50 else 1
+    marked = F.concat(F.lit("^"), street, F.lit("$")) if size == 2 else street
+    at = F.sequence(F.lit(1), F.length(marked) - size + 1)
+    return F.array_sort(F.array_distinct(F.transform(at, lambda i: F.substring(marked, i, F.lit(size)))))
 
 
 def _score(one: Column, other: Column) -> Column:
@@ -45,27 +50,24 @@ def _score(one: Column, other: Column) -> Column:
 def match_addresses(addresses: DataFrame, civics: DataFrame, score_minimum: int = SCORE_MINIMUM) -> DataFrame:
     """The best civic above the score for each distinct address ``(house, street, community)``.
 
-    ``civics`` has ``CIV_ID, house, street, community, X, Y``. Names within half their length of each other share
-    at least one pair of adjacent letters, start and end marks included, so candidates join on such a pair beside
-    house number and community, and each candidate is scored at its first shared pair only. A lower score cannot
-    use that rule and joins on house number and community alone.
+    ``civics`` has ``CIV_ID, house, street, community, X, Y``. Candidates join on a pair of adjacent letters beside
+    house number and community (on a letter where the minimum is below 50), and each candidate is scored at its first
+    shared one only. ``score_minimum`` is 0 or more: names with nothing in common score 0 and match nothing.
     """
+    if score_minimum < 0:
+        raise ValueError("score_minimum must be 0 or more")
     wanted = stored(addresses.select(*ADDRESS).dropna().distinct())
     # one civic per address: copies of an address are one candidate, the lowest id standing for them
     known = civics.dropna(subset=ADDRESS).groupBy(*ADDRESS).agg(F.min(F.struct("CIV_ID", "X", "Y")).alias("civic"))
     exact = wanted.join(known, ADDRESS).select(*ADDRESS, F.lit(100).alias("score"), "civic")
     rest = wanted.join(known, ADDRESS, "left_anti")
-    if score_minimum >= 50:
-        mine, theirs = _pairs_of_letters(F.col("street")), _pairs_of_letters(F.col("their_street"))
-    else:
-        mine = theirs = F.array(F.lit(""))
-    names = known.withColumnRenamed("street", "their_street")
-    left = rest.withColumn("mine", mine).withColumn("pair", F.explode("mine"))
-    right = names.withColumn("theirs", theirs).withColumn("pair", F.explode("theirs"))
-    # a civic gives at most one row per letter pair of its street, so a small table stays small
+    left = rest.withColumn("gram", F.explode(_grams(F.col("street"), score_minimum)))
+    right = known.withColumnRenamed("street", "their_street")
+    right = stored(right.withColumn("gram", F.explode(_grams(F.col("their_street"), score_minimum))), "civic-grams")
+    shared = F.array_intersect(_grams(F.col("street"), score_minimum), _grams(F.col("their_street"), score_minimum))
     candidates = salted_join(
-        left, right, on=["house", "community", "pair"], by=["street"], small=fits_broadcast(civics)
-    ).where(F.col("pair") == F.array_min(F.array_intersect("mine", "theirs")))
+        left, right, on=["house", "community", "gram"], by=["street"], small=fits_broadcast(right)
+    ).where(F.col("gram") == F.array_min(shared))
     scored = candidates.withColumn("score", _score(F.col("street"), F.col("their_street")))
     close = scored.where(F.col("score") > score_minimum).groupBy(*ADDRESS).agg(
         F.max_by(F.struct("score", "civic"), F.struct("score", -F.col("civic.CIV_ID"))).alias("best")
