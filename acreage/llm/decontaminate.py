@@ -1,9 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
 A seed hashes the tokens at a mask's ones and ignores those at its zeros, so it still hits where an ignored token was
-replaced. Test seeds are joined to training seeds; around each hit the two texts are laid over each other, and the
-stretch that agrees best (a match counts 1, a substitution ``-PENALTY``) is a contamination if it is long and similar
-enough.
+replaced. Test seeds are joined to training seeds; around each hit the two texts are laid over each other, and any
+stretch that starts and ends with a match and is long and similar enough is a contamination. Of those the one with most
+matches is reported.
 
 The test items are the stated query set. Their index goes to all tasks in blocks of at most ``BLOCK_BYTES`` of text, one
 block at a time; a larger benchmark takes more passes over the documents, not a larger broadcast.
@@ -25,7 +25,6 @@ from acreage.llm.common import stored, text_bytes
 MASKS = ("11101100101", "11010011011", "10110101011")
 MIN_OVERLAP = 13
 MIN_SIMILARITY = 0.8
-PENALTY = 2
 BLOCK_BYTES = 16 << 20
 
 HITS = "array<struct<item:int,start:int,length:int,matched:int>>"
@@ -101,17 +100,24 @@ class Index:
         return list(best.values())
 
     def overlap(self, ids: np.ndarray, item: int, shift: int) -> dict[str, int] | None:
-        """The stretch of highest value where the item is laid at ``shift``, if it is a contamination."""
+        """The stretch with most matches, of all that are a contamination, where the item is laid at ``shift``."""
         own = self.items[item]
         low, high = max(0, -shift), min(len(own), len(ids) - shift)
         same = own[low:high] == ids[shift + low : shift + high]
-        value = np.concatenate([[0], np.cumsum(np.where(same, 1, -PENALTY))])
-        gain = value - np.minimum.accumulate(value)
-        end = int(np.argmax(gain))
-        start = end - int(np.argmin(value[: end + 1][::-1]))
-        size, matched = end - start, int(same[start:end].sum())
-        if size < MIN_OVERLAP or matched < MIN_SIMILARITY * size:
+        if len(same) < MIN_OVERLAP:
             return None
+        count = np.concatenate([[0], np.cumsum(same)])
+        # a stretch is similar enough if this does not fall from its start to its end
+        value = np.round(count - MIN_SIMILARITY * np.arange(len(count)), 6)
+        ends = np.flatnonzero(same) + 1
+        # the lowest value of the starts so far; for each end, the first start that is not above it
+        lowest = np.minimum.accumulate(np.where(same, value[:-1], np.inf))
+        starts = np.searchsorted(-lowest, -value[ends])
+        matches = np.where(ends - starts >= MIN_OVERLAP, count[ends] - count[np.minimum(starts, ends)], 0)
+        if not matches.any():
+            return None
+        k = int(np.argmax(matches))
+        start, size, matched = int(starts[k]), int(ends[k] - starts[k]), int(matches[k])
         return {"item": item, "start": shift + low + start, "length": size, "matched": matched}
 
 

@@ -345,6 +345,39 @@ def test_contaminations(spark, prose, odd_docs, no_docs, monkeypatch):
     assert decontaminate.contaminations(docs, benchmark.limit(0)).count() == 0
 
 
+def plain_overlap(same):
+    """The most matches of a stretch between matches that is long and similar enough, by trying all of them."""
+    best = 0
+    for a in range(len(same)):
+        for b in range(a + decontaminate.MIN_OVERLAP, len(same) + 1):
+            matched = sum(same[a:b])
+            if same[a] and same[b - 1] and 5 * matched >= 4 * (b - a):
+                best = max(best, matched)
+    return best
+
+
+def test_overlap_finds_every_stretch():
+    rng = random.Random(3)
+    words = [f"w{k}" for k in range(60)]
+    index = decontaminate.Index([" ".join(words).encode()])
+    for _ in range(300):
+        share = rng.choice([0.6, 0.7, 0.75, 0.8])
+        same = [rng.random() < share for _ in words]
+        at = rng.randrange(45)
+        same[at : at + rng.randrange(9, 15)] = [True] * 12
+        same = same[: len(words)]
+        ids = np.where(same, index.items[0][: len(same)], 0)
+        found = index.overlap(ids, 0, 0)
+        assert (found["matched"] if found else 0) == plain_overlap(same)
+        if found:
+            assert found["matched"] == sum(same[found["start"] : found["start"] + found["length"]])
+    # an exact run amid text that agrees less: a penalty of 2 grew over all of it and refused it
+    index = decontaminate.Index([" ".join(f"w{k}" for k in range(120)).encode()])
+    same = [k % 4 > 0 for k in range(120)]
+    same[50:70] = [True] * 20
+    assert index.overlap(np.where(same, index.items[0], 0), 0, 0)["matched"] >= 20
+
+
 # language model
 
 
