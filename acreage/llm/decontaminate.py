@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from acreage.llm.common import stored, text_bytes
 
-# Fixed masks, each of seven ones.
-MASKS = ("11101100101", "11010011011", "10110101011")
+# Fixed masks, each of six ones. Every placement of substitutions that the rule accepts in 13 to 25 tokens leaves one of
+# them whole; of a longer stretch that it accepts, one half is accepted too, so no stretch is missed.
+MASKS = ("1101111", "111010000011", "1101000111", "11110101")
 MIN_OVERLAP = 13
 MIN_SIMILARITY = 0.8
 BLOCK_BYTES = 16 << 20
@@ -32,7 +33,7 @@ _HIT = pa.struct([(n, pa.int32()) for n in ("item", "start", "length", "matched"
 # ASCII letters in lower case; ASCII characters that are neither letters nor digits separate tokens.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _OFFSETS = [np.flatnonzero([c == "1" for c in mask]) for mask in MASKS]
-_FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(7)], dtype=np.uint64)
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(6)], dtype=np.uint64)
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -89,9 +90,10 @@ class Index:
             if not len(at) or not len(hashes):
                 continue
             low, high = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
-            for k in np.flatnonzero(high > low):
-                for j in range(low[k], high[k]):
-                    laid.add((int(items[j]), int(at[k] - places[j])))
+            times = high - low
+            k = np.repeat(np.arange(len(at)), times)
+            j = np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times) + low[k]
+            laid.update(zip(items[j].tolist(), (at[k] - places[j]).tolist()))
         best: dict[int, dict[str, int]] = {}
         for item, shift in sorted(laid):
             found = self.overlap(ids, item, shift)

@@ -3,6 +3,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -378,6 +379,14 @@ def test_overlap_finds_every_stretch():
     assert index.overlap(np.where(same, index.items[0], 0), 0, 0)["matched"] >= 20
 
 
+def test_masks_miss_no_accepted_stretch():
+    masks = [(int(m[::-1], 2), len(m)) for m in decontaminate.MASKS]
+    for size in range(13, 26):
+        for changed in combinations(range(size), size // 5):
+            same = (1 << size) - 1 - sum(1 << k for k in changed)
+            assert any(same >> k & m == m for m, span in masks for k in range(size - span + 1)), (size, changed)
+
+
 # language model
 
 
