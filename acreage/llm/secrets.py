@@ -28,7 +28,8 @@ KINDS = {
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
 RANDOM = "random"
-TOKEN = r"(?<![\p{L}\p{N}+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![\p{L}\p{N}+/_=-])"
+# Every whole run of 20 or more of these characters, whatever stands around it; '=' only as trailing padding.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}(?![A-Za-z0-9+/_=-]))?"
 
 _DIGITS, _LOWER = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 # Encodings from narrow to wide; the first that has all characters of a token is taken to be its own.

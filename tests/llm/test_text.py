@@ -281,6 +281,30 @@ def test_battery_tells_random_tokens_from_words(spark):
     assert hits >= 36 and not any(v for k, v in found.items() if k < 1000 or k == 2000)
 
 
+def test_tokens_after_names_and_foreign_letters(spark):
+    key = "q8Zr" + "aB3dE6gH9jK2mN5pQ8sT1v"
+    texts = [
+        f"AWS_SECRET_ACCESS_KEY={key}",
+        f"CLIENT_KEY={key}\nx",
+        f"https://example.com/?sig={key}&x=1",
+        f"密钥{key}结束",
+        f"é{key}é",
+        f"x {key}== y",
+        f"x={key}=y",
+        f"x {key}===",
+        "CLIENT_KEY=short",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = docs.select("doc_id", secrets.tested_tokens(F.col("text")).alias("t")).collect()
+    got = {r["doc_id"]: [texts[r["doc_id"]][t["start"] : t["end"]] for t in r["t"]] for r in found}
+    assert got == {
+        0: ["AWS_SECRET_ACCESS_KEY", key],
+        5: [key + "=="],
+        **{k: [key] for k in (1, 2, 3, 4, 6, 7)},
+        8: [],
+    }
+
+
 def test_redaction(spark, odd_docs, odd_rows, no_docs):
     texts = dict(enumerate(SECRETS))
     docs = spark.createDataFrame([(k, t, 1, "x") for k, t in texts.items()], "doc_id int, text string, n_chars bigint, row string")
