@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from acreage.llm import chat, decontaminate, lm, packing, quality, rans, rules, secrets, simhash, urls
+from acreage.llm import chat, decontaminate, lm, packing, phrases, quality, ranking, rans, rules, secrets, simhash, toxicity, urls
 from acreage.llm.common import remainder, table
+from acreage.llm.oracles import ORACLES
 from acreage.session import fresh_folder
 
 
@@ -111,6 +112,20 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = toxicity.judged(docs, toxicity.without_held_out(table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 REGISTRY = {
     "op1_simhash": op1_simhash,
     "op2_quality": op2_quality,
@@ -122,6 +137,10 @@ REGISTRY = {
     "op8_packing": op8_packing,
     "op9_token_files": op9_token_files,
     "op10_urls": op10_urls,
+    "op11_phrases": op11_phrases,
+    "op12_ranking": op12_ranking,
+    "op13_toxicity": op13_toxicity,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "REGISTRY"]
