@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acreage.functions.text import known, pid_list, primary_pid
-from acreage.operators.parcels import grid_edges, parcel_measures, parcel_point, wanted_parcels
-from acreage.operators.spread import fits_broadcast, lookup_join, salted_join
+from acreage.operators.outlines import ENDS, directed_edges, on_outline, outline_rings, union_pieces
+from acreage.operators.parcels import parcel_point, wanted_parcels
+from acreage.operators.spread import lookup_join
 from acreage.session import stored
 
 KEY = "Planning_App_Num"
@@ -27,52 +28,70 @@ def listed_parcels(applications: DataFrame, pid_field: str = "PIDs", key: str =
     return applications.select(key, F.explode(pids).alias("PID"))
 
 
+def union_of_parcels(
+    applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY
+) -> tuple[DataFrame, DataFrame]:
+    """How many of each application's listed parcels exist, and the pieces of their sides."""
+    listed = listed_parcels(applications, pid_field, key)
+    edges = stored(directed_edges(wanted_parcels(vertices, listed)), "directed-edges")
+    there = lookup_join(listed, edges.select("PID").distinct(), ["PID"], "left_semi", probe=True)
+    return there.groupBy(key).agg(F.count(F.lit(1)).alias("pids_found")), union_pieces(listed, edges, key)
+
+
 def dissolve_outline(
     applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY
 ) -> DataFrame:
-    """Edges of the union of an application's parcels: those that occur once among them.
+    """Pieces of the outline of the union of an application's parcels, each with its lesser end first."""
+    _, pieces = union_of_parcels(applications, vertices, pid_field, key)
+    return pieces.where(on_outline()).select(key, *ENDS)
 
-    Right for parcels that tile the plane. Overlaps and edges split on one side only are not merged.
-    """
-    return (
-        _edge_counts(applications, vertices, pid_field, key)
-        .where("n = 1")
-        .select(key, "x0", "y0", "x1", "y1")
+
+def _areas(found: DataFrame, pieces: DataFrame, key: str) -> DataFrame:
+    length = F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    twice = F.col("x0") * (F.col("y1") - F.col("y0")) - F.col("y0") * (F.col("x1") - F.col("x0"))
+    only = lambda value: F.sum(F.when(on_outline(), value).otherwise(0.0))
+    sums = pieces.groupBy(key).agg(
+        (only(F.when(F.col("left") > 0, twice).otherwise(-twice)) / 2).alias("area"),
+        only(length).alias("perimeter"),
+        F.count_if(on_outline()).alias("n_edges"),
+        (F.max(F.greatest("left", "right")) <= 1).alias("dissolve_check"),
     )
+    return found.join(sums, key).select(key, "area", "pids_found", "perimeter", "n_edges", "dissolve_check")
 
 
-def _edge_counts(applications: DataFrame, vertices: DataFrame, pid_field: str, key: str) -> DataFrame:
-    listed = listed_parcels(applications, pid_field, key)
-    borders = stored(grid_edges(wanted_parcels(vertices, listed)))
-    joined = salted_join(listed, borders, on=["PID"], by=[key], small=fits_broadcast(borders))
-    return joined.groupBy(key, "x0", "y0", "x1", "y1").agg(F.count(F.lit(1)).alias("n"))
+def dissolve_area(applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY) -> DataFrame:
+    """Area and perimeter of the union; ``dissolve_check`` is false when two parcels lie on one side of an edge.
 
+    Parcels that are equal count once. Where parcels overlap in part, sides inside another parcel are not taken away.
+    """
+    return _areas(*union_of_parcels(applications, vertices, pid_field, key), key)
 
-def dissolve_area(applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY) -> DataFrame:
-    """Area and perimeter of the union; ``dissolve_check`` is false when parcels certainly overlap."""
-    length = F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    outline = (
-        _edge_counts(applications, vertices, pid_field, key)
-        .groupBy(key)
-        .agg(
-            F.sum(F.when(F.col("n") == 1, length).otherwise(0.0)).alias("perimeter"),
-            F.count_if(F.col("n") == 1).alias("n_edges"),
-            (F.max("n") <= 2).alias("dissolve_check"),
-        )
-    )
-    listed = listed_parcels(applications, pid_field, key)
-    measures = stored(parcel_measures(wanted_parcels(vertices, listed)).select("PID", "area"))
-    areas = lookup_join(listed, measures, ["PID"], "inner", probe=True)
-    found = areas.groupBy(key).agg(F.sum("area").alias("area"), F.count(F.lit(1)).alias("pids_found"))
-    return found.join(outline, key)
+
+def app_outline_rings(
+    applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY
+) -> DataFrame:
+    """The polygons of applications: corners of the rings around the union of their parcels."""
+    return outline_rings(union_of_parcels(applications, vertices, pid_field, key)[1], key)
 
 
 def locate_apps_polygon(
     applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY
 ) -> DataFrame:
     """Applications with the union of their parcels; any parcel found locates the application."""
-    rows = split_pid(applications, pid_field)
-    located = rows.join(dissolve_area(applications, vertices, pid_field, key), key, "left")
+    return _with_areas(applications, dissolve_area(applications, vertices, pid_field, key), pid_field, key)
+
+
+def locate_apps_with_rings(
+    applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY
+) -> tuple[DataFrame, DataFrame]:
+    """``locate_apps_polygon`` and ``app_outline_rings`` from one pass over the parcels."""
+    found, pieces = union_of_parcels(applications, vertices, pid_field, key)
+    pieces = stored(pieces, "union-pieces")
+    return _with_areas(applications, _areas(found, pieces, key), pid_field, key), outline_rings(pieces, key)
+
+
+def _with_areas(applications: DataFrame, areas: DataFrame, pid_field: str, key: str) -> DataFrame:
+    located = split_pid(applications, pid_field).join(areas, key, "left")
     return located.select(
         *applications.columns,
         F.when(F.col("pid_status") == "no_pid", "no_pid")

@@ -43,20 +43,6 @@ def edges(vertices: DataFrame) -> DataFrame:
     )
 
 
-def grid_edges(vertices: DataFrame) -> DataFrame:
-    """Edges in grid coordinates, each with its lesser end first, so that neighbours' edges compare equal.
-
-    A ring whose last vertex repeats the first has no edge of length zero there.
-    """
-    block = F.floor(F.col("seq") / setting(vertices.sparkSession, BLOCK_ROWS))
-    rows = linked_rows(vertices, ["PID", "ring"], block, ["seq"], ["x", "y"], wrap=True)
-    here, there = F.struct("x", "y"), F.struct(F.col("next.x").alias("x"), F.col("next.y").alias("y"))
-    ends = rows.select("PID", F.least(here, there).alias("a"), F.greatest(here, there).alias("b")).where("a <> b")
-    return ends.select(
-        "PID", F.col("a.x").alias("x0"), F.col("a.y").alias("y0"), F.col("b.x").alias("x1"), F.col("b.y").alias("y1")
-    )
-
-
 def measures_of(edge_rows: DataFrame) -> DataFrame:
     """Area, perimeter, centroid and extent per parcel, in one partial aggregate."""
     cross = F.col("x0") * F.col("y1") - F.col("x1") * F.col("y0")

@@ -144,6 +144,56 @@ STEPS = {
                      sum(CASE WHEN n = 1 THEN sqrt((x1-x0)*(x1-x0) + (y1-y0)*(y1-y0)) ELSE 0 END) AS perimeter,
                      count(*) FILTER (n = 1) AS n_edges, max(n) <= 2 AS dissolve_check
               FROM app_edge GROUP BY 1) o ON a.Planning_App_Num = o.Planning_App_Num""",
+    "ground_listed": f"""
+        SELECT DISTINCT Planning_App_Num AS app, {PADDED.format("trim(p)")} AS PID
+        FROM (SELECT Planning_App_Num, unnest(string_split(PIDs, ',')) AS p FROM fx_ground_application)""",
+    "ground_ring": """
+        SELECT PID, x, y, coalesce(lead(x) OVER w, first_value(x) OVER w) AS nx,
+               coalesce(lead(y) OVER w, first_value(y) OVER w) AS ny
+        FROM fx_ground_vertex WINDOW w AS (PARTITION BY PID, ring ORDER BY seq)""",
+    "ground_side": """
+        SELECT PID, CASE WHEN cw THEN nx ELSE x END AS x0, CASE WHEN cw THEN ny ELSE y END AS y0,
+               CASE WHEN cw THEN x ELSE nx END AS x1, CASE WHEN cw THEN y ELSE ny END AS y1
+        FROM ground_ring JOIN (SELECT PID, sum((x - 25560000) * (ny - 4950000) - (nx - 25560000) * (y - 4950000)) < 0 AS cw
+                               FROM ground_ring GROUP BY PID) USING (PID)""",
+    "app_side": "SELECT app, s.* FROM ground_listed l JOIN ground_side s ON l.PID = s.PID",
+    "app_cut": """
+        SELECT DISTINCT s.app, s.PID, s.x0, s.y0, s.x1, s.y1, v.x0 AS px, v.y0 AS py
+        FROM app_side s JOIN app_side v ON s.app = v.app AND s.PID <> v.PID
+        WHERE (s.x1 - s.x0) * (v.y0 - s.y0) = (s.y1 - s.y0) * (v.x0 - s.x0)
+          AND (v.x0 - s.x0) * (s.x1 - s.x0) + (v.y0 - s.y0) * (s.y1 - s.y0) > 0
+          AND (v.x0 - s.x1) * (s.x0 - s.x1) + (v.y0 - s.y1) * (s.y0 - s.y1) > 0
+        UNION ALL SELECT *, x0, y0 FROM app_side""",
+    "app_piece": """
+        SELECT app, px AS x0, py AS y0, coalesce(lead(px) OVER w, x1) AS x1, coalesce(lead(py) OVER w, y1) AS y1
+        FROM app_cut
+        WINDOW w AS (PARTITION BY app, PID, x0, y0, x1, y1 ORDER BY (px - x0) * (px - x0) + (py - y0) * (py - y0))""",
+    "app_sides": """
+        SELECT app, least((x0, y0), (x1, y1)) AS a, greatest((x0, y0), (x1, y1)) AS b,
+               count(*) FILTER ((x0, y0) < (x1, y1)) AS l, count(*) FILTER ((x0, y0) > (x1, y1)) AS r
+        FROM app_piece GROUP BY ALL""",
+    "app_outline": """
+        SELECT app, row_number() OVER () AS id, CASE WHEN l > 0 THEN a[1] ELSE b[1] END AS x0,
+               CASE WHEN l > 0 THEN a[2] ELSE b[2] END AS y0, CASE WHEN l > 0 THEN b[1] ELSE a[1] END AS x1,
+               CASE WHEN l > 0 THEN b[2] ELSE a[2] END AS y1
+        FROM app_sides WHERE (l > 0) <> (r > 0)""",
+    # the piece after another is the one that turns most to the left
+    "app_next": """
+        SELECT i.id, arg_max(o.id, CASE WHEN turn <= -pi() + 1e-9 THEN turn + 2 * pi() ELSE turn END) AS next
+        FROM app_outline i JOIN app_outline o ON i.app = o.app AND i.x1 = o.x0 AND i.y1 = o.y0,
+        LATERAL (SELECT atan2((i.x1 - i.x0) * (o.y1 - o.y0) - (i.y1 - i.y0) * (o.x1 - o.x0),
+                              (i.x1 - i.x0) * (o.x1 - o.x0) + (i.y1 - i.y0) * (o.y1 - o.y0)) AS turn)
+        GROUP BY i.id""",
+    "app_walk": """
+        WITH RECURSIVE walk AS (
+            SELECT id AS start, id, 1 AS seq FROM app_next
+            UNION ALL SELECT start, next, seq + 1 FROM walk JOIN app_next USING (id) WHERE next <> start)
+        SELECT * FROM walk""",
+    "app_ring": """
+        SELECT app, start, w.id, seq, e.x0, e.y0, x1, y1,
+               min((e.x0, e.y0, x1, y1)) OVER (PARTITION BY start) = first_value((e.x0, e.y0, x1, y1))
+                   OVER (PARTITION BY start ORDER BY seq) AS leads
+        FROM app_walk w JOIN app_outline e ON w.id = e.id""",
     "app_point": f"""
         SELECT a.*, {PADDED.format("nullif(trim(string_split(a.PIDs, ',')[1]), '')")} AS primary_pid, p.x, p.y,
                CASE WHEN a.PIDs IS NULL THEN 'no_pid' WHEN p.PID IS NULL THEN 'unlocated' ELSE 'located' END AS status
@@ -401,6 +451,21 @@ _BODIES = {
     "dissolve_area": """
         SELECT Planning_App_Num, round(area, 6) + 0.0 AS area, pids_found, round(perimeter, 6) + 0.0 AS perimeter, n_edges,
                dissolve_check FROM dissolved""",
+    "app_union_area": """
+        SELECT app AS Planning_App_Num, round(area, 6) + 0.0 AS area, pids_found, round(perimeter, 6) + 0.0 AS perimeter,
+               n_edges, dissolve_check
+        FROM (SELECT app, sum((x0 - 25560000) * (y1 - 4950000) - (x1 - 25560000) * (y0 - 4950000)) / 2 AS area,
+                     sum(sqrt((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0))) AS perimeter, count(*) AS n_edges
+              FROM app_outline GROUP BY app)
+        JOIN (SELECT app, max(greatest(l, r)) <= 1 AS dissolve_check FROM app_sides GROUP BY app) USING (app)
+        JOIN (SELECT app, count(DISTINCT PID) AS pids_found FROM app_side GROUP BY app) USING (app)""",
+    "app_outline_rings": """
+        SELECT app AS Planning_App_Num, dense_rank() OVER (PARTITION BY app ORDER BY lead) AS ring, cast(seq AS bigint) AS seq,
+               x0 AS x, y0 AS y, hole
+        FROM (SELECT *, min((x0, y0, x1, y1)) OVER (PARTITION BY start) AS lead,
+                     sum((x0 - 25560000) * (y1 - 4950000) - (x1 - 25560000) * (y0 - 4950000)) OVER (PARTITION BY start) < 0
+                         AS hole
+              FROM app_ring WHERE leads)""",
     "permits_unique": f"SELECT * REPLACE ({DATED} AS l_shipdate) FROM uniq",
     "permits_repeated": f"SELECT {KEY}, PID, l_linenumber, l_partkey, l_suppkey FROM ranked WHERE n_rows > 1",
     "permits_extra_rows": f"SELECT {KEY}, PID, Active_Parcel, l_linenumber, l_partkey, l_suppkey FROM ranked WHERE rn > 1",

@@ -90,18 +90,25 @@ def run_applications(
     """The whole application job: place each source, load what was placed under its target names, report the rest.
 
     Of several parcel rows with one id the one with the lowest ``OBJECTID``, where ``vertices`` has that column, is
-    taken. A source of which nothing is placed keeps its earlier load. Published copies are lenient.
+    taken. A source of which nothing is placed keeps its earlier load. Published copies are lenient. With ``POLYGON`` the
+    polygons' corners are loaded beside the applications, as ``<name>_rings``.
     """
     if "OBJECTID" in vertices.columns:
         vertices = stored(first_parcels(vertices, "OBJECTID"))
     for name, rows, fields, pid_field in sources:
         spark, placed = rows.sparkSession, f"{folder}/{name}_placed"
-        apps.locate_applications(rows, vertices, mode, pid_field).write.mode("overwrite").parquet(placed)
+        if mode == "POLYGON":
+            whole, rings = apps.locate_apps_with_rings(rows, vertices, pid_field)
+            sinks.load_guarded(rings, f"{folder}/{name}_rings")
+        else:
+            whole = apps.locate_applications(rows, vertices, mode, pid_field)
+        whole.write.mode("overwrite").parquet(placed)
         found = spark.read.parquet(placed)
         located = found.where("status = 'located'")
         places = [c for c in located.columns if c not in rows.columns and c != "status"]
         mapped = {target: F.col(origin) for target, origin in fields.items() if origin in rows.columns}
         sinks.load_guarded(located.select(*(c.alias(t) for t, c in mapped.items()), *places), f"{folder}/{name}")
         sinks.write_report(apps.application_failures(found, pid_field), f"{folder}/{name}_failed_locates")
-    loaded = {s.name: sinks.stored(s.rows.sparkSession, f"{folder}/{s.name}") for s in sources}
+    names = [n for s in sources for n in (s.name, f"{s.name}_rings")]
+    loaded = {name: sinks.stored(vertices.sparkSession, f"{folder}/{name}") for name in names}
     sinks.replicate({name: rows for name, rows in loaded.items() if rows is not None}, publish)

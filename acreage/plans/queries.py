@@ -472,6 +472,19 @@ def dissolve_area(spark, folder):
     return _rounded(apps.dissolve_area(given.application, given.parcel_vertex), "area", "perimeter")
 
 
+@query
+def app_union_area(spark, folder):
+    """Unions of plots whose sides are split on one side only, with holes and with plots that are given twice."""
+    given = _Inputs(spark, folder)
+    return _rounded(apps.dissolve_area(given.ground_application, given.ground_vertex), "area", "perimeter")
+
+
+@query
+def app_outline_rings(spark, folder):
+    given = _Inputs(spark, folder)
+    return apps.app_outline_rings(given.ground_application, given.ground_vertex)
+
+
 # --- picks, numbering and order ---
 
 

@@ -71,6 +71,31 @@ STAND_INS = {
                     WHEN o_orderkey % 6 = 5 THEN ' , '
                     ELSE cast(o_orderkey % 2000 AS {S}) || ', ' || cast((o_orderkey + 1) % 2000 AS {S}) END AS PIDs
         FROM orders""",
+    # ground plots that do not all meet corner to corner: sides split on one side only, holes, rings wound either way, and
+    # plots that lie on the place of another
+    "fx_ground_vertex": """
+        SELECT lpad(cast(p.p_partkey AS {S}), 8, '0') AS PID, v.ring, v.seq,
+               cast(25560000 + (g.cell % 50) * 20 + v.dx AS double) AS x,
+               cast(4950000 + ((g.cell - g.cell % 50) / 50) * 20 + v.dy AS double) AS y
+        FROM part p JOIN (SELECT p_partkey AS k, CASE WHEN p_partkey % 13 = 0 THEN p_partkey - 1 ELSE p_partkey END AS cell
+                          FROM part) g ON g.k = p.p_partkey
+        JOIN (VALUES (0,0,0,0,0),(0,0,1,20,0),(0,0,2,20,20),(0,0,3,0,20),
+                     (1,0,0,0,0),(1,0,1,20,0),(1,0,2,20,10),(1,0,3,20,20),(1,0,4,15,20),(1,0,5,5,20),(1,0,6,0,20),
+                     (2,0,0,0,0),(2,0,1,20,0),(2,0,2,20,20),(2,0,3,0,20),(2,1,0,6,6),(2,1,1,6,14),(2,1,2,14,14),(2,1,3,14,6),
+                     (3,0,0,0,0),(3,0,1,0,20),(3,0,2,20,20),(3,0,3,20,0),
+                     (4,0,0,0,0),(4,0,1,8,0),(4,0,2,20,0),(4,0,3,20,20),(4,0,4,0,20),(4,0,5,0,7)) AS v(shape, ring, seq, dx, dy)
+          ON v.shape = CASE WHEN p.p_partkey % 8 < 5 THEN p.p_partkey % 8 ELSE 0 END""",
+    "fx_ground_application": """
+        SELECT k.Planning_App_Num,
+               CASE k.form WHEN 0 THEN cast(k.pid AS {S})
+                    WHEN 1 THEN cast(k.pid AS {S}) || ', ' || cast(k.pid + 1 AS {S})
+                    WHEN 2 THEN cast(k.pid AS {S}) || ',' || cast(k.pid + 51 AS {S})
+                    WHEN 3 THEN cast(k.pid AS {S}) || ',' || cast(k.pid + 1 AS {S}) || ',' || cast(k.pid + 50 AS {S})
+                                || ',' || cast(k.pid + 51 AS {S})
+                    ELSE cast(k.pid AS {S}) || ',' || cast(k.pid + 1 AS {S}) || ',' || cast(k.pid + 2 AS {S}) || ','
+                         || cast(k.pid + 50 AS {S}) || ',' || cast(k.pid + 52 AS {S}) || ',' || cast(k.pid + 100 AS {S})
+                         || ',' || cast(k.pid + 101 AS {S}) || ',' || cast(k.pid + 102 AS {S}) END AS PIDs
+        FROM (SELECT o_orderkey AS Planning_App_Num, o_orderkey % 5 AS form, o_orderkey % 97 + 1 AS pid FROM orders) k""",
     "fx_street": """
         SELECT s_suppkey AS FDMID, 0 AS seq,
                cast(25560000 + s_suppkey * 10 AS double) AS x0, cast(4950000 AS double) AS y0,
