@@ -34,10 +34,10 @@ UNKNOWN = "und"
 # A phrase goes if a longer one that holds it has at least this percentage of its count.
 CONTAINED = 50
 # Text whose suffixes are counted together before the shuffle, and text per range; both bound a task's memory.
-PORTION_BYTES = 8 << 20
-ROUTE_BYTES = 16 << 20
+PORTION_BYTES = 3 << 20
+ROUTE_BYTES = 3 << 20
 # Every so many words of a sampled document give a cut point to choose from, and so much text is sampled per range.
-STRIDE, SAMPLE_BYTES = 64, 16 << 10
+STRIDE, SAMPLE_BYTES = 64, 8 << 10
 # Cut points are told apart by this many bytes of a word.
 CUT_BYTES = 64
 # Shares of a language that are ranked before its best are.
@@ -129,8 +129,8 @@ def _routed(batches: Iterator[pa.RecordBatch], cuts: list[tuple[str, tuple[bytes
             phrase = compute.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))
             made = pa.array(route, pa.int32()), pa.array([lang]).take(pa.array(np.zeros(len(counts), np.int64))), phrase, pa.array(counts, pa.int64())
             whole = pa.RecordBatch.from_arrays(list(made), names=names)
-            for a in range(0, whole.num_rows, 100_000):
-                yield whole.slice(a, 100_000)
+            for a in range(0, whole.num_rows, 50_000):
+                yield whole.slice(a, 50_000)
 
 
 def equal_partitions(keys: np.ndarray, counts: np.ndarray, least: int, level: np.ndarray, seed: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -140,20 +140,20 @@ def equal_partitions(keys: np.ndarray, counts: np.ndarray, least: int, level: np
     is at least the depth; all others are abandoned as soon as they are that small. All partitions of a round are split at
     the same time, each at the word that one of its pointers, taken at random, has at its depth.
     """
-    depths, order = keys.shape[0], np.arange(keys.shape[1])
+    depths, order = keys.shape[0], np.arange(keys.shape[1], dtype=np.int32)
     sizes, depth = np.array([len(order)]) if len(order) else np.zeros(0, np.int64), np.zeros(1, dtype=np.int64)
     random = np.random.default_rng(seed)
     while len(sizes):
         starts = np.cumsum(sizes) - sizes
-        part = np.repeat(np.arange(len(sizes)), sizes)
+        part = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         word = keys[depth[part], order]
         pivot = word[starts + (random.random(len(sizes)) * sizes).astype(np.int64)][part]
         # 0 for smaller, 1 for equal, 2 for larger
-        side = (word >= pivot).astype(np.int64) + (word > pivot)
+        side = (word >= pivot).astype(np.int8) + (word > pivot)
         slot = part * 3 + side
         sizes = np.bincount(slot, minlength=3 * len(sizes))
         # each pointer goes behind the earlier ones of its new partition
-        to, first = np.empty(len(order), dtype=np.int64), np.cumsum(sizes) - sizes
+        to, first = np.empty(len(order), dtype=np.int32), np.cumsum(sizes) - sizes
         for s in range(3):
             at = np.flatnonzero(side == s)
             own = slot[at]
@@ -177,58 +177,51 @@ def equal_partitions(keys: np.ndarray, counts: np.ndarray, least: int, level: np
         sizes, depth = sizes[going], depth[going]
 
 
-def _levels(keys: np.ndarray, number: dict[bytes, int], langs: dict[str, int], cuts: list[tuple[str, tuple[bytes, ...]]]) -> np.ndarray:
+def _places(values: pa.Array, wanted: list) -> list[int]:
+    """Where each wanted value stands among the values, -1 where it does not."""
+    found = compute.index_in(pa.array(wanted, values.type), value_set=values)
+    return [-1 if k is None else k for k in found.to_pylist()]
+
+
+def _levels(keys: np.ndarray, words: pa.Array, langs: pa.Array, cuts: list[tuple[str, tuple[bytes, ...]]]) -> np.ndarray:
     """On how many leading words, the language being the first, each suffix agrees with one of the cut points."""
-    level = np.zeros(keys.shape[1], dtype=np.int64)
+    level = np.zeros(keys.shape[1], dtype=np.int8)
     for lang, cut in cuts:
-        same = keys[0] == langs.get(lang, -1)
+        same = keys[0] == _places(langs, [lang])[0]
         level = np.maximum(level, same)
-        for d, word in enumerate(cut, 1):
-            same = same & (keys[d] == number.get(word, -1))
-            level = np.maximum(level, np.where(same, d + 1, 0))
+        for d, place in enumerate(_places(words, list(cut)), 1):
+            same = same & (keys[d] == place)
+            level = np.maximum(level, np.where(same, d + 1, 0).astype(np.int8))
     return level
 
 
-def _route_counts(route: int, batches: list[pa.RecordBatch], cuts: list, depth: int, least: int) -> pa.RecordBatch:
+def _route_counts(route: int, batches: list[pa.RecordBatch], cuts: list, depth: int, least: int) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(batches).combine_chunks()
     parts = compute.split_pattern(rows.column("phrase").combine_chunks(), pattern=" ").flatten().dictionary_encode()
-    words, langs = parts.dictionary.to_pylist(), rows.column("lang").combine_chunks().dictionary_encode()
-    keys = np.concatenate([
-        np.asarray(langs.indices, dtype=np.int32)[None, :],
-        np.asarray(parts.indices, dtype=np.int32).reshape(-1, depth).T,
-    ])
-    names = langs.dictionary.to_pylist()
-    number = {w: k for k, w in enumerate(words)}
-    ends = number.get(b"", -1)
-    near = cuts[max(0, route - 1) : route + 1]
-    level = _levels(keys, number, {x: k for k, x in enumerate(names)}, near)
-    out_langs, out_words, out_phrases, out_counts = [], [], [], []
+    langs = rows.column("lang").combine_chunks().dictionary_encode()
+    counts, words, names = np.asarray(rows.column("n")), parts.dictionary, langs.dictionary
+    keys = np.concatenate([np.asarray(langs.indices)[None, :], np.asarray(parts.indices).reshape(-1, depth).T])
+    del rows, parts, langs
+    level = _levels(keys, words, names, cuts[max(0, route - 1) : route + 1])
+    (end,) = _places(words, [b""])
     # the suffixes' languages are their first words: a language's partition has all of its words
-    for d, at, total in equal_partitions(np.ascontiguousarray(keys), np.asarray(rows.column("n")), least, level):
-        whole = keys[d - 1, at] != ends if d > 1 else np.ones(len(at), dtype=bool)
+    for d, at, total in equal_partitions(keys, counts, least, level):
+        whole = keys[d - 1, at] != end if d > 1 else np.ones(len(at), dtype=bool)
         at, total = at[whole], total[whole]
-        out_langs += [names[k] for k in keys[0, at]]
-        out_words += [d - 1] * len(at)
-        out_phrases += [b" ".join(words[k] for k in row).decode() for row in keys[1:d, at].T]
-        out_counts += total.tolist()
-    columns = pa.array(out_langs, pa.string()), pa.array(out_words, pa.int32()), pa.array(out_phrases, pa.string()), pa.array(out_counts, pa.int64())
-    return pa.RecordBatch.from_arrays(list(columns), names=[c.split()[0] for c in COUNTS.split(", ")])
+        columns = [words.take(pa.array(k)) for k in keys[1:d, at]] or [pa.array([b""] * len(at), pa.binary())]
+        phrase = compute.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary())).cast(pa.string())
+        made = names.take(pa.array(keys[0, at])), pa.array(np.full(len(at), d - 1, dtype=np.int32)), phrase, pa.array(total)
+        yield pa.RecordBatch.from_arrays(list(made), names=[c.split()[0] for c in COUNTS.split(", ")])
 
 
 def _counted(batches: Iterator[pa.RecordBatch], cuts: list, depth: int, least: int) -> Iterator[pa.RecordBatch]:
-    """The suffixes of one range after the other."""
-    current, held = None, []
+    """The suffixes of a task, which are those of one range."""
+    held: dict[int, list[pa.RecordBatch]] = {}
     for batch in batches:
-        routes = np.asarray(batch.column(0))
-        edges = np.flatnonzero(np.concatenate([[True], routes[1:] != routes[:-1], [True]])) if len(routes) else []
-        for a, b in zip(edges, edges[1:]):
-            if routes[a] != current:
-                if held:
-                    yield _route_counts(current, held, cuts, depth, least)
-                current, held = int(routes[a]), []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield _route_counts(current, held, cuts, depth, least)
+        if batch.num_rows:
+            held.setdefault(batch.column(0)[0].as_py(), []).append(batch)
+    for route in sorted(held):
+        yield from _route_counts(route, held[route], cuts, depth, least)
 
 
 def _points(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[pa.RecordBatch]:
@@ -268,7 +261,7 @@ def phrase_counts(docs: DataFrame, depth: int = MAX_WORDS, least: int = LEAST, r
     cuts = cut_points(texts, depth, route_bytes)
     shared = docs.sparkSession.sparkContext.broadcast(cuts)
     suffixes = texts.mapInArrow(lambda rows: _routed(rows, shared.value, depth), SUFFIXES)
-    ranges = suffixes.repartitionById(len(cuts) + 1, F.col("route")).sortWithinPartitions("route")
+    ranges = suffixes.repartitionById(len(cuts) + 1, F.col("route"))
     counted = ranges.mapInArrow(lambda rows: _counted(rows, shared.value, depth, least), COUNTS)
     summed = counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     return stored(summed.where((F.col("n") >= least) | (F.col("words") == 0)), "phrase-counts")
