@@ -10,6 +10,13 @@ TIES = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 TIES_DOWN = ", ".join(f"{c} DESC NULLS LAST" for c in TIES.split(", "))
 KEEP_ORDER = f"(Active_Parcel IS NULL) DESC, Active_Parcel DESC, {TIES_DOWN}"
 PADDED = "CASE WHEN length({0}) >= 8 THEN {0} ELSE lpad({0}, 8, '0') END"
+# street names as the locator reads them: without the type at their end, which counts as a field of its own
+STREET_TYPE = "CASE upper({0}) WHEN 'STREET' THEN 'ST' WHEN 'ROAD' THEN 'RD' ELSE upper({0}) END"
+_WHOLE = r"trim(regexp_replace(upper({0}), '\s+', ' ', 'g'))"
+_LAST = rf"regexp_extract({_WHOLE}, '[A-Z]+$')"
+_ENDS = rf"regexp_matches({_WHOLE}, '.+ (ST|STREET|ROAD|RD|AVE)$')"
+STREET_NAME = rf"CASE WHEN {_ENDS} THEN regexp_extract({_WHOLE}, '^(.*) [A-Z]+$', 1) ELSE {_WHOLE} END"
+STREET_END = f"CASE WHEN {_ENDS} THEN {STREET_TYPE.replace('{0}', _LAST)} END"
 
 STEPS = {
     "clean": r"""
@@ -144,6 +151,36 @@ STEPS = {
                      sum(CASE WHEN n = 1 THEN sqrt((x1-x0)*(x1-x0) + (y1-y0)*(y1-y0)) ELSE 0 END) AS perimeter,
                      count(*) FILTER (n = 1) AS n_edges, max(n) <= 2 AS dissolve_check
               FROM app_edge GROUP BY 1) o ON a.Planning_App_Num = o.Planning_App_Num""",
+    "full_address": f"""
+        SELECT permit_no, replace(Civic_Number, ' ', '') AS house, {STREET_NAME.format("Street_Name")} AS name,
+               coalesce({STREET_TYPE.format("Street_Type")}, {STREET_END.format("Street_Name")}) AS type, Unit AS unit,
+               District AS district, upper(Community) AS community, Municipality AS municipality,
+               upper(replace(Postal, ' ', '')) AS postal
+        FROM fx_locator_permit""",
+    "full_civic": f"""
+        SELECT CIV_ID, X, Y, replace(FULL_CIVIC, ' ', '') AS house, {STREET_NAME.format("STR_NAME")} AS name,
+               coalesce({STREET_TYPE.format("STR_TYPE")}, {STREET_END.format("STR_NAME")}) AS type, UNIT_NUM AS unit,
+               DISTRICT AS district, upper(GSA_NAME) AS community, MUN_CODE AS municipality,
+               upper(replace(CIV_POSTAL, ' ', '')) AS postal
+        FROM fx_locator_civic""",
+    # every address against every civic of its house number
+    "full_scored": """
+        SELECT a.permit_no, c.CIV_ID, c.X, c.Y,
+               (greatest(length(a.name), length(c.name)) - levenshtein(a.name, c.name)) * 100
+                   // greatest(length(a.name), length(c.name)) AS name_score,
+               (60 * name_score + CASE WHEN a.type = c.type THEN 1000 ELSE 0 END
+                   + CASE WHEN a.community = c.community THEN 1200 ELSE 0 END
+                   + CASE WHEN a.postal = c.postal THEN 800 WHEN a.postal[1:3] = c.postal[1:3] THEN 400 ELSE 0 END
+                   + CASE WHEN a.district = c.district THEN 400 ELSE 0 END
+                   + CASE WHEN a.municipality = c.municipality THEN 300 ELSE 0 END
+                   + CASE WHEN a.unit = c.unit THEN 300 ELSE 0 END)
+                 // (60 + CASE WHEN a.type IS NULL THEN 0 ELSE 10 END + CASE WHEN a.community IS NULL THEN 0 ELSE 12 END
+                     + CASE WHEN a.postal IS NULL THEN 0 ELSE 8 END + CASE WHEN a.district IS NULL THEN 0 ELSE 4 END
+                     + CASE WHEN a.municipality IS NULL THEN 0 ELSE 3 END + CASE WHEN a.unit IS NULL THEN 0 ELSE 3 END) AS score
+        FROM full_address a JOIN full_civic c ON a.house = c.house""",
+    "full_match": """
+        SELECT * FROM full_scored WHERE name_score > 60 AND score > 60
+        QUALIFY row_number() OVER (PARTITION BY permit_no ORDER BY score DESC, CIV_ID) = 1""",
     "ground_listed": f"""
         SELECT DISTINCT Planning_App_Num AS app, {PADDED.format("trim(p)")} AS PID
         FROM (SELECT Planning_App_Num, unnest(string_split(PIDs, ',')) AS p FROM fx_ground_application)""",
@@ -376,6 +413,9 @@ _BODIES = {
         FROM routed u LEFT JOIN matched m
           ON m.Permit_Category = u.Permit_Category AND m.Permit_Number = u.Permit_Number
         WHERE u.route = '2_address'""",
+    "geocode_full": """
+        SELECT p.permit_no, m.CIV_ID AS match_id, cast(m.score AS int) AS score, m.X AS match_x, m.Y AS match_y
+        FROM fx_locator_permit p LEFT JOIN full_match m ON p.permit_no = m.permit_no""",
     "locate_apps_polygon": """
         SELECT a.Planning_App_Num, a.PIDs,
                CASE WHEN a.PIDs IS NULL THEN 'no_pid' WHEN pids_found IS NULL THEN 'unlocated' ELSE 'located' END AS status,

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from acreage.functions import projection
 from acreage.functions import text as t
 from acreage.functions.markup import without_tags
-from acreage.operators import addresses, cleaning, domains, duplicates, forms, locating, metadata, parcels, quality
+from acreage.operators import addresses, cleaning, domains, duplicates, forms, locating, locator, metadata, parcels, quality
 from acreage.operators import applications as apps
 from acreage.operators import syncing
 from acreage.session import fresh_folder, stored
@@ -299,6 +299,13 @@ def geocode_addresses(spark, folder):
     return placed.select(*PERMIT, "FORMATTEDADDRESS", "match_id", "score")
 
 
+@query
+def geocode_full(spark, folder):
+    """Addresses with all their fields against civic addresses with all of theirs."""
+    given = _Inputs(spark, folder)
+    return locator.geocode(given.locator_permit, given.locator_civic).select("permit_no", "match_id", "score", "match_x", "match_y")
+
+
 @query
 def locate_apps_polygon(spark, folder):
     given = _Inputs(spark, folder)

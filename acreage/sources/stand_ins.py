@@ -53,6 +53,30 @@ STAND_INS = {
                CASE WHEN c.c_custkey % 10 < 7 THEN 'ACTIVE' WHEN c.c_custkey % 10 < 9 THEN 'RETIRED'
                     ELSE 'ABSENT' END AS status
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    # civic addresses with all their fields, and permits' addresses with every way to write them not quite so
+    "fx_locator_civic": """
+        SELECT c.c_custkey AS CIV_ID, cast(c.c_custkey % 40 + 1 AS {S}) AS FULL_CIVIC, upper(p.p_name) AS STR_NAME,
+               CASE c.c_custkey % 4 WHEN 0 THEN 'ST' WHEN 1 THEN 'Road' WHEN 2 THEN 'AVE' END AS STR_TYPE,
+               CASE WHEN c.c_custkey % 5 = 0 THEN cast(c.c_custkey % 7 AS {S}) END AS UNIT_NUM,
+               'D' || cast(c.c_nationkey % 5 AS {S}) AS DISTRICT, n.n_name AS GSA_NAME,
+               CASE WHEN c.c_nationkey % 2 = 0 THEN 'EAST' ELSE 'WEST' END AS MUN_CODE,
+               'B' || cast(c.c_nationkey % 9 AS {S}) || 'H ' || cast(c.c_custkey % 9 AS {S}) || 'K1' AS CIV_POSTAL,
+               cast(25560000 + c.c_custkey * 3 AS double) AS X, cast(4950000 + c.c_custkey * 2 AS double) AS Y
+        FROM customer c JOIN part p ON p.p_partkey = c.c_custkey * 7 % 200 JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "fx_locator_permit": """
+        SELECT o.o_orderkey AS permit_no,
+               CASE WHEN k.form = 6 THEN '9' || c.FULL_CIVIC WHEN k.form = 11 THEN NULL ELSE c.FULL_CIVIC || ' ' END AS Civic_Number,
+               CASE k.form WHEN 0 THEN c.STR_NAME || ' ST' WHEN 1 THEN replace(replace(c.STR_NAME, 'I', 'E'), 'O', 'U')
+                    WHEN 2 THEN lower(c.STR_NAME) || ' street' WHEN 3 THEN substr(c.STR_NAME, 2) WHEN 8 THEN 'XQZ STREET'
+                    WHEN 9 THEN c.STR_NAME || '  ROAD' ELSE c.STR_NAME END AS Street_Name,
+               CASE WHEN k.form IN (4, 5) THEN c.STR_TYPE END AS Street_Type,
+               CASE WHEN k.form IN (5, 7) THEN cast(o.o_orderkey % 7 AS {S}) END AS Unit,
+               CASE WHEN k.form = 5 THEN c.DISTRICT END AS District,
+               CASE WHEN k.form = 2 THEN NULL WHEN k.form = 3 THEN 'ELSEWHERE' ELSE c.GSA_NAME END AS Community,
+               CASE WHEN k.form IN (5, 10) THEN c.MUN_CODE END AS Municipality,
+               CASE WHEN k.form IN (4, 10) THEN replace(c.CIV_POSTAL, ' ', '') WHEN k.form = 3 THEN c.CIV_POSTAL || 'X' END AS Postal
+        FROM orders o JOIN (SELECT o_orderkey AS k, o_orderkey % 12 AS form FROM orders) k ON k.k = o.o_orderkey
+        JOIN fx_locator_civic c ON c.CIV_ID = o.o_custkey""",
     # squares on a grid; some are U-shaped, so that the centroid falls outside
     "fx_parcel_vertex": """
         SELECT lpad(cast(p.p_partkey AS {S}), 8, '0') AS PID, 0 AS ring, v.seq,
