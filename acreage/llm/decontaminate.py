@@ -5,6 +5,12 @@ replaced. Test seeds are joined to training seeds; around each hit the two texts
 stretch that starts and ends with a match and is long and similar enough is a contamination. Of those the one with most
 matches is reported.
 
+An item too short for that is found where all of it occurs word for word, and a very short one where it is the whole
+document.
+
+Words that repeat make many seeds equal. Which places of a text an item is laid at is marked rather than listed pair by
+pair, and all of an item's places are compared at once, so that memory grows with the text alone.
+
 The test items are the stated query set. Their index goes to all tasks in blocks of at most ``BLOCK_BYTES`` of text, one
 block at a time; a larger benchmark takes more passes over the documents, not a larger broadcast.
 """
@@ -26,14 +32,19 @@ from acreage.llm.common import stored, text_bytes
 MASKS = ("1101111", "111010000011", "1101000111", "11110101")
 MIN_OVERLAP = 13
 MIN_SIMILARITY = 0.8
-BLOCK_BYTES = 16 << 20
+# Items with fewer tokens than this are found only as whole documents: such phrases occur by chance.
+MIN_EXACT = 5
+# Text of the test items in one block; the index of a block is at most 16 times as large.
+BLOCK_BYTES = 2 << 20
+# Pairs of places that are compared at a time.
+COMPARED = 1 << 20
 
 HITS = "array<struct<item:int,start:int,length:int,matched:int>>"
 _HIT = pa.struct([(n, pa.int32()) for n in ("item", "start", "length", "matched")])
 # ASCII letters in lower case; ASCII characters that are neither letters nor digits separate tokens.
 _PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _OFFSETS = [np.flatnonzero([c == "1" for c in mask]) for mask in MASKS]
-_FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(6)], dtype=np.uint64)
+_FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(MIN_OVERLAP)], dtype=np.uint64)
 
 
 def tokens_of(text: bytes) -> list[bytes]:
@@ -56,6 +67,16 @@ def _seeds(ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, hashes
 
 
+def _same_hashes(own: np.ndarray, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The text's different hashes that the index has: their places (in ``order`` from ``start``, ``count`` of them) there."""
+    order = np.argsort(own, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], own[order][1:] != own[order][:-1]]))
+    count = np.diff(np.append(first, len(own)))
+    low, high = (np.searchsorted(hashes, own[order[first]], side) for side in ("left", "right"))
+    there = high > low
+    return at[order], first[there], count[there], low[there], high[there]
+
+
 class Index:
     """The seeds of a block of test items."""
 
@@ -68,59 +89,113 @@ class Index:
         self.items = [np.array([self.vocabulary[x] for x in w], dtype=np.int32) for w in words]
         self.whole: dict[bytes, list[int]] = {}
         for k, ids in enumerate(self.items):
-            if 0 < len(ids) < MIN_OVERLAP:
+            if 0 < len(ids) < MIN_EXACT:
                 self.whole.setdefault(ids.tobytes(), []).append(k)
-        self.seeds = []
-        for offsets in _OFFSETS:
-            found = [(k, *_seeds(ids, offsets)) for k, ids in enumerate(self.items) if len(ids) >= MIN_OVERLAP]
-            item = np.concatenate([np.full(len(at), k) for k, at, _ in found] or [np.zeros(0, dtype=np.int64)])
-            at = np.concatenate([at for _, at, _ in found] or [np.zeros(0, dtype=np.int64)])
-            hashes = np.concatenate([h for *_, h in found] or [np.zeros(0, dtype=np.uint64)])
-            order = np.argsort(hashes, kind="stable")
-            self.seeds.append((hashes[order], item[order], at[order]))
+        long = [k for k, ids in enumerate(self.items) if len(ids) >= MIN_OVERLAP]
+        self.seeds = [(offsets, *self._sorted(long, offsets)) for offsets in _OFFSETS]
+        short = {n: [k for k, ids in enumerate(self.items) if len(ids) == n] for n in range(MIN_EXACT, MIN_OVERLAP)}
+        self.exact = [(np.arange(n), *self._sorted(items, np.arange(n))) for n, items in short.items() if items]
+
+    def _sorted(self, items: list[int], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        found = [(k, *_seeds(self.items[k], offsets)) for k in items]
+        item = np.concatenate([np.full(len(at), k) for k, at, _ in found] or [np.zeros(0, dtype=np.int64)])
+        at = np.concatenate([at for _, at, _ in found] or [np.zeros(0, dtype=np.int64)])
+        hashes = np.concatenate([h for *_, h in found] or [np.zeros(0, dtype=np.uint64)])
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], item[order], at[order]
 
     def hits(self, text: bytes) -> list[dict[str, int]]:
         """The best contamination per item of one whole text."""
         ids = np.array(list(map(self.vocabulary.get, tokens_of(text), repeat(0))), dtype=np.int32)
-        if 0 < len(ids) < MIN_OVERLAP:
-            return [{"item": k, "start": 0, "length": len(ids), "matched": len(ids)} for k in self.whole.get(ids.tobytes(), [])]
-        laid: set[tuple[int, int]] = set()
-        for (hashes, items, places), offsets in zip(self.seeds, _OFFSETS):
+        best = {}
+        if 0 < len(ids) < MIN_EXACT:
+            best = {k: (0, len(ids), len(ids)) for k in self.whole.get(ids.tobytes(), [])}
+        for item, shifts in self._laid(ids, self.exact).items():
+            own = self.items[item]
+            first = next((s for s in shifts.tolist() if np.array_equal(ids[s : s + len(own)], own)), None)
+            if first is not None:
+                best[item] = (first, len(own), len(own))
+        for item, shifts in self._laid(ids, self.seeds).items():
+            found = self.best_overlap(ids, item, shifts)
+            if found:
+                best[item] = found
+        return [{"item": k, "start": a, "length": n, "matched": m} for k, (a, n, m) in sorted(best.items())]
+
+    def _laid(self, ids: np.ndarray, seeds: list) -> dict[int, np.ndarray]:
+        """Per item the rising places of the text that it is to be laid at, as some seed agrees there."""
+        listed, marked = [], {}
+        for offsets, hashes, items, places in seeds:
             at, own = _seeds(ids, offsets)
             if not len(at) or not len(hashes):
                 continue
-            low, high = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+            at, start, count, low, high = _same_hashes(own, at, hashes)
             times = high - low
-            k = np.repeat(np.arange(len(at)), times)
-            j = np.arange(len(k)) - np.repeat(np.cumsum(times) - times, times) + low[k]
-            laid.update(zip(items[j].tolist(), (at[k] - places[j]).tolist()))
-        best: dict[int, dict[str, int]] = {}
-        for item, shift in sorted(laid):
-            found = self.overlap(ids, item, shift)
-            if found and (item not in best or found["matched"] > best[item]["matched"]):
-                best[item] = found
-        return list(best.values())
+            # few pairs are listed; where both sides repeat a seed, the places it lays an item at are marked
+            few = count * times <= 8 * (count + times)
+            pairs = (count * times)[few]
+            k = np.repeat(np.flatnonzero(few), pairs)
+            nth = np.arange(len(k)) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+            j = low[k] + nth % times[k]
+            listed.append((items[j], at[start[k] + nth // times[k]] - places[j]))
+            for k in np.flatnonzero(~few):
+                there = at[start[k] : start[k] + count[k]]
+                for j in range(low[k], high[k]):
+                    item = int(items[j])
+                    if item not in marked:
+                        marked[item] = np.zeros(len(ids) + len(self.items[item]), dtype=bool)
+                    marked[item][there + (len(self.items[item]) - places[j])] = True
+        laid = {item: np.flatnonzero(mark) - len(self.items[item]) for item, mark in marked.items()}
+        if listed:
+            item, shift = (np.concatenate(x) for x in zip(*listed))
+            order = np.lexsort((shift, item))
+            item, shift = item[order], shift[order]
+            for k, shifts in zip(*_split(item, shift)):
+                laid[int(k)] = np.union1d(laid[int(k)], shifts) if int(k) in laid else _different(shifts)
+        return laid
 
     def overlap(self, ids: np.ndarray, item: int, shift: int) -> dict[str, int] | None:
-        """The stretch with most matches, of all that are a contamination, where the item is laid at ``shift``."""
-        own = self.items[item]
-        low, high = max(0, -shift), min(len(own), len(ids) - shift)
-        same = own[low:high] == ids[shift + low : shift + high]
-        if len(same) < MIN_OVERLAP:
-            return None
-        count = np.concatenate([[0], np.cumsum(same)])
-        # a stretch is similar enough if this does not fall from its start to its end
-        value = np.round(count - MIN_SIMILARITY * np.arange(len(count)), 6)
-        ends = np.flatnonzero(same) + 1
-        # the lowest value of the starts so far; for each end, the first start that is not above it
-        lowest = np.minimum.accumulate(np.where(same, value[:-1], np.inf))
-        starts = np.searchsorted(-lowest, -value[ends])
-        matches = np.where(ends - starts >= MIN_OVERLAP, count[ends] - count[np.minimum(starts, ends)], 0)
-        if not matches.any():
-            return None
-        k = int(np.argmax(matches))
-        start, size, matched = int(starts[k]), int(ends[k] - starts[k]), int(matches[k])
-        return {"item": item, "start": shift + low + start, "length": size, "matched": matched}
+        """The best stretch where the item is laid at ``shift``."""
+        found = self.best_overlap(ids, item, np.array([shift]))
+        return found and dict(zip(("item", "start", "length", "matched"), (item, *found)))
+
+    def best_overlap(self, ids: np.ndarray, item: int, shifts: np.ndarray) -> tuple[int, int, int] | None:
+        """Start, length and matches of the stretch with most matches, of all that are a contamination, over all shifts.
+
+        A stretch begins and ends with a match, and counting 10 for a match less 8 for a place, it does not lose: it is
+        similar enough. Of equal ones the first is taken.
+        """
+        own, best = self.items[item], None
+        for first in range(0, len(shifts), max(1, COMPARED // len(own))):
+            rows = shifts[first : first + max(1, COMPARED // len(own))]
+            at = rows[:, None] + np.arange(len(own))
+            inside = (at >= 0) & (at < len(ids))
+            same = inside & (ids[np.where(inside, at, 0)] == own)
+            count = np.concatenate([np.zeros((len(rows), 1), dtype=np.int64), np.cumsum(same, axis=1)], axis=1)
+            value = 10 * count - 8 * np.arange(len(own) + 1)
+            # the lowest value of the starts so far, one row after the other on a rising line
+            wide = 20 * (len(own) + 2)
+            lowest = np.minimum.accumulate(np.where(same, value[:, :-1], wide // 2), axis=1)
+            line = (np.arange(len(rows)) * wide)[:, None] - lowest
+            row, end = np.nonzero(same)
+            # for each end the first start whose value is not above its own
+            start = np.searchsorted(line.reshape(-1), row * wide - value[row, end + 1]) - row * len(own)
+            start = np.minimum(start, end)
+            matches = np.where(end + 1 - start >= MIN_OVERLAP, count[row, end + 1] - count[row, start], 0)
+            if matches.any():
+                k = int(np.argmax(matches))
+                if best is None or matches[k] > best[2]:
+                    best = (int(rows[row[k]] + start[k]), int(end[k] + 1 - start[k]), int(matches[k]))
+        return best
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    return values[np.concatenate([[True], values[1:] != values[:-1]])]
+
+
+def _split(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The different keys, which are sorted, and each one's values."""
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.split(values, first[1:]) if len(first) else []
 
 
 def _blocks(benchmark: DataFrame) -> Iterator[tuple[list, Index]]:
@@ -148,8 +223,9 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not read. Tokens are runs of letters
     and digits, ASCII letters in lower case; ``start`` and ``length`` count the document's tokens. Null texts have none and
-    are never found. An item of fewer than ``MIN_OVERLAP`` tokens is found only where it is the whole document, as
-    short phrases occur by chance. Repeated rows are found each. Without documents or items the result is empty.
+    are never found. An item of fewer than ``MIN_OVERLAP`` tokens is found where all of it occurs, without substitutions, and
+    one of fewer than ``MIN_EXACT`` only where it is the whole document. Repeated rows are found each. Without documents or
+    items the result is empty.
     """
     result = None
     for ids, index in _blocks(benchmark):

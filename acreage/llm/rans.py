@@ -158,7 +158,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None) ->
     columns = ("doc_id", docs["doc_id"].cast("bigint")), ("row", F.monotonically_increasing_id())
     coded = encoded_table(tokenized(docs, path, *columns), "tokens")
     dtype = f"<u{id_width(path)}"
-    frequencies(coded, dtype).coalesce(1).write.parquet(f"{folder}/code")
+    frequencies(coded, dtype).write.parquet(f"{folder}/code")
     code = spark.sparkContext.broadcast(read_code(spark, folder))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

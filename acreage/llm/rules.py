@@ -6,6 +6,10 @@ is at most ``risk``. All bounds hold together with probability ``1 - delta``: Bo
 within one rule the cutoffs are tried from the most lenient on, stopping at the first that fails, which needs no further
 correction. Among the cutoffs that pass, the one is taken that rejects most labelled bad documents for what it costs
 in good ones; if none rejects more, the rule is not used in that stratum.
+
+The strata are the languages. Where a language has too few good documents for any cutoff to pass, it is pooled with the next
+smallest stratum, until each has enough or all are one; the bounds then hold for the pool. The pools depend on how many
+labels there are and on nothing else, so the bounds stay exact.
 """
 
 from __future__ import annotations
@@ -20,11 +24,12 @@ from pyspark.sql import functions as F
 from acreage.llm.common import stored, words_of
 
 # Limit on the share of good documents that one rule rejects in a stratum, and the chance that any limit is broken.
-RISK = 0.005
+RISK = 0.015
 DELTA = 0.05
 # A rejected share of good documents counts as much as this many times the same share of bad ones.
 COST = 20.0
-STRATA = ("en", "de", "fr", "es")
+# Languages that are strata of their own before pooling; those with fewer labels begin as one stratum.
+LANGUAGES = 64
 
 # Fixed values of the base rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -83,7 +88,7 @@ def repeated_words(words: Column) -> Column:
 
 def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``stratum``, the base counts and the rules' statistics of every row."""
-    stratum = F.when(F.col("lang").isin(*STRATA), F.col("lang")).otherwise("other") if "lang" in docs.columns else F.lit("other")
+    stratum = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     base = docs.select("doc_id", stratum.alias("stratum"), F.coalesce("text", F.lit("")).alias("text"))
     base = base.withColumn("words", words_of(F.col("text")))
     lines = F.filter(F.split("text", "\n", -1), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0)
@@ -139,17 +144,31 @@ def within_risk(rejected: int, good: int, risk: float, error: float) -> bool:
     return good > 0 and rejected <= risk * good and binomial_tail(rejected, good, risk) <= error
 
 
+def pools(good: dict[str, int], risk: float, delta: float) -> list[tuple[str, ...]]:
+    """The strata by their good documents: the smallest two are pooled until a cutoff can pass in each."""
+    strata = sorted(((n, (s,)) for s, n in good.items()), reverse=True)
+    # what is left of a long tail of languages begins as one pool
+    strata = [*strata[:LANGUAGES], *([(sum(n for n, _ in strata[LANGUAGES:]), sum((s for _, s in strata[LANGUAGES:]), ()))] if strata[LANGUAGES:] else [])]
+    while len(strata) > 1:
+        strata.sort(reverse=True)
+        if within_risk(0, strata[-1][0], risk, delta / (len(strata) * len(RULES))):
+            break
+        (n, one), (m, other) = strata.pop(), strata.pop()
+        strata.append((n + m, tuple(sorted(one + other))))
+    return [s for _, s in sorted(strata, reverse=True)]
+
+
 @dataclass(frozen=True)
 class Thresholds:
-    """The cutoff per stratum and rule; a pair that is missing has none."""
+    """The cutoff per pool of strata and rule; a pair that is missing has none."""
 
-    cutoffs: dict[tuple[str, str], float]
+    cutoffs: dict[tuple[tuple[str, ...], str], float]
 
     def rejects(self) -> Column:
         """Whether some rule rejects the row of ``statistics``."""
         test = F.lit(False)
-        for (stratum, rule), cutoff in sorted(self.cutoffs.items()):
-            test = test | ((F.col("stratum") == stratum) & (F.col(rule) > cutoff))
+        for (pool, rule), cutoff in sorted(self.cutoffs.items()):
+            test = test | (F.col("stratum").isin(*pool) & (F.col(rule) > cutoff))
         return test
 
 
@@ -157,7 +176,8 @@ def calibrate(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
     """Thresholds from all labelled rows of ``stats``.
 
     ``labels`` needs doc_id and quality; rows with a null in either are left out, and a document labelled both ways
-    counts as good. What comes to the driver is one count per stratum, rule and cutoff.
+    counts as good. What comes to the driver is one count per labelled language, rule and cutoff. A language without
+    labels has no cutoffs.
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     known = stats.join(marks, "doc_id")
@@ -167,25 +187,33 @@ def calibrate(stats: DataFrame, labels: DataFrame, risk: float = RISK, delta: fl
         return F.struct(F.lit(rule).alias("rule"), F.size(F.filter(cuts, lambda c: c >= F.col(rule))).alias("passed"))
 
     each = known.select("stratum", (F.col("quality") >= 1).alias("good"), F.explode(F.array(*map(passed, RULES))).alias("at"))
+    counts = each.groupBy("stratum", "good", "at.rule", "at.passed").count().collect()
+    any_rule = next(iter(RULES))
+    good_documents: Counter = Counter({r["stratum"]: 0 for r in counts})
+    for r in counts:
+        if r["good"] and r["rule"] == any_rule:
+            good_documents[r["stratum"]] += r["count"]
+    strata = pools(good_documents, risk, delta)
+    pool_of = {s: pool for pool in strata for s in pool}
     sizes: Counter = Counter()
-    for r in each.groupBy("stratum", "good", "at.rule", "at.passed").count().collect():
+    for r in counts:
+        pool = pool_of[r["stratum"]]
         for k in range(r["passed"], len(RULES[r["rule"]])):
-            sizes[r["stratum"], r["good"], r["rule"], k] += r["count"]
-        sizes[r["stratum"], r["good"], r["rule"]] += r["count"]
-    strata = [*STRATA, "other"]
-    error = delta / (len(strata) * len(RULES))
+            sizes[pool, r["good"], r["rule"], k] += r["count"]
+        sizes[pool, r["good"], r["rule"]] += r["count"]
+    error = delta / (max(1, len(strata)) * len(RULES))
     cutoffs = {}
-    for stratum in strata:
+    for pool in strata:
         for rule, cuts in RULES.items():
-            good, bad = sizes[stratum, True, rule], sizes[stratum, False, rule]
+            good, bad = sizes[pool, True, rule], sizes[pool, False, rule]
             best = 0.0
             for k, cutoff in enumerate(cuts):
-                lost = sizes[stratum, True, rule, k]
+                lost = sizes[pool, True, rule, k]
                 if not bad or not within_risk(lost, good, risk, error):
                     break
-                gain = sizes[stratum, False, rule, k] / bad - COST * lost / good
+                gain = sizes[pool, False, rule, k] / bad - COST * lost / good
                 if gain > best:
-                    best, cutoffs[stratum, rule] = gain, cutoff
+                    best, cutoffs[pool, rule] = gain, cutoff
     return Thresholds(cutoffs)
 
 

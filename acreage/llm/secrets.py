@@ -1,18 +1,22 @@
 """Secret scans on built-in functions: fixed patterns, and a randomness test battery for every other long token.
 
-The battery infers a token's encoding from its characters and asks how far the token is from random draws of that
-alphabet: a chi-squared test of uniformity, a runs test around the middle of the alphabet and a test of the correlation
-of neighbours. The three standard scores are added up as squares; small sums look random.
-
-Ordinary long words set the scale. A token's p-value is the share of lower-case words, no longer than its length class,
-that look as random as it does. A test has little power on short tokens, and the words of that class then look random
-as well, so the p-value is large. Benjamini and Hochberg's procedure over all tested tokens keeps the expected share of
-false finds at ``FALSE_FINDS``.
+The battery infers a token's encoding from its characters and tests how evenly it uses that alphabet (chi-squared), how
+often it changes between classes of characters (runs) and whether neighbours go together (serial correlation).
+
+A token is a find if it looks random and ordinary text would not. It must be consistent with random draws in all three
+tests. Its p-value is the chance that an ordinary token of the same encoding and length looks as random: one whose
+letters are as frequent as in English and whose classes change as seldom as in words, paths and identifiers. The exact
+mean and variance of chi-squared for such tokens and a bound on the binomial tail for the changes give a p-value each, which
+Fisher's product combines. The ordinary tokens' model is fixed, so a p-value depends on the token alone.
+
+Benjamini and Hochberg's procedure over all tested tokens keeps the expected share of false finds at ``FALSE_FINDS``. It is
+weighted by length, as the tests tell little about short tokens.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,8 +52,68 @@ ENCODINGS = {
     "any": _LOWER.upper() + _LOWER + _DIGITS + "+/-_",
 }
 LENGTHS = (20, 24, 32, 48, 64, 128)
-# Scores are counted in steps of 1 / STEPS, the last step being open.
-STEPS, LAST = 8, 400
+# p-values are counted in steps of a 1 / STEPS power of two, the last step being open.
+STEPS, LAST = 4, 400
+# A token this many standard deviations off in a test is not consistent with random draws.
+FAR = 3.3
+
+# How often letters occur in English, in percent, from a to z.
+ENGLISH = (
+    8.17, 1.49, 2.78, 4.25, 12.70, 2.23, 2.02, 6.09, 6.97, 0.15, 0.77, 4.03, 2.41,
+    6.75, 7.51, 1.93, 0.10, 5.99, 6.33, 9.06, 2.76, 0.98, 2.36, 0.15, 1.97, 0.07,
+)
+VOWELS = "aeiou"
+
+
+@dataclass(frozen=True)
+class Ordinary:
+    """Ordinary tokens of an encoding: shares of lower-case letters, capitals, digits and marks, and of class changes."""
+
+    lower: float
+    upper: float
+    digits: float
+    marks: float
+    changes: float
+
+    def frequencies(self, alphabet: str) -> list[float]:
+        """How often each symbol of the alphabet occurs."""
+        letters = [x / sum(ENGLISH) for x in ENGLISH]
+        groups = {"lower": self.lower, "upper": self.upper, "digits": self.digits, "marks": self.marks}
+        weights = [letters[ord(c.lower()) - 97] if c.isalpha() else 1.0 for c in alphabet]
+        sums = Counter()
+        for c, w in zip(alphabet, weights):
+            sums[_group(c)] += w
+        shares = sum(groups[g] for g in sums)
+        return [groups[_group(c)] / shares * w / sums[_group(c)] for c, w in zip(alphabet, weights)]
+
+
+def _group(c: str) -> str:
+    return "digits" if c.isdigit() else "lower" if c.islower() else "upper" if c.isupper() else "marks"
+
+
+# Digits are missing, as ordinary numbers look random. In words the classes are vowels and consonants, which take turns.
+ORDINARY = {
+    "hex": Ordinary(0.3, 0.0, 0.7, 0.0, 0.2),
+    "HEX": Ordinary(0.0, 0.3, 0.7, 0.0, 0.2),
+    "word": Ordinary(1.0, 0.0, 0.0, 0.0, 0.6),
+    "WORD": Ordinary(0.0, 1.0, 0.0, 0.0, 0.6),
+    "base32": Ordinary(0.0, 0.85, 0.15, 0.0, 0.15),
+    "base36": Ordinary(0.85, 0.0, 0.15, 0.0, 0.15),
+    "BASE36": Ordinary(0.0, 0.85, 0.15, 0.0, 0.15),
+    "letters": Ordinary(0.85, 0.15, 0.0, 0.0, 0.25),
+    "base62": Ordinary(0.75, 0.10, 0.15, 0.0, 0.25),
+    "base64": Ordinary(0.70, 0.10, 0.10, 0.10, 0.30),
+    "any": Ordinary(0.70, 0.10, 0.10, 0.10, 0.30),
+}
+WORDS = ("word", "WORD")
+
+
+def random_changes(name: str) -> float:
+    """The chance that two random neighbours of an encoding differ in class."""
+    alphabet = ENCODINGS[name]
+    shares = Counter((c.lower() in VOWELS) if name in WORDS else _group(c) for c in alphabet)
+    return 1 - sum((n / len(alphabet)) ** 2 for n in shares.values())
+
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 
@@ -96,18 +160,30 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(*spans))
 
 
+def _change_count(body: Column, words: Column) -> Column:
+    """Between how many neighbours the class changes: one less than the runs of equal classes."""
+    upper = _LOWER.upper()
+    by_group = F.translate(body, _LOWER + upper + _DIGITS + "+/-_", "a" * 26 + "A" * 26 + "0" * 10 + "-" * 4)
+    by_sound = F.translate(F.lower(body), _LOWER, "".join("a" if c in VOWELS else "b" for c in _LOWER))
+    return F.length(F.regexp_replace(F.when(words, by_sound).otherwise(by_group), r"(.)\1*", "x")) - 1
+
+
 def battery(token: Column) -> Column:
-    """``encoding`` and ``score`` of a token, as a struct; small scores look random."""
+    """``encoding`` and ``p`` of a token, as a struct: the chance that an ordinary token looks as random."""
     body = F.rtrim(token, F.lit("="))
-    encoding, alphabet = F.lit("any"), F.lit(ENCODINGS["any"])
-    for name, symbols in reversed(ENCODINGS.items()):
-        fits = F.translate(body, symbols, "") == ""
-        encoding = F.when(fits, F.lit(name)).otherwise(encoding)
-        alphabet = F.when(fits, F.lit(symbols)).otherwise(alphabet)
+    table = []
+    for name, alphabet in ENCODINGS.items():
+        own = ORDINARY.get(name)
+        q = own.frequencies(alphabet) if own else [1 / len(alphabet)] * len(alphabet)
+        powers = (sum(x**2 for x in q), sum(x**3 for x in q))
+        values = (float(len(alphabet)), *powers, own.changes if own else 0.0, random_changes(name))
+        fields = zip(("k", "s2", "s3", "often", "even"), values)
+        table.append(F.struct(F.lit(name).alias("name"), F.lit(alphabet).alias("alphabet"), *(F.lit(v).alias(n) for n, v in fields)))
+    fit = F.filter(F.array(*table), lambda e: F.call_function("translate", body, e["alphabet"], F.lit("")) == "")[0]
 
     def scores(c: Column) -> Column:
-        codes, k = c["codes"], c["size"].cast("double")
-        n = F.size(codes).cast("double")
+        e, codes = c["e"], c["codes"]
+        k, n = e["k"], F.size(codes).cast("double")
         add = lambda f, over: F.aggregate(F.transform(over, f), F.lit(0.0), lambda a, b: a + b)
         after = lambda x, i: F.get(codes, i + 1)
         # uniformity: in sorted codes the j-th of a run of equals adds 2 j - 1 to the sum of squared counts
@@ -123,29 +199,35 @@ def battery(token: Column) -> Column:
         chi, free = tally * k / n - n, k - 1
         # Wilson and Hilferty's cube root makes it a standard score
         uniform = (F.pow(chi / free, 1 / 3) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
-        high = lambda x: x * 2 >= k
-        ups = add(lambda x: F.when(high(x), 1.0).otherwise(0.0), codes)
-        both = 2 * ups * (n - ups)
-        runs = 1 + add(lambda x, i: F.when(high(x) != high(after(x, i)), 1.0).otherwise(0.0), codes)
-        spread = F.sqrt(both * (both - n) / (n * n * (n - 1)))
-        around = F.coalesce(F.try_divide(runs - (both / n + 1), spread), F.lit(10.0))
         mean = add(lambda x: x.cast("double"), codes) / n
         square = add(lambda x: (x - mean) * (x - mean), codes)
         product = add(lambda x, i: F.coalesce((x - mean) * (after(x, i) - mean), F.lit(0.0)), codes)
         serial = F.coalesce((F.try_divide(product, square) + 1 / n) * F.sqrt(n), F.lit(10.0))
-        positive = F.greatest(uniform, F.lit(0.0))
-        score = positive * positive + around * around + serial * serial
-        return F.struct(c["encoding"].alias("encoding"), F.when(F.isnan(score), F.lit(300.0)).otherwise(score).alias("score"))
-
-    coded = F.struct(
-        encoding.alias("encoding"),
-        F.length(alphabet).alias("size"),
-        _let(alphabet, lambda a: F.transform(F.split(body, "", -1), lambda ch: F.position(ch, a) - 1)).alias("codes"),
-    )
-    trimmed = F.struct(
-        coded["encoding"].alias("encoding"), coded["size"].alias("size"), F.filter(coded["codes"], lambda x: x >= 0).alias("codes")
+        pairs, changes = n - 1, c["changes"].cast("double")
+        # digits have one class and ordinary numbers look random: no find
+        runs = F.coalesce(F.try_divide(changes - pairs * e["even"], F.sqrt(pairs * e["even"] * (1 - e["even"]))), F.lit(10.0))
+        random = (uniform <= FAR) & (F.abs(runs) <= FAR) & (F.abs(serial) <= FAR)
+
+        # the mean and variance of chi-squared when symbols are as frequent as in ordinary tokens
+        usual = k * (1 - e["s2"]) + n * (k * e["s2"] - 1)
+        spread = k / n * F.sqrt(2 * n * (n - 1) * (e["s2"] + 2 * (n - 2) * e["s3"] - (2 * n - 3) * e["s2"] * e["s2"]))
+        z = (chi - usual) / spread
+        even = F.when(z < 0, 0.5 * F.exp(-z * z / 2)).otherwise(1.0)
+        # the tail of the binomial distribution is below this; words change class often, the others seldom
+        part = lambda share, of: F.when(share > 0, share * F.ln(share / of)).otherwise(0.0)
+        rate = changes / pairs
+        beyond = F.when(e["name"].isin(*WORDS), rate < e["often"]).otherwise(rate > e["often"])
+        bound = F.exp(-pairs * (part(rate, e["often"]) + part(1 - rate, 1 - e["often"])))
+        both = even * F.when(beyond & (e["often"] > 0), bound).otherwise(1.0)
+        p = F.when(random & (both > 0), both * (1 - F.ln(both))).when(random, 0.0).otherwise(1.0)
+        return F.struct(e["name"].alias("encoding"), F.coalesce(p, F.lit(1.0)).alias("p"))
+
+    coded = lambda e: F.struct(
+        e.alias("e"),
+        F.filter(F.transform(F.split(body, "", -1), lambda ch: F.position(ch, e["alphabet"]) - 1), lambda x: x >= 0).alias("codes"),
+        _change_count(body, e["name"].isin(*WORDS)).alias("changes"),
     )
-    return _let(trimmed, scores)
+    return _let(_let(fit, coded), scores)
 
 
 def length_class(size: Column) -> Column:
@@ -154,47 +236,35 @@ def length_class(size: Column) -> Column:
 
 
 def tested_tokens(text: Column) -> Column:
-    """Every long token with its span, length class, score step and whether it is an ordinary lower-case word."""
+    """Every long token with its span, length class and the step of its p-value; high steps are small values."""
 
     def make(start: Column, end: Column, token: Column) -> Column:
-        return _let(
-            battery(token),
-            lambda b: F.struct(
-                start.alias("start"),
-                end.alias("end"),
-                length_class(end - start).alias("length"),
-                F.least(F.floor(b["score"] * STEPS), F.lit(LAST)).cast("int").alias("step"),
-                (b["encoding"] == "word").alias("word"),
-            ),
-        )
+        step = F.least(F.floor(-F.log2(F.greatest(battery(token)["p"], F.lit(1e-300))) * STEPS), F.lit(LAST))
+        return F.struct(start.alias("start"), end.alias("end"), length_class(end - start).alias("length"), step.cast("int").alias("step"))
 
     return _matches(text, TOKEN, 0, LENGTHS[0], make)
 
 
 def accepted_steps(tokens: DataFrame, false_finds: float = FALSE_FINDS) -> dict[int, int]:
-    """The highest score step per length class that the false-discovery control accepts.
+    """The least step per length class that the false-discovery control accepts.
 
-    ``tokens`` has ``length``, ``step`` and ``word``. The counts that come to the driver are at most one row per
-    length class, step and word or not.
+    ``tokens`` has ``length`` and ``step``. The counts that come to the driver are at most one row per length class and
+    step. A token weighs as much as the least length of its class, and the weights are one on average.
     """
-    words, tested = Counter(), Counter()
-    for r in tokens.groupBy("length", "step", "word").count().collect():
-        (words if r["word"] else tested)[r["length"], r["step"]] += r["count"]
-    values = []
-    for (length, step), count in tested.items():
-        # words of longer classes do not count: they look less random and would flatter the token
-        pool = [(s, n) for (c, s), n in words.items() if c <= length]
-        p = (1 + sum(n for s, n in pool if s <= step)) / (1 + sum(n for _, n in pool))
-        values.append((p, length, step, count))
-    total, seen, limit = sum(tested.values()), 0, 0.0
-    for p in sorted({v[0] for v in values}):
-        seen += sum(v[3] for v in values if v[0] == p)
+    counts = {(r["length"], r["step"]): r["count"] for r in tokens.groupBy("length", "step").count().collect()}
+    total = sum(counts.values())
+    weighed = sum(n * LENGTHS[length] for (length, _), n in counts.items())
+    values = sorted((2.0 ** (-step / STEPS) * weighed / (total * LENGTHS[length]), length, step, n) for (length, step), n in counts.items())
+    seen, limit = 0, -1.0
+    for p, _, _, n in values:
+        seen += n
+        # values that are equal are accepted together: the last of them has seen them all
         if p <= false_finds * seen / total:
             limit = p
     steps: dict[int, int] = {}
     for p, length, step, _ in values:
         if p <= limit:
-            steps[length] = max(steps.get(length, -1), step)
+            steps[length] = min(steps.get(length, LAST), step)
     return steps
 
 
@@ -202,9 +272,9 @@ def random_spans(tokens: Column, base: Column, steps: dict[int, int]) -> Column:
     """Spans of accepted tokens that no span of ``base`` holds already."""
     test = lambda t: F.lit(False)
     for length, step in steps.items():
-        test = lambda t, f=test, c=length, s=step: f(t) | ((t["length"] == c) & (t["step"] <= s))
+        test = lambda t, f=test, c=length, s=step: f(t) | ((t["length"] == c) & (t["step"] >= s))
     held = lambda t: F.exists(base, lambda b: (b["start"] <= t["start"]) & (b["end"] >= t["end"]))
-    kept = F.filter(tokens, lambda t: ~t["word"] & test(t) & ~held(t))
+    kept = F.filter(tokens, lambda t: test(t) & ~held(t))
     rank = len(KINDS)
     make = lambda t: F.struct(t["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(RANDOM).alias("kind"), t["end"].alias("end"))
     return F.transform(kept, make).cast(f"array<{SPAN}>")
@@ -214,8 +284,7 @@ def scan(docs: DataFrame, false_finds: float = FALSE_FINDS) -> DataFrame:
     """``doc_id``, ``base`` and ``spans`` of every row: the fixed patterns' spans, and these with the battery's.
 
     ``docs`` needs doc_id and text; other columns are not read. Spans are in code points with the end exclusive. A null
-    text is empty and has none. Repeated rows and null ids are scanned each. Without ordinary long words to compare
-    with, the battery accepts nothing. An empty table gives an empty result.
+    text is empty and has none. Repeated rows and null ids are scanned each. An empty table gives an empty result.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = docs.select("doc_id", base_spans(text).alias("base"), tested_tokens(text).alias("tokens"))

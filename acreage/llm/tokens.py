@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as compute
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 
@@ -21,8 +22,19 @@ CACHE_LENGTH = 64
 END_ID = 1
 # Fixed value: the pieces of tokenizers that allow encoding by words.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-# No apostrophe, which may begin a piece with letters, and no character that ends a special token.
-_MARKS = b"!#$%&*.,:;?)-"
+# Classes of bytes: a letter or digit, a mark that is a piece of its own behind one of these, white space.
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[[c for c in range(128) if chr(c).isalnum()]] = 1
+# No apostrophe, which may begin a piece with letters.
+_CLASS[list(b"!#$%&*.,:;?)-")] = 2
+_CLASS[list(b" \t\n\x0b\x0c\r")] = 4
+# The second bytes of Latin-1's letters, behind 0xC3; the two that are left out are signs.
+_CLASS[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = 3
+# Stands for the end of a text among words; no byte of UTF-8.
+_APART = b"\xff"
+_SPLIT = b" \xff "
+# Texts that are encoded at a time, in bytes.
+PORTION_BYTES = 2 << 20
 
 # Letters below this are single composed characters, which composing leaves as they are.
 _COMPOSED = "\u0250"
@@ -55,7 +67,10 @@ class WordEncoder:
         self.code = "H" if self.dtype == "<u2" else "I"
         self.model = self.tokenizer.model
         self.by_words = _drops_spaces(json.loads(self.tokenizer.to_str()))
-        self.young: dict[bytes, bytes] = {}
+        self.end = np.array([END_ID], dtype=self.dtype).tobytes()
+        # in lower case, as the texts they are looked for in
+        self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.young: dict[bytes, bytes] = {_APART: self.end}
         self.old: dict[bytes, bytes] = {}
 
     @classmethod
@@ -66,64 +81,87 @@ class WordEncoder:
         return _ENCODERS[path]
 
     def encode(self, text: bytes) -> bytes:
+        """The ids of one text, without an end id."""
         if not self.by_words:
             whole = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
             return array(self.code, whole.ids).tobytes()
-        words = text.split()
+        return b"".join(self._coded(self._words(text)))
+
+    def encode_all(self, texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """The ids of texts one after the other, each with the end id, and the place in bytes where each ends."""
+        joined = _SPLIT.join(texts) + _SPLIT
+        if not self.by_words or joined.count(_APART) > len(texts):
+            coded = [self.encode(t) + self.end for t in texts]
+            return b"".join(coded), np.cumsum([len(c) for c in coded], dtype=np.int64)
+        words = self._words(joined)
+        coded = self._coded(words)
+        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
+        return b"".join(coded), ends[[k for k, w in enumerate(words) if w == _APART]]
+
+    def _words(self, text: bytes) -> list[bytes]:
+        # the tokenizer lower-cases letters, but finds special tokens before that
+        low = text.lower()
+        return text.split() if any(s in low for s in self.special) else with_marks_apart(low).split()
+
+    def _coded(self, words: list[bytes]) -> list[bytes]:
         coded = list(map(self.young.get, words))
         if None in coded:
             new = self._learned({w for w, ids in zip(words, coded) if ids is None})
             coded = [new[w] if ids is None else ids for w, ids in zip(words, coded)]
             if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {}
-        return b"".join(coded)
+                self.old, self.young = self.young, {_APART: self.end}
+        return coded
 
     def _learned(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words that the young generation lacks, which it gets.
-
-        ASCII marks behind an ASCII letter or digit are pieces of their own, and ASCII letters are lower-cased by the
-        tokenizer, so "Word," is the ids of "word" and of ",".
-        """
-        known, plan, missing = {}, [], set()
+        """The ids of words that the young generation lacks, which it gets."""
+        known, parts, texts = {}, [], []
+        old, tokenize, code = self.old, self.model.tokenize, self.code
         for word in words:
-            ids = self.old.get(word)
-            if ids is not None:
-                known[word] = ids
+            if word in old:
+                known[word] = old[word]
                 continue
-            base = word.rstrip(_MARKS)
-            if base[-1:].isalnum():
-                stem, tail = (base.lower() if base.isalnum() else base), word[len(base) :]
-            else:
-                stem, tail = word, b""
-            plan.append((word, stem, tail))
-            for part in (stem, tail):
-                if part not in known:
-                    ids = self.young.get(part) or self.old.get(part) if part else b""
-                    if ids is None:
-                        missing.add(part)
-                    else:
-                        known[part] = ids
-        parts, texts, tokenize = [], [], self.model.tokenize
-        for part in missing:
-            text = part.decode("utf-8", "replace")
-            low = text.lower()
-            if low.isalpha() and max(low) < _COMPOSED:
-                # letters alone are one piece that the normaliser only lower-cases: straight to the merges
-                mapped = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                known[part] = array(self.code, [t.id for t in tokenize(mapped)]).tobytes()
+            # letters alone are one piece that the normaliser only lower-cases: straight to the merges
+            if word.isalpha():
+                mapped = word.lower().decode()
             else:
-                parts.append(part)
-                texts.append(text)
+                text = word.decode("utf-8", "replace")
+                low = text.lower()
+                if not low.isalpha() or max(low) >= _COMPOSED:
+                    parts.append(word)
+                    texts.append(text)
+                    continue
+                mapped = low.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            known[word] = array(code, [t.id for t in tokenize(mapped)]).tobytes()
         if texts:
-            for part, piece in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                known[part] = array(self.code, piece.ids).tobytes()
-        for word, stem, tail in plan:
-            if tail or stem is not word:
-                known[word] = known[stem] + known[tail]
-        self.young.update((w, ids) for w, ids in known.items() if len(w) <= CACHE_LENGTH)
+            for word, piece in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+                known[word] = array(code, piece.ids).tobytes()
+        if known:
+            short = max(map(len, known)) <= CACHE_LENGTH
+            self.young.update(known if short else {w: x for w, x in known.items() if len(w) <= CACHE_LENGTH})
         return known
 
 
+def with_marks_apart(text: bytes) -> bytes:
+    """A space put before every single mark that stands between a letter or digit and white space or the end.
+
+    Such a mark is a piece of its own, so "word," has the ids of "word" and of ",". Letters are those of ASCII and, as two
+    bytes, of Latin-1.
+    """
+    raw = np.frombuffer(text + b" ", dtype=np.uint8)
+    kinds = _CLASS[raw]
+    at = np.flatnonzero((kinds[1:-1] == 2) & (kinds[2:] == 4)) + 1
+    before = kinds[at - 1]
+    at = at[(before == 1) | ((before == 3) & (raw[np.maximum(at, 2) - 2] == 0xC3) & (at > 1))]
+    if not len(at):
+        return text
+    places = at + np.arange(len(at))
+    out = np.empty(len(text) + len(at), dtype=np.uint8)
+    kept = np.ones(len(out), dtype=bool)
+    kept[places] = False
+    out[places], out[kept] = 32, raw[:-1]
+    return out.tobytes()
+
+
 def _drops_spaces(config: dict) -> bool:
     """Whether the tokenizer is of the kind whose pieces are letters, digits or marks and never white space."""
     splits = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}, {}]
@@ -146,6 +184,19 @@ def id_width(path: str) -> int:
     return np.dtype(WordEncoder.at(path).dtype).itemsize
 
 
+def _portions(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """Batches of a bounded number of bytes; a longer text is one by itself."""
+    for batch in batches:
+        first = size = 0
+        for k, n in enumerate(compute.binary_length(batch.column(column)).to_pylist()):
+            if size and size + n > PORTION_BYTES:
+                yield batch.slice(first, k - first)
+                first, size = k, 0
+            size += n
+        if batch.num_rows:
+            yield batch.slice(first)
+
+
 def tokenized(docs: DataFrame, path: str, *columns: tuple[str, Column], queue: str | None = None) -> DataFrame:
     """``columns`` beside ``ids`` (with the end id) and ``n``, their number.
 
@@ -160,20 +211,21 @@ def tokenized(docs: DataFrame, path: str, *columns: tuple[str, Column], queue: s
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.at(path)
         width = np.dtype(encoder.dtype).itemsize
-        end = np.array([END_ID], dtype=encoder.dtype).tobytes()
         part, sums = TaskContext.get().partitionId(), {}
-        for batch in batches:
-            ids = [encoder.encode(t.as_py()) + end for t in batch.column(len(names))]
-            counts = [len(x) // width for x in ids]
+        for batch in _portions(batches, len(names)):
+            raw, ends = encoder.encode_all(batch.column(len(names)).to_pylist())
+            offsets = np.concatenate([[0], ends])
+            ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+            counts = np.diff(offsets) // width
             kept = [batch.column(k) for k in range(len(names))]
-            made = {"part": pa.array([part] * len(ids), pa.int32()), "n": pa.array(counts, pa.int64())}
+            made = {"part": pa.array(np.full(len(ends), part, dtype=np.int32)), "n": pa.array(counts)}
             if at is not None:
                 before = []
-                for key, n in zip(batch.column(at).to_pylist(), counts):
+                for key, n in zip(batch.column(at).to_pylist(), counts.tolist()):
                     before.append(sums.get(key, 0))
                     sums[key] = before[-1] + n
                 made["before"] = pa.array(before, pa.int64())
-            made["ids"] = pa.array(ids, pa.binary())
+            made["ids"] = ids.cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*kept, *made.values()], names=[*names, *made])
 
     more = "part int, n bigint, " + ("before bigint, " if queue else "") + "ids binary"

@@ -5,9 +5,9 @@ A text's features are its different words, pairs of neighbours and pairs with on
 an L1 penalty that keeps it at exactly zero until it has said enough. So few weights are left, and these go to all tasks.
 
 Learning runs in ``SHARDS`` tasks. In each of ``ROUNDS`` rounds every task starts from the shared state, goes through its
-documents in order and hands back what it changed; the changes are averaged, block by block of coordinates, in Spark.
-The state has a fixed size, whatever the size of the corpus. Shards and orders come from hashes of ids, so the
-weights do not depend on how the input is split.
+documents in order and hands back the coordinates it changed, and the changes are averaged. The state has a fixed size,
+whatever the size of the corpus, and so has what a round sends: ten bytes per coordinate and shard at most. Shards and
+orders come from hashes of ids, so the weights do not depend on how the input is split.
 """
 
 from __future__ import annotations
@@ -18,13 +18,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreage.llm.common import remainder, stored, text_bytes
+from acreage.llm.common import remainder, text_bytes
 from acreage.llm.decontaminate import tokens_of
+from acreage.session import checkpointed
 
-BITS = 20
+BITS = 19
 # Bound of what the model is fitted on: labelled documents, those with the smallest hashes of their ids.
 FIT_DOCUMENTS = 100_000
 SHARDS = 4
@@ -32,8 +34,6 @@ ROUNDS = 8
 # Learning rate, its damping, and the two penalties.
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 2.0, 0.1
 THRESHOLD = 0.7
-# Coordinates that are averaged as one row.
-BLOCK = 1 << 14
 # Words whose hashes a worker keeps.
 CACHE_WORDS = 300_000
 # Texts whose features are worked out at a time, in bytes.
@@ -46,9 +46,17 @@ _ODD = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 def _word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_HASHES) > CACHE_WORDS:
         _HASHES.clear()
-    for w in set(words).difference(_HASHES):
-        _HASHES[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    found = list(map(_HASHES.get, words))
+    for k, (word, value) in enumerate(zip(words, found)):
+        if value is None:
+            found[k] = _HASHES.setdefault(word, xxhash.xxh64_intdigest(word))
+    return np.array(found, dtype=np.uint64)
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different values in order; on large arrays a sort is faster than NumPy's own way."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -93,10 +101,10 @@ class State:
 
     @classmethod
     def fresh(cls) -> "State":
-        return cls(np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1))
+        return cls(*(np.zeros((1 << BITS) + 1, dtype=np.float32) for _ in range(2)))
 
     def weights(self, at: np.ndarray) -> np.ndarray:
-        z, n = self.z[at], self.n[at]
+        z, n = self.z[at].astype(float), self.n[at].astype(float)
         rate = (BETA + np.sqrt(n)) / ALPHA + L2
         # the constant has no penalty
         pull = np.where(at == 1 << BITS, 0.0, L1)
@@ -106,7 +114,7 @@ class State:
         """One step for a document with the features ``at``, each once, the constant among them."""
         w = self.weights(at)
         gradient = 1 / (1 + np.exp(-np.clip(w.sum(), -30, 30))) - toxic
-        n = self.n[at]
+        n = self.n[at].astype(float)
         sigma = (np.sqrt(n + gradient * gradient) - np.sqrt(n)) / ALPHA
         self.z[at] += gradient - sigma * w
         self.n[at] = n + gradient * gradient
@@ -129,49 +137,38 @@ class Model:
         """``full`` is ``dense()``, made once per task."""
         docs, at = features(texts)
         used = np.flatnonzero(full[at])
-        pairs = np.unique((docs[used] << BITS) | at[used])
+        pairs = _different((docs[used] << BITS) | at[used])
         return np.bincount(pairs >> BITS, full[pairs & ((1 << BITS) - 1)], len(texts)) + self.constant
 
 
 def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's different features: steps from one coordinate to the next, compressed."""
+    packer = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         first = 0
         for portion in _portions(batch.column(3)):
             docs, at = features(portion)
-            pairs = np.unique((docs << BITS) | at)
+            pairs = _different((docs << BITS) | at)
             cuts = np.searchsorted(pairs >> BITS, np.arange(len(portion) + 1))
-            own = (pairs & ((1 << BITS) - 1)).astype("<i4")
-            raw = [own[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            own = pairs & ((1 << BITS) - 1)
+            raw = [packer.compress(np.diff(own[a:b], prepend=0).astype("<u4").tobytes()) for a, b in zip(cuts, cuts[1:])]
             rows = batch.slice(first, len(portion))
-            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(raw, pa.binary())], names=["shard", "key", "toxic", "features"])
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(raw, pa.binary())], names=["shard", "place", "toxic", "features"])
             first += len(portion)
 
 
 def _changes(batches: Iterator[pa.RecordBatch], start: State) -> Iterator[pa.RecordBatch]:
-    """Blocks of the changes that a round makes to the shared state, in one shard after the other."""
-    names = ["block", "z", "n"]
-
-    def rows(state: State) -> pa.RecordBatch:
-        z, n = state.z - start.z, state.n - start.n
-        blocks = np.unique(np.flatnonzero(n) // BLOCK)
-        columns = (pa.array([x[b * BLOCK : (b + 1) * BLOCK].astype("<f8").tobytes() for b in blocks], pa.binary()) for x in (z, n))
-        return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int32()), *columns], names=names)
-
-    current, state = None, None
+    """The coordinates that a round changes in the task's shard, and by how much."""
+    state, unpacker = State(start.z.copy(), start.n.copy()), zstandard.ZstdDecompressor()
     for batch in batches:
-        for shard, toxic, raw in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            if shard != current:
-                if state is not None:
-                    yield rows(state)
-                current, state = shard, State(start.z.copy(), start.n.copy())
-            state.learn(np.append(np.frombuffer(raw, "<i4"), 1 << BITS), toxic)
-    if state is not None:
-        yield rows(state)
-
-
-def _summed(table: pa.Table) -> pa.Table:
-    z, n = (sum(np.frombuffer(x.as_py(), "<f8") for x in table.column(c)).tobytes() for c in ("z", "n"))
-    return pa.table({"block": table.column("block")[:1].combine_chunks(), "z": pa.array([z], pa.binary()), "n": pa.array([n], pa.binary())})
+        for toxic, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = np.cumsum(np.frombuffer(unpacker.decompress(raw), "<u4"), dtype=np.int64)
+            state.learn(np.append(own, 1 << BITS), toxic)
+    z, n = state.z - start.z, state.n - start.n
+    at = np.flatnonzero(n)
+    parts = at.astype("<u4"), z[at].astype("<f4"), n[at].astype("<f4")
+    columns = [pa.array([x.tobytes()], pa.binary()) for x in parts]
+    yield pa.RecordBatch.from_arrays(columns, names=["at", "z", "n"])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
@@ -186,22 +183,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     # as many rows as the limit allows, of three numbers each
     texts = docs.select("doc_id", text_bytes().alias("text")).join(F.broadcast(marks), F.col("doc_id") == F.col("_id"))
     shard = F.pmod(F.col("key"), F.lit(SHARDS)).cast("int")
-    coded = texts.select(shard.alias("shard"), "key", "toxic", "text")
-    coded = coded.mapInArrow(_coded, "shard int, key bigint, toxic int, features binary")
-    coded = coded.repartition(SHARDS, "shard").sortWithinPartitions("shard", F.xxhash64("key"), "features")
-    coded = stored(coded.select("shard", "toxic", "features", F.xxhash64("key").alias("place")), "toxicity-features")
+    coded = texts.select(shard.alias("shard"), F.xxhash64("key").alias("place"), "toxic", "text")
+    coded = coded.mapInArrow(_coded, "shard int, place bigint, toxic int, features binary")
+    # one shard to a partition, in a fixed order, for all rounds
+    coded = coded.repartitionById(SHARDS, F.col("shard")).sortWithinPartitions("place", "features", "toxic")
+    coded = checkpointed(coded.select("toxic", "features"))
     state = State.fresh()
     for _ in range(ROUNDS):
         shared = docs.sparkSession.sparkContext.broadcast(state)
-        rows = coded.repartition(SHARDS, "shard").sortWithinPartitions("shard", "place", "features").select("shard", "toxic", "features")
-        changed = rows.mapInArrow(lambda batches, start=shared: _changes(batches, start.value), "block int, z binary, n binary")
-        # a row per block of coordinates
-        summed = changed.groupBy("block").applyInArrow(_summed, "block int, z binary, n binary").collect()
+        changed = coded.mapInArrow(lambda batches, start=shared: _changes(batches, start.value), "at binary, z binary, n binary")
         state = State(state.z.copy(), state.n.copy())
-        for r in summed:
-            at = slice(r["block"] * BLOCK, r["block"] * BLOCK + len(r["z"]) // 8)
-            state.z[at] += np.frombuffer(r["z"], "<f8") / SHARDS
-            state.n[at] += np.frombuffer(r["n"], "<f8") / SHARDS
+        for r in changed.collect():
+            at = np.frombuffer(r["at"], "<u4")
+            state.z[at] += np.frombuffer(r["z"], "<f4") / SHARDS
+            state.n[at] += np.frombuffer(r["n"], "<f4") / SHARDS
+        shared.unpersist()
     weights = state.weights(np.arange(len(state.z)))
     kept = np.flatnonzero(weights[:-1])
     return Model(kept.astype(np.int32), weights[kept].astype(np.float32), float(weights[-1]))
