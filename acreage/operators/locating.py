@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,8 +18,9 @@ from acreage.session import stored
 def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID") -> DataFrame:
     """Permits with the point of each civic that has their id; one row per pair, as civic ids may repeat.
 
-    A small civic table is broadcast. Otherwise ids with one civic take the balanced lookup, and repeated ids a
-    join whose heavy keys are cut into shares; its output is as large as its pairs.
+    A small civic table is broadcast. Otherwise only the permits that name a repeated id, found by an aggregate of the
+    civics, go into the join of many to many, whose heavy keys are cut into shares on both sides; the others take the
+    balanced lookup. The output is as large as its pairs.
     """
     points = civics.select(F.col("CIV_ID").alias(id_field), "X", "Y")
     if fits_broadcast(civics):
@@ -26,9 +29,9 @@ def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID"
         F.count(F.lit(1)).alias("n"), F.min("X").alias("X"), F.min("Y").alias("Y")
     )
     single = lookup_join(permits, per_id.where("n = 1").select(id_field, "X", "Y"), [id_field], "inner")
-    repeated = per_id.where("n > 1").select(id_field)
+    repeated = stored(per_id.where("n > 1").select(id_field), "repeated-ids")
     many = points.join(repeated, id_field, "left_semi")
-    pairs = salted_join(permits, many, on=[id_field], by=permits.columns)
+    pairs = salted_join(permits.join(repeated, id_field, "left_semi"), many, on=[id_field], by=permits.columns)
     return single.unionByName(pairs.select(*single.columns))
 
 
@@ -139,6 +142,14 @@ def locate_permits(
     )
 
 
+def uncategorised(located: DataFrame, categories: Sequence[str]) -> DataFrame:
+    """Placed permits that no category's table takes, as rows of the report."""
+    known = F.coalesce(F.col("Permit_Category").isin(*categories), F.lit(False))
+    return located.where(F.col("method").isNotNull() & ~known).select(
+        F.lit("Unknown_Category").alias("section"), "Permit_Category", "Permit_Number", "PID", F.lit("unknown_category").alias("reason")
+    )
+
+
 def failures(located: DataFrame) -> DataFrame:
     """The report of permits without a point, one section per category and a reason per row."""
     table = F.concat(F.lit("LND_PPLC_"), F.col("Permit_Category"), F.lit("_Permits_failed_locates"))

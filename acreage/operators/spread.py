@@ -113,26 +113,32 @@ def lookup_join(
 
 
 def salted_join(
-    left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], small: bool = False
+    left: DataFrame, right: DataFrame, on: Sequence[str], by: Sequence[str], small: bool = False, right_by: Sequence[str] | None = None
 ) -> DataFrame:
     """Inner join to a table with many rows per key, for left rows that ``on`` and ``by`` tell apart.
 
-    A heavy key of ``left`` is cut into shares by a hash of ``by``; the right rows of that key are repeated
-    once per share. ``small`` says that ``right`` is known to fit a broadcast.
+    A key that is heavy on either side is cut in a grid: ``a`` shares of its left rows by a hash of ``by``, ``b`` shares of
+    its right rows by a hash of ``right_by`` (all columns, if not given), and every left share meets every right
+    one. Its left rows are repeated ``b`` times and its right rows ``a`` times, and no task has more than a share of
+    each. ``small`` says that ``right`` is known to fit a broadcast.
     """
     on, by = list(on), list(by)
     if small:
         return left.join(F.broadcast(right), on)
-    heavy = stored(heavy_keys(left.groupBy(*on).count(), on), "heavy-keys")
+    ours, theirs = (heavy_keys(df.groupBy(*on).count(), on) for df in (left, right))
+    both = ours.withColumnRenamed("_shares", "_ours").join(theirs.withColumnRenamed("_shares", "_theirs"), on, "full_outer")
+    heavy = stored(both.select(*on, F.coalesce("_ours", F.lit(1)).alias("_ours"), F.coalesce("_theirs", F.lit(1)).alias("_theirs")), "heavy-keys")
     if heavy.isEmpty():
         return left.join(right, on)
-    rows = left.join(heavy, on, "left").withColumn(
-        "_slot", F.coalesce(F.pmod(F.xxhash64(*by), F.col("_shares")), F.lit(0)).cast("int")
-    )
-    repeated = right.join(heavy, on, "left").withColumn(
-        "_slot", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_shares"), F.lit(1)) - 1))
-    )
-    return rows.drop("_shares").join(repeated.drop("_shares"), [*on, "_slot"]).drop("_slot")
+
+    def cut(df: DataFrame, keys: Sequence[str], mine: str, other: str, slots: tuple[str, str]) -> DataFrame:
+        own = F.coalesce(F.pmod(F.xxhash64(*keys) if keys else F.lit(0), F.col(mine)), F.lit(0)).cast("int")
+        each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1))
+        return df.join(heavy, on, "left").withColumn(slots[0], own).withColumn(slots[1], each).drop("_ours", "_theirs")
+
+    rows = cut(left, by, "_ours", "_theirs", ("_slot", "_other"))
+    repeated = cut(right, list(right_by or right.columns), "_theirs", "_ours", ("_other", "_slot"))
+    return rows.join(repeated, [*on, "_slot", "_other"]).drop("_slot", "_other")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -191,13 +197,24 @@ def linked_rows(
     along = Window.partitionBy(*keys).orderBy("_block")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     rest = [k for k in keys if k not in anchor]
-    from_anchor = Window.partitionBy(*anchor).orderBy(*rest, "_block")
     follower = F.lead("_head").over(along)
     if wrap:
         follower = F.coalesce(follower, F.first("_head").over(along))
+    if rest:
+        # an anchor may have very many keys, whose heads no task should hold: the first one is an aggregate
+        heads = stored(heads, "heads")
+        firsts = heads.groupBy(*anchor).agg(
+            F.min(F.struct(*rest, "_block", "_head"))["_head"].alias("_first"), F.count(F.lit(1)).alias("_heads")
+        )
+        firsts = stored(firsts, "firsts")
+        counts = firsts.select(*anchor, F.col("_heads").alias("count"))
+        heads = lookup_join(heads, firsts.drop("_heads"), anchor, "inner", counts=counts, null_safe=True, probe=True)
+        first = F.col("_first")
+    else:
+        first = F.first("_head").over(along)
     heads = heads.select(
         *part,
-        F.first("_head").over(from_anchor).alias("_first"),
+        first.alias("_first"),
         follower.alias("_follower"),
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
         F.max("_block_top").over(before).alias("_top_before"),

@@ -477,7 +477,11 @@ _BODIES = {
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method <> 'retired_civic') AS ro,
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method IS NULL) AS failed,
                (SELECT count(*) FROM related r WHERE r.Permit_Category = s.Permit_Category) AS related,
-               cast(0 AS bigint) AS missing_rw,
+               (SELECT count(*) FROM fx_permit_category q WHERE q.Permit_Category = s.Permit_Category
+                  AND NOT EXISTS (SELECT 1 FROM located l WHERE l.Permit_Category = q.Permit_Category
+                                    AND l.Permit_Number IS NOT DISTINCT FROM q.Permit_Number)
+                  AND NOT EXISTS (SELECT 1 FROM related r WHERE r.Permit_Category = q.Permit_Category
+                                    AND r.Permit_Number IS NOT DISTINCT FROM q.Permit_Number)) AS missing_rw,
                (SELECT count(*) FROM located l WHERE l.Permit_Category = s.Permit_Category AND method = 'retired_civic')
                    AS missing_ro
         FROM fx_permit_category s GROUP BY s.Permit_Category""",
@@ -612,6 +616,11 @@ _BODIES = {
                max(CASE c0 WHEN 'Dataset Tags:' THEN below END) AS tags,
                max(CASE c0 WHEN 'Notes or Disclaimers:' THEN below END) AS limitations
         FROM note GROUP BY form_id""",
+    # ids from 5 on, given in two runs: first every third customer, then the others
+    "filled_sequence_ids": """
+        SELECT c_custkey, 'AST' || CASE WHEN length(CAST(n AS varchar)) >= 3 THEN CAST(n AS varchar)
+                                        ELSE lpad(CAST(n AS varchar), 3, '0') END AS ASSET_ID
+        FROM (SELECT c_custkey, 4 + row_number() OVER (ORDER BY c_custkey % 3 <> 0, c_custkey) AS n FROM customer)""",
     "stamp_audit": """
         SELECT c_custkey, change, CASE change WHEN 'insert' THEN 'LOADER' END AS ADDBY,
                CASE change WHEN 'insert' THEN '2024-05-17 00:00:00' END AS ADDDATE,

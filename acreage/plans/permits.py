@@ -68,6 +68,8 @@ def published_permits(located: DataFrame, category: str) -> DataFrame:
 def run_permits(tables: PermitTables, ties: Sequence[str], folder: str, publish: str) -> None:
     """The whole permit job: load the edited tables, write the failure report, publish strict copies.
 
+    A placed permit of no known category is in none of the tables and therefore in the report.
+
     The tables are loaded even when a run places nothing, so that no permit of an earlier run stays behind.
     """
     result = split_and_locate(tables, ties)
@@ -80,8 +82,9 @@ def run_permits(tables: PermitTables, ties: Sequence[str], folder: str, publish:
     for category, name in zip(cleaning.UNPUBLISHED, names):
         sinks.load(published_permits(located, category), f"{folder}/{name}")
     sinks.load(result.related, f"{folder}/permit_info")
-    sinks.write_report(locating.failures(located), f"{folder}/failed_locates")
-    sinks.replicate({name: spark.read.parquet(f"{folder}/{name}") for name in (*names, "permit_info")}, publish, strict=True)
+    lost = locating.failures(located).unionByName(locating.uncategorised(located, list(cleaning.UNPUBLISHED)))
+    sinks.write_report(lost, f"{folder}/failed_locates")
+    sinks.replicate({name: sinks.stored(spark, f"{folder}/{name}") for name in (*names, "permit_info")}, publish, strict=True)
 
 
 def run_applications(

@@ -393,7 +393,7 @@ def test_whole_jobs(spark, folder):
     permits = stored(given.permit_category.withColumns({"HRM_ID": F.col("Civic_ID"), "Estimated_Project_Value": F.lit(1.0)}))
     inputs = jobs.PermitTables(permits, given.active, given.retired, given.parcel_vertex)
     jobs.run_permits(inputs, TIES, work, publish)
-    loaded = {c: spark.read.parquet(f"{publish}/{jobs.permit_table(c)}") for c in cleaning.UNPUBLISHED}
+    loaded = {c: sinks.stored(spark, f"{publish}/{jobs.permit_table(c)}") for c in cleaning.UNPUBLISHED}
     failed = spark.read.option("header", True).csv(f"{work}/failed_locates")
     assert sum(rows.count() for rows in loaded.values()) + failed.count() == given.unique.count()
     for category, rows in loaded.items():
@@ -402,10 +402,10 @@ def test_whole_jobs(spark, folder):
         assert ("Estimated_Project_Value" in rows.columns) == (category in ("Building", "Construction"))
         assert rows.where("route = '1_civic_id'").count() > 0
     assert "Building_Permits_fails" in {r["section"] for r in failed.select("section").distinct().collect()}
-    assert spark.read.parquet(f"{publish}/permit_info").count() > 0
+    assert sinks.stored(spark, f"{publish}/permit_info").count() > 0
     # a run that places nothing leaves no permit and no old failure behind
     jobs.run_permits(inputs._replace(permits=permits.where("false")), TIES, work, publish)
-    assert spark.read.parquet(f"{publish}/{jobs.permit_table('Building')}").count() == 0
+    assert sinks.stored(spark, f"{publish}/{jobs.permit_table('Building')}").count() == 0
     assert not [r for r in spark.read.text(f"{work}/failed_locates").collect() if "Building" in str(r)]
     apps_folder, apps_public = fresh_folder(spark, "job"), fresh_folder(spark, "public")
     twice = given.parcel_vertex.withColumn("OBJECTID", F.lit(1))
@@ -414,14 +414,14 @@ def test_whole_jobs(spark, folder):
         jobs.ApplicationSource("planning", given.application, cleaning.PLANNING_FIELDS),
         jobs.ApplicationSource("subdivision", given.application.withColumnRenamed("PIDs", "PID_LIST"), {"APP_NUM": "Planning_App_Num"}, "PID_LIST"),
     ]
-    spark.read.parquet(f"{publish}/permit_info").limit(0).selectExpr("1 AS APP_NUM", "0D AS area").write.parquet(f"{apps_public}/planning")
+    sinks.stored(spark, f"{publish}/permit_info").limit(0).selectExpr("1 AS APP_NUM", "0D AS area").write.parquet(f"{apps_public}/planning")
     jobs.run_applications(sources, twice, apps_folder, apps_public)
     for source in sources:
-        placed = spark.read.parquet(f"{apps_folder}/{source.name}")
+        placed = sinks.stored(spark, f"{apps_folder}/{source.name}")
         report = spark.read.option("header", True).csv(f"{apps_folder}/{source.name}_failed_locates").count()
         assert placed.count() + report == given.application.count() and placed.where("dissolve_check").count() == placed.count()
     # the lenient copy serves only what is published already
-    copy = spark.read.parquet(f"{apps_public}/planning")
+    copy = sinks.stored(spark, f"{apps_public}/planning")
     assert copy.columns == ["APP_NUM", "area"] and copy.count() == placed.count()
     assert sinks.stored(spark, f"{apps_public}/subdivision") is None
 
