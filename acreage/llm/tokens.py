@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from acreage.llm.common import text_bytes
 
 # Words kept per Python worker: two generations of at most this many.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
 # Longer words are encoded each time, so that the cache has a bound in bytes.
 CACHE_LENGTH = 64
 END_ID = 1
@@ -26,7 +26,8 @@ _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _CLASS = np.zeros(256, dtype=np.uint8)
 _CLASS[[c for c in range(128) if chr(c).isalnum()]] = 1
 # No apostrophe, which may begin a piece with letters.
-_CLASS[list(b"!#$%&*.,:;?)-")] = 2
+_MARKS = b"!#$%&*.,:;?)-"
+_CLASS[list(_MARKS)] = 2
 _CLASS[list(b" \t\n\x0b\x0c\r")] = 4
 # The second bytes of Latin-1's letters, behind 0xC3; the two that are left out are signs.
 _CLASS[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = 3
@@ -34,7 +35,7 @@ _CLASS[[c for c in range(0x80, 0xC0) if c not in (0x97, 0xB7)]] = 3
 _APART = b"\xff"
 _SPLIT = b" \xff "
 # Texts that are encoded at a time, in bytes.
-PORTION_BYTES = 2 << 20
+PORTION_BYTES = 1 << 18
 
 # Letters below this are single composed characters, which composing leaves as they are.
 _COMPOSED = "\u0250"
@@ -51,6 +52,44 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class Words(dict):
+    """The ids of words in lower case, each learned when it is first asked for; ``turn`` forgets those long unused."""
+
+    def __init__(self, tokenizer, code: str) -> None:
+        super().__init__()
+        self.tokenizer, self.tokenize, self.code, self.old = tokenizer, tokenizer.model.tokenize, code, {}
+
+    def turn(self) -> None:
+        if len(self) > CACHE_WORDS:
+            self.old = dict(self)
+            self.clear()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self._learned(word)
+        if len(word) <= CACHE_LENGTH:
+            self[word] = ids
+        return ids
+
+    def _learned(self, word: bytes) -> bytes:
+        if word.isalpha():
+            # letters alone are one piece: straight to the merges
+            mapped = word.decode()
+        else:
+            stem = word.rstrip(_MARKS)
+            if stem is not word and stem[-1:].isalnum():
+                # marks behind a letter or digit are pieces of their own
+                return self[stem] + self[word[len(stem) :]]
+            text = word.decode("utf-8", "replace")
+            low = text.lower()
+            if not low.isalpha() or max(low) >= _COMPOSED:
+                return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+            # the normaliser only lower-cases such letters
+            mapped = low.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array(self.code, [t.id for t in self.tokenize(mapped)]).tobytes()
+
+
 class WordEncoder:
     """Encodes texts, word by word with a cache where the tokenizer allows it.
 
@@ -65,13 +104,11 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = id_type(self.tokenizer.get_vocab_size())
         self.code = "H" if self.dtype == "<u2" else "I"
-        self.model = self.tokenizer.model
         self.by_words = _drops_spaces(json.loads(self.tokenizer.to_str()))
         self.end = np.array([END_ID], dtype=self.dtype).tobytes()
         # in lower case, as the texts they are looked for in
         self.special = [t.content.lower().encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.young: dict[bytes, bytes] = {_APART: self.end}
-        self.old: dict[bytes, bytes] = {}
+        self.words = Words(self.tokenizer, self.code)
 
     @classmethod
     def at(cls, path: str) -> "WordEncoder":
@@ -82,63 +119,20 @@ class WordEncoder:
 
     def encode(self, text: bytes) -> bytes:
         """The ids of one text, without an end id."""
-        if not self.by_words:
-            whole = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
-            return array(self.code, whole.ids).tobytes()
-        return b"".join(self._coded(self._words(text)))
-
-    def encode_all(self, texts: list[bytes]) -> tuple[bytes, np.ndarray]:
-        """The ids of texts one after the other, each with the end id, and the place in bytes where each ends."""
-        joined = _SPLIT.join(texts) + _SPLIT
-        if not self.by_words or joined.count(_APART) > len(texts):
-            coded = [self.encode(t) + self.end for t in texts]
-            return b"".join(coded), np.cumsum([len(c) for c in coded], dtype=np.int64)
-        words = self._words(joined)
-        coded = self._coded(words)
-        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
-        return b"".join(coded), ends[[k for k, w in enumerate(words) if w == _APART]]
-
-    def _words(self, text: bytes) -> list[bytes]:
         # the tokenizer lower-cases letters, but finds special tokens before that
         low = text.lower()
-        return text.split() if any(s in low for s in self.special) else with_marks_apart(low).split()
-
-    def _coded(self, words: list[bytes]) -> list[bytes]:
-        coded = list(map(self.young.get, words))
-        if None in coded:
-            new = self._learned({w for w, ids in zip(words, coded) if ids is None})
-            coded = [new[w] if ids is None else ids for w, ids in zip(words, coded)]
-            if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {_APART: self.end}
-        return coded
-
-    def _learned(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of words that the young generation lacks, which it gets."""
-        known, parts, texts = {}, [], []
-        old, tokenize, code = self.old, self.model.tokenize, self.code
-        for word in words:
-            if word in old:
-                known[word] = old[word]
-                continue
-            # letters alone are one piece that the normaliser only lower-cases: straight to the merges
-            if word.isalpha():
-                mapped = word.lower().decode()
-            else:
-                text = word.decode("utf-8", "replace")
-                low = text.lower()
-                if not low.isalpha() or max(low) >= _COMPOSED:
-                    parts.append(word)
-                    texts.append(text)
-                    continue
-                mapped = low.encode().decode("latin-1").translate(_BYTE_LETTERS)
-            known[word] = array(code, [t.id for t in tokenize(mapped)]).tobytes()
-        if texts:
-            for word, piece in zip(parts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                known[word] = array(code, piece.ids).tobytes()
-        if known:
-            short = max(map(len, known)) <= CACHE_LENGTH
-            self.young.update(known if short else {w: x for w, x in known.items() if len(w) <= CACHE_LENGTH})
-        return known
+        if not self.by_words or any(s in low for s in self.special):
+            whole = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+            return array(self.code, whole.ids).tobytes()
+        return b"".join(map(self.words.__getitem__, with_marks_apart(low).split()))
+
+    def encode_all(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts, each with the end id."""
+        low, get = _SPLIT.join(texts).lower(), self.words.__getitem__
+        self.words.turn()
+        if not self.by_words or low.count(_APART) >= len(texts) or any(s in low for s in self.special):
+            return [self.encode(t) + self.end for t in texts]
+        return [b"".join(map(get, own.split())) + self.end for own in with_marks_apart(low).split(_APART)]
 
 
 def with_marks_apart(text: bytes) -> bytes:
@@ -213,19 +207,17 @@ def tokenized(docs: DataFrame, path: str, *columns: tuple[str, Column], queue: s
         width = np.dtype(encoder.dtype).itemsize
         part, sums = TaskContext.get().partitionId(), {}
         for batch in _portions(batches, len(names)):
-            raw, ends = encoder.encode_all(batch.column(len(names)).to_pylist())
-            offsets = np.concatenate([[0], ends])
-            ids = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-            counts = np.diff(offsets) // width
+            ids = encoder.encode_all(batch.column(len(names)).to_pylist())
+            counts = np.array([len(x) // width for x in ids], dtype=np.int64)
             kept = [batch.column(k) for k in range(len(names))]
-            made = {"part": pa.array(np.full(len(ends), part, dtype=np.int32)), "n": pa.array(counts)}
+            made = {"part": pa.array(np.full(len(ids), part, dtype=np.int32)), "n": pa.array(counts)}
             if at is not None:
                 before = []
                 for key, n in zip(batch.column(at).to_pylist(), counts.tolist()):
                     before.append(sums.get(key, 0))
                     sums[key] = before[-1] + n
                 made["before"] = pa.array(before, pa.int64())
-            made["ids"] = ids.cast(pa.binary())
+            made["ids"] = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_arrays([*kept, *made.values()], names=[*names, *made])
 
     more = "part int, n bigint, " + ("before bigint, " if queue else "") + "ids binary"

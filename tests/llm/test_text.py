@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from acreage.llm import decontaminate, lm, quality, rules, secrets, simhash
 from acreage.llm.common import remainder
 from acreage.llm.graph import components
-from acreage.llm.trie import Trie, write_trie
+from acreage.llm.trie import POWERS, Rising, Trie, elias_fano, group_starts
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -414,61 +414,99 @@ def test_masks_miss_no_accepted_stretch():
 # language model
 
 
-def test_trie(tmp_path):
+def step_of(share):
+    """A share as the trie keeps it."""
+    return 10 ** (-min(65534, round(-math.log10(share) * 4096)) / 4096)
+
+
+def test_trie():
     rng = np.random.default_rng(1)
-    pairs = np.unique(rng.integers(0, 500, 4000) * 1000 + rng.integers(0, 90, 4000) ** 2 % 1000)
-    words, contexts = pairs // 1000, pairs % 1000
-    logs = -rng.random(len(pairs)) * 6
-    path = str(tmp_path / "trie")
-    write_trie(path, words, contexts, logs, 600, 1000)
-    trie = Trie(path)
-    asked = np.arange(0, 600 * 1000, 37)
-    got = trie.logs(asked // 1000, asked % 1000)
-    known = dict(zip(pairs.tolist(), logs.tolist()))
-    for key, value in zip(asked.tolist(), got.tolist()):
-        assert (key in known) != math.isnan(value)
-        assert key not in known or abs(known[key] - value) <= 6 / 255
-    write_trie(path, *(np.zeros(0, np.int64),) * 2, np.zeros(0), 600, 1000)
-    assert np.isnan(Trie(path).logs(np.array([3, 4]), np.array([0, 1]))).all()
-
-
-def plain_scores(rows, head):
-    tokens = [words_of((t or "").translate(LOWER)) + ["\n"] for _, t, *_ in rows]
+    rows = rng.integers(1, 60, (3, 6000)) ** 2 % 50 + 1
+    rows[2, rng.random(6000) < 0.05] = 0
+    rows[1:, rng.random(6000) < 0.03] = 0
+    rows = np.unique(rows, axis=1)
+    counts, known = rng.integers(1, 9, rows.shape[1]), rng.random(rows.shape[1]) < 0.6
+    # another trie has a part of the word 5 and of the pair (7, 9)
+    totals = {(5,): 10_000, (7, 9): 700}
+    trie = Trie(rows[:, known], counts[known], 51, totals, (16.0, 2.0))
+    ones, twos, threes = Counter(), Counter(), Counter()
+    for (u, v, w), n in zip(rows[:, known].T.tolist(), counts[known].tolist()):
+        ones[u] += n
+        twos[u, v] += n
+        threes[u, v, w] += n
+    ones[5], twos[7, 9] = 10_000, 700
+    count1, back1, seen2, back2, seen3 = trie.answers(rows)
+    first, pair = (np.cumsum(x) - 1 for x in group_starts(rows))
+    for k, (u, v, w) in enumerate(rows.T.tolist()):
+        a, b, c = ones[u], twos[u, v] if v else 0, threes[u, v, w] if w else 0
+        assert count1[first[k]] == a and POWERS[back1[first[k]]] == pytest.approx(step_of(16 / (a + 16)) if a else 1)
+        assert POWERS[seen2[pair[k]]] == pytest.approx(step_of(b / (a + 16)) if b else 0)
+        assert POWERS[back2[pair[k]]] == pytest.approx(step_of(2 / (b + 2)) if b else 1)
+        assert POWERS[seen3[k]] == pytest.approx(step_of(c / (b + 2)) if c else 0)
+    # a few bytes for an n-gram, and nothing is kept unpacked
+    assert sum(x.nbytes for x in trie.held.values()) < 16 * known.sum() + 20_000
+    empty = Trie(np.zeros((3, 0), np.int64), np.zeros(0, np.int64), 51, {}, (16.0, 2.0))
+    count1, *_, seen3 = empty.answers(rows)
+    assert not count1.any() and (POWERS[seen3] == 0).all()
+
+
+def test_select_in_packed_bits():
+    rng = np.random.default_rng(3)
+    values = np.sort(rng.integers(0, 1 << 24, 5000))
+    line = Rising(*elias_fano(values, 1 << 24).values())
+    assert line.at(np.arange(5000)).tolist() == values.tolist()
+    bits = np.unpackbits(line.bits.view(np.uint8), bitorder="little")
+    for ones in (True, False):
+        want = np.flatnonzero(bits == ones)
+        assert line.select(np.arange(len(want)), ones).tolist() == want.tolist()
+
+
+def plain_scores(rows):
+    """The trigram model by counting, its shares rounded as the trie rounds them."""
+    tokens = [["start", *words_of((t or "").translate(LOWER)), "\n"] for _, t, *_ in rows]
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, *_ in rows]
-    counts, pairs, context = Counter(), Counter(), Counter()
-    for words, out in zip(tokens, held):
-        if not out:
-            counts.update(words)
-    total, kinds = sum(counts.values()), len(counts)
-    least = max(1, -(-total // head))
-    seen = lambda w: w if counts[w] >= least else None
+    c1, c2, c3 = Counter(), Counter(), Counter()
     for words, out in zip(tokens, held):
         if not out:
-            for before, w in zip(["start", *map(seen, words)], words):
-                pairs[before, w] += 1
-                context[before] += 1
-    ones, twos = (sum(n == k for n in pairs.values()) for k in (1, 2))
-    discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones else 0.75
-    follow = Counter(v for v, _ in pairs)
+            c1.update(words)
+            c2.update(zip(words, words[1:]))
+            c3.update(zip(words, words[1:], words[2:]))
+    total, kinds = sum(n for w, n in c1.items() if w != "start"), len(c1.keys() - {"start"})
+    part = lambda n, c, m, lower: (step_of(n / (c + m)) if n else 0) + (step_of(m / (c + m)) if c else 1) * lower
     out = []
     for (doc, *_), words, h in zip(rows, tokens, held):
-        p = [(counts[w] + 1) / (total + kinds + 1) for w in words]
-        score = 0.0
-        for v, w, q in zip(["start", *map(seen, words)], words, p):
-            c = context[v]
-            score += math.log10(max(pairs[v, w] - discount, 0) / c + discount * follow[v] / c * q if c else q)
-        out.append((doc, h, len(words), sum(counts[w] > 0 for w in words), total, sum(map(math.log10, p)), score))
+        base = score = 0.0
+        for k in range(1, len(words)):
+            w, v = words[k], words[k - 1]
+            one = (c1[w] + 1) / (total + kinds + 1)
+            p = part(c2[v, w], c1[v], 16, one)
+            if k > 1:
+                p = part(c3[words[k - 2], v, w], c2[words[k - 2], v], 2, p)
+            base, score = base + math.log10(one), score + math.log10(p)
+        out.append((doc, h, len(words) - 1, sum(c1[w] > 0 for w in words[1:]), total, base, score))
     return out
 
 
-@pytest.mark.parametrize("shard_tokens, head", [(8_000_000, 1 << 18), (4000, 20)])
-def test_scores(spark, odd_docs, odd_rows, shard_tokens, head):
-    got = lm.scores(odd_docs, remainder(odd_docs["doc_id"], 7) == 2, shard_tokens, head).collect()
-    want = plain_scores(odd_rows, head)
+@pytest.mark.parametrize("shard_tokens, portion_bytes, least", [(4_000_000, 8 << 20, 512), (3000, 500, 1), (400, 100_000, 1)])
+def test_scores(spark, odd_docs, odd_rows, prose, monkeypatch, shard_tokens, portion_bytes, least):
+    monkeypatch.setattr(lm, "CHUNK_TOKENS", least)
+    # some words and pairs are frequent, and texts repeat
+    more = [(100 + k, " ".join(["der die", prose(30, k % 7, 8), "der die das der die"]), "de", "x", 1) for k in range(60)]
+    docs = odd_docs.selectExpr("doc_id", "text", "words", "part", "n").unionByName(
+        spark.createDataFrame(more, "doc_id bigint, text string, lang string, source string, n_chars bigint").selectExpr("doc_id", "text", "'x' AS words", "'x' AS part", "'x' AS n")
+    )
+    got = lm.scores(docs, remainder(docs["doc_id"], 7) == 2, shard_tokens, portion_bytes).collect()
+    want = plain_scores(odd_rows + more)
     order = lambda r: (r[0] is None, r[0] or 0, r[2])
     for g, w in zip(sorted(map(tuple, got), key=order), sorted(want, key=order), strict=True):
         assert g[:5] == w[:5]
-        assert g[5] == pytest.approx(w[5]) and abs(g[6] - w[6]) <= 0.03 * w[2]
+        assert g[5] == pytest.approx(w[5]) and g[6] == pytest.approx(w[6], rel=1e-9, abs=1e-4 * w[2])
+
+
+def test_frequent_prefixes_are_dealt_over_shards(spark):
+    docs = spark.createDataFrame([(k, "so it goes " * 50 + f"w{k}") for k in range(40)], "doc_id bigint, text string")
+    found = lm.frequent_prefixes(docs, F.lit(False), 8, 1.0)
+    assert {(b"so",), (b"it",), (b"goes",), (b"so", b"it")} <= set(found)
 
 
 def test_model_is_a_distribution(spark, odd_docs):
