@@ -37,7 +37,7 @@ def civic_join(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID"
 
 def civic_unjoined(permits: DataFrame, civics: DataFrame, id_field: str = "Civic_ID") -> DataFrame:
     """Permits with an id that no civic has."""
-    ids = civics.select(F.col("CIV_ID").alias(id_field)).distinct()
+    ids = stored(civics.select(F.col("CIV_ID").alias(id_field)).distinct(), "civic-ids")
     return lookup_join(permits.where(F.col(id_field).isNotNull()), ids, [id_field], "left_anti", probe=True)
 
 
@@ -46,7 +46,7 @@ def retired_civic_join(
 ) -> DataFrame:
     """Permits without a civic, with the point of the retired civic of that id, null when there is none."""
     points = retired.select(F.col("CIV_ID").alias(id_field), "X", "Y")
-    one_each = first_per_key(points, [id_field], [F.col("X"), F.col("Y")])
+    one_each = stored(first_per_key(points, [id_field], [F.col("X"), F.col("Y")]), "retired-civics")
     return lookup_join(civic_unjoined(permits, civics, id_field), one_each, [id_field], probe=True)
 
 
@@ -65,7 +65,7 @@ def pid_points(permits: DataFrame, points: DataFrame) -> DataFrame:
 
 def street_segment_points(permits: DataFrame, segments: DataFrame, id_field: str = "HRM_ID") -> DataFrame:
     """Permits with the centroid of the street segment that has their id."""
-    points = street_points(segments).withColumnRenamed("FDMID", id_field)
+    points = stored(street_points(segments).withColumnRenamed("FDMID", id_field), "street-points")
     placed = lookup_join(permits, points, [id_field], probe=True)
     return placed.withColumn(
         "status",
@@ -104,6 +104,7 @@ def locate_permits(
     by_id = civic_points(active, retired).select(
         F.col("CIV_ID").alias(id_field), F.col("X").alias("civic_x"), F.col("Y").alias("civic_y"), "source"
     )
+    by_id = stored(by_id, "civic-points")
     rows = lookup_join(rows, by_id, [id_field], counts=unique.groupBy(id_field).count(), probe=True)
 
     civics = active.select("CIV_ID", *address_key("FULL_CIVIC", "STR_NAME", "GSA_NAME"), "X", "Y")

@@ -10,6 +10,7 @@ TIES = "l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 TIES_DOWN = ", ".join(f"{c} DESC NULLS LAST" for c in TIES.split(", "))
 KEEP_ORDER = f"(Active_Parcel IS NULL) DESC, Active_Parcel DESC, {TIES_DOWN}"
 PADDED = "CASE WHEN length({0}) >= 8 THEN {0} ELSE lpad({0}, 8, '0') END"
+IGNORED = "('OBJECTID', 'GLOBALID', 'SHAPE', 'SHAPE_AREA', 'SHAPE_LENGTH')"
 # street names as the locator reads them: without the type at their end, which counts as a field of its own
 STREET_TYPE = "CASE upper({0}) WHEN 'STREET' THEN 'ST' WHEN 'ROAD' THEN 'RD' ELSE upper({0}) END"
 _WHOLE = r"trim(regexp_replace(upper({0}), '\s+', ' ', 'g'))"
@@ -249,6 +250,25 @@ STEPS = {
         WHERE w.c_custkey IS NULL OR r.c_custkey IS NULL OR w.ASSET_ID IS DISTINCT FROM r.ASSET_ID
            OR w.c_name IS DISTINCT FROM r.c_name OR w.c_nationkey IS DISTINCT FROM r.c_nationkey
            OR w.c_acctbal IS DISTINCT FROM r.c_acctbal OR w.c_mktsegment IS DISTINCT FROM r.c_mktsegment""",
+    "spec_field": f"""
+        SELECT form_id, field_name AS field, spec_type, length, default_value, domain FROM form_field
+        WHERE field_name NOT IN {IGNORED}
+        QUALIFY row_number() OVER (PARTITION BY form_id, field_name ORDER BY row_no) = 1""",
+    "spec_code": """
+        SELECT form_id, domain, c0 AS code, min(c1) AS description FROM form_code
+        WHERE head IS NULL AND block_row IS NOT NULL AND upper(c0) <> 'CODE' AND c1 IS NOT NULL GROUP BY ALL""",
+    "spec_given": """
+        SELECT form_id, record, upper(trim(field)) AS field, min(CASE WHEN trim(value) <> '' THEN value END) AS given, count(*) AS n
+        FROM fx_form_value GROUP BY ALL""",
+    "spec_cell": """
+        SELECT f.form_id, r.record, f.field, coalesce(g.given, f.default_value) AS text, g.given IS NULL AS missing,
+               CASE f.spec_type WHEN 'LONG' THEN CAST(try_cast(trim(text) AS int) AS varchar)
+                    WHEN 'DATEONLY' THEN CAST(try_cast(trim(text) AS date) AS varchar)
+                    WHEN 'DOUBLE' THEN CAST(try_cast(trim(text) AS double) AS varchar) ELSE text END AS value,
+               c.description, g.n, f.spec_type, f.length, f.domain IN (SELECT d.domain FROM spec_code d WHERE d.form_id = f.form_id) AS listed
+        FROM spec_field f JOIN (SELECT DISTINCT form_id, record FROM spec_given) r ON r.form_id = f.form_id
+        LEFT JOIN spec_given g ON g.form_id = f.form_id AND g.record = r.record AND g.field = f.field
+        LEFT JOIN spec_code c ON c.form_id = f.form_id AND c.domain = f.domain AND c.code = coalesce(g.given, f.default_value)""",
     "form_row": "SELECT *, row_number() OVER (PARTITION BY form_id ORDER BY row_no) AS rk FROM fx_form_cell WHERE c0 IS NOT NULL",
     "form_fact": """
         SELECT form_id, max(CASE WHEN rk <= 3 AND c0 IN ('Feature Class Name:', 'Data Source Name:') THEN 1 END) AS named,
@@ -298,7 +318,6 @@ XY6_LOW = "round(x, 6) + 0.0 AS x, round(y, 6) + 0.0 AS y"
 UNESCAPED = "html"
 for _name, _character in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
     UNESCAPED = f"regexp_replace({UNESCAPED}, '&{_name};?', '{_character}', 'g')"
-IGNORED = "('OBJECTID', 'GLOBALID', 'SHAPE', 'SHAPE_AREA', 'SHAPE_LENGTH')"
 
 # Krüger series with the third flattening and the eccentricity as numbers
 _N = "0.0016792203946287448"
@@ -603,6 +622,17 @@ _BODIES = {
         UNION ALL SELECT form_id, NULL, 'missing_shape_length', shape FROM form_fact
         WHERE kind = 'FEATURE CLASS' AND upper(shape) IN ('POLYGON', 'LINE') AND has_length IS NULL
         UNION ALL SELECT form_id, NULL, 'missing_name', NULL FROM form_fact WHERE named IS NULL""",
+    "spec_applied": """
+        SELECT form_id, record, field, 'repeated' AS rule, text AS value FROM spec_cell WHERE n > 1
+        UNION ALL SELECT form_id, record, field, 'bad_type', text FROM spec_cell WHERE text IS NOT NULL AND value IS NULL
+        UNION ALL SELECT form_id, record, field, 'too_long', text FROM spec_cell
+        WHERE spec_type = 'TEXT' AND length > 0 AND length(text) > length
+        UNION ALL SELECT form_id, record, field, 'not_in_domain', text FROM spec_cell
+        WHERE listed AND text IS NOT NULL AND description IS NULL
+        UNION ALL SELECT form_id, record, field, 'unknown_field', given FROM spec_given g
+        WHERE NOT EXISTS (SELECT 1 FROM spec_field f WHERE f.form_id = g.form_id AND f.field = g.field)""",
+    "spec_filled": """
+        SELECT form_id, record, field, value, missing AND text IS NOT NULL AS is_default, description FROM spec_cell""",
     "domain_blocks": """
         SELECT form_id, domain, domain_field, c0 AS code, c1 AS description, domain NOT LIKE '% %' AS valid_name
         FROM form_code WHERE head IS NULL AND block_row IS NOT NULL AND upper(c0) <> 'CODE' AND c1 IS NOT NULL""",

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from acreage.functions import projection
 from acreage.functions import text as t
 from acreage.functions.markup import without_tags
-from acreage.operators import addresses, cleaning, domains, duplicates, forms, locating, locator, metadata, parcels, quality
+from acreage.operators import addresses, cleaning, domains, duplicates, forms, locating, locator, metadata, parcels, quality, specs
 from acreage.operators import applications as apps
 from acreage.operators import syncing
 from acreage.session import fresh_folder, stored
@@ -705,6 +705,24 @@ def spec_violations(spark, folder):
     return forms.spec_violations(_Inputs(spark, folder).form_cell)
 
 
+def _checked(spark, folder):
+    given = _Inputs(spark, folder)
+    cells = given.form_cell
+    return specs.checked_cells(given.form_value, forms.spec_to_schema(cells), forms.domain_blocks(cells))
+
+
+@query
+def spec_applied(spark, folder):
+    """Every cell of the data submitted under the forms that breaks a rule of its form."""
+    return specs.cell_violations(_checked(spark, folder))
+
+
+@query
+def spec_filled(spark, folder):
+    """The submitted data with types, defaults and decoded values."""
+    return specs.filled_cells(_checked(spark, folder))
+
+
 @query
 def domain_blocks(spark, folder):
     return forms.domain_blocks(_Inputs(spark, folder).form_cell)

@@ -204,6 +204,15 @@ STAND_INS = {
           (2,4,'Alias','Field Name','Field Type','Field Length','Default Value','Domain','Subtype Field'),
           (2,5,'Road','ROAD','TEXT','#len',NULL,NULL,NULL),(2,6,'GLOBALID','GLOBALID','TEXT','38',NULL,NULL,NULL)
         ) AS v(kind, row_no, c0, c1, c2, c3, c4, c5, c6) ON v.kind = s_suppkey % 3""",
+    # data submitted under these forms, one row per cell
+    "fx_form_value": """
+        SELECT s_suppkey AS form_id, v.record, v.field, CASE v.value WHEN '#name' THEN s_name ELSE v.value END AS value
+        FROM supplier JOIN (VALUES
+          (0,1,'area_id','17'),(0,1,'STATUS','F'),(0,1,'NOTE','fine'),(0,1,'ODD','any'),(0,2,'AREA_ID','x1'),(0,2,'STATUS','Z'),
+          (0,2,'COLOUR','red'),(0,3,'AREA_ID',' 8 '),(0,3,'STATUS',NULL),(0,3,'NOTE','#name'),(0,4,'STATUS','Finished long ago, it seems'),
+          (0,4,'STATUS','O'),(1,1,'CODE','A'),(1,1,'OPENED','2024-02-30'),(1,1,'AMOUNT','12.50'),(1,2,'CODE','B'),
+          (1,2,'OPENED','2024-02-29'),(1,2,'AMOUNT','twelve'),(1,3,'STRAY','1'),(1,3,'CODE','  '),(2,1,'ROAD','#name'),
+          (2,1,'globalid','{1}'),(2,2,' road ','A')) AS v(kind, record, field, value) ON v.kind = s_suppkey % 3""",
     # the descriptive sheet of the same forms
     "fx_form_note": """
         SELECT s_suppkey AS form_id, v.row_no, v.c0,
