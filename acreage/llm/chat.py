@@ -34,28 +34,31 @@ def _role_unescaped(role: Column) -> Column:
 
 
 def examples(conversations: DataFrame) -> DataFrame:
-    """``conv_id``, ``example``, ``text``, ``loss_start``, ``loss_end``, ``last``.
+    """``conv_id``, ``example``, ``text``, ``loss_start``, ``loss_end``, ``last``, ``loose``.
 
     ``conversations`` needs conv_id, turn, role and text; other columns are not read. Only the reply between
     ``loss_start`` and ``loss_end`` (code points) is trained on. Turns after the last reply, or a conversation without
     one, give a last example with an empty mask, so that nothing is lost. ``last`` marks a conversation's longest
     example. A null text or role counts as empty; turns with equal numbers (null first) go by role and text, and
-    repeated rows stay; rows with a null conv_id are one conversation. An empty table gives no examples.
+    repeated rows stay. A row with a null conv_id is in no conversation with others, but one by itself; ``loose`` tells such
+    rows apart and is null for all others. An empty table gives no examples.
 
     An example has its whole prefix in one row: that is the format, and the one thing gathered per conversation.
     """
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), escaped(F.coalesce("text", F.lit(""))).alias("text"))
-    chats = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    loose = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    chats = conversations.withColumn("loose", loose).groupBy("conv_id", "loose").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
     begun = lambda role: F.concat(F.lit("<|"), _role_escaped(role), F.lit("|>\n"))
     written = F.transform("turns", lambda t: F.concat(begun(t["role"]), t["text"], F.lit(END)))
     chats = chats.withColumn("written", written).withColumn("size", F.size("turns"))
     numbers = F.sequence(F.lit(1), F.col("size"))
     ends = F.filter(numbers, lambda k: (F.element_at("turns", k)["role"] == REPLY) | (k == F.col("size")))
-    each = chats.select("conv_id", "turns", "written", "size", F.posexplode(ends).alias("example", "upto"))
+    each = chats.select("conv_id", "loose", "turns", "written", "size", F.posexplode(ends).alias("example", "upto"))
     turn = F.element_at("turns", F.col("upto"))
     text = F.array_join(F.slice("written", F.lit(1), F.col("upto")), "")
     each = each.select(
         "conv_id",
+        "loose",
         F.col("example").cast("bigint").alias("example"),
         text.alias("text"),
         F.when(turn["role"] == REPLY, F.length(turn["text"])).otherwise(0).cast("bigint").alias("_reply"),
@@ -63,7 +66,7 @@ def examples(conversations: DataFrame) -> DataFrame:
     )
     end = F.length("text") - len(END)
     return each.select(
-        "conv_id", "example", "text", (end - F.col("_reply")).alias("loss_start"), end.cast("bigint").alias("loss_end"), "last"
+        "conv_id", "example", "text", (end - F.col("_reply")).alias("loss_start"), end.cast("bigint").alias("loss_end"), "last", "loose"
     )
 
 

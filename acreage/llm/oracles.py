@@ -91,7 +91,33 @@ asked AS (
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 10
 """
 
+CHATS = r"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), written AS (
+    SELECT *, regexp_replace(text, '([<\[])(~*)(\||/?s>|/?INST\]|</?SYS>>|bos>|eos>|pad>|unk>)', '\1~\2\3', 'g') AS safe,
+        replace(replace(role, '~', '~t'), '|', '~p') AS safe_role
+    FROM said
+), placed AS (
+    SELECT *, row_number() OVER w AS k, count(*) OVER (PARTITION BY conv_id) AS n,
+        sum(length('<|' || safe_role || '|>' || chr(10) || safe || '<|end|>' || chr(10))) OVER w AS chars
+    FROM written
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, safe ROWS UNBOUNDED PRECEDING)
+), joined AS (
+    SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY k) AS turns,
+        coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '') AS trained,
+        sum(chars) FILTER (role = 'assistant' OR k = n) AS formatted
+    FROM placed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(trained) AS loss_chars, sha256(trained) AS loss_sha256,
+    CAST(formatted AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
 ORACLES = {
+    "op6_chat": CHATS,
     "op11_phrases": PHRASES.replace("LOWER_TEXT", _LOWER.format("coalesce(text, '')")),
     "op12_ranking": RANKING.replace("LOWER_TEXT", _LOWER.format("text")),
 }

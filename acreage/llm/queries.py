@@ -71,13 +71,14 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     read = made.select(
         "conv_id",
+        "loose",
         F.when(F.col("last"), F.struct(F.size(turns).alias("n"), F.sha2(said, 256).alias("sha"))).alias("whole"),
         F.struct("example", chat.trained_text(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("text")).alias("reply"),
         F.length("text").alias("chars"),
     )
     trained = F.array_join(F.transform(F.sort_array(F.collect_list("reply")), lambda r: r["text"]), "")
     return (
-        read.groupBy("conv_id")
+        read.groupBy("conv_id", "loose")
         .agg(F.max("whole").alias("whole"), trained.alias("trained"), F.sum("chars").alias("formatted_chars"))
         .select(
             "conv_id",

@@ -6,9 +6,11 @@ differ in at most ``RADIUS`` bits are linked, and a document's group is all it c
 Only different fingerprints are compared. Cut into ``RADIUS + 1`` bands of bits, two linked fingerprints agree in a band
 at least, so every fingerprint goes to one shard per band, named by the band's bits. A shard has its fingerprints in
 BK-trees: children hang on edges keyed by their Hamming distance to the parent, and a search follows only the edges
-within the radius of its own distance. A shard of more than ``TREE_SIZE`` fingerprints is dealt into several trees of
-bounded size, and each of these trees is sent to all query blocks of its shard, so no task holds a whole shard. Of a
-search's links only a spanning forest leaves the task; groups of near copies do not become all pairs.
+within the radius of its own distance. The fingerprints of a shard of more than ``SPLIT_SIZE`` are cut again: their other
+bits make up ``RADIUS + 1`` bands, too, of which linked ones share at least one, so shards stay small however many
+documents there are. A shard of more than ``TREE_SIZE`` fingerprints is dealt into several trees of bounded size, and each of
+these trees is sent to all query blocks of its shard, so no task holds a whole shard. Of a search's links only a
+spanning forest leaves the task; groups of near copies do not become all pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.llm.common import packed_rows, stored, text_bytes
@@ -29,6 +31,8 @@ SHINGLE = 3
 RADIUS = 3
 SEED = 42
 TREE_SIZE = 512
+# Fingerprints of a shard from which it is cut by a second band.
+SPLIT_SIZE = 16 * TREE_SIZE
 # Fingerprints whose trees are grown and searched at a time.
 FOREST = 1 << 16
 
@@ -149,6 +153,23 @@ def _searched(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.Rec
             yield links(rows)
 
 
+def _second_bands(bands: int, width: int) -> Column:
+    """Keys of ``shard`` and, each, one of the bands that the bits of ``fp`` outside the shard's own band make up."""
+    low = F.shiftrightunsigned(F.col("shard"), width).cast("int") * width
+    part = lambda value, start, size: F.expr(f"shiftrightunsigned({value}, {start}) & {(1 << size) - 1}")
+    # the other bands one behind the other, as the shard's own is left out
+    others = [F.when(low > b * width, keyed).otherwise(later) for b, (keyed, later) in enumerate(
+        (part("fp", b * width, width), part("fp", (b + 1) * width, width)) for b in range(bands - 1)
+    )]
+    whole = others[0]
+    for b, value in enumerate(others[1:], 1):
+        whole = whole.bitwiseOR(F.shiftleft(value, b * width))
+    size = width * (bands - 1) // bands
+    cut = lambda k: F.shiftrightunsigned(whole, k * size).bitwiseAND(F.lit((1 << (size if k < bands - 1 else width * (bands - 1) - size * k)) - 1))
+    # above all keys of one band
+    return F.array(*(F.xxhash64(F.lit(k), F.col("shard"), cut(k)) for k in range(bands)))
+
+
 def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``a``, ``b``: links between the different values of the bigint column ``fp`` that connect all within ``radius`` bits.
 
@@ -161,6 +182,11 @@ def near_links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     rows = prints.select("fp", F.explode(F.array(*(shard(b) for b in range(bands)))).alias("shard"))
     # at most one row per value of a band's bits
     sizes = rows.groupBy("shard").count().where("count > 1")
+    large = stored(sizes.where(F.col("count") > SPLIT_SIZE).select(F.col("shard").alias("_large")), "large-shards")
+    if not large.isEmpty():
+        rows = rows.join(large, F.col("shard") == F.col("_large"), "left")
+        rows = rows.select("fp", F.explode(F.when(F.col("_large").isNull(), F.array("shard")).otherwise(_second_bands(bands, width))).alias("shard"))
+        sizes = rows.groupBy("shard").count().where("count > 1")
     sizes = stored(sizes.select("shard", F.ceil(F.col("count") / TREE_SIZE).cast("int").alias("trees")), "shards")
     dealt = rows.join(sizes, "shard").withColumn("tree", F.pmod(F.xxhash64("fp"), F.col("trees")).cast("int"))
     trees = dealt.groupBy("shard", "tree", "trees").agg(F.sort_array(F.collect_list("fp")).alias("values"))

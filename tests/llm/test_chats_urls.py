@@ -38,6 +38,10 @@ def test_examples_read_back(spark):
         "reply", chat.trained_text(F.col("text"), F.col("loss_start"), F.col("loss_end"))
     )
     talks = defaultdict(list)
+    loose = [((r["turns"][0]["role"], r["turns"][0]["text"]), len(r["turns"])) for r in made.where("conv_id IS NULL").collect()]
+    # each row without a conversation is one by itself
+    assert Counter(loose) == Counter(((role or "", text or ""), 1) for conv, _, role, text in rows if conv is None)
+    made, rows = made.where("conv_id IS NOT NULL"), [r for r in rows if r[0] is not None]
     key = lambda r: (r[1] is not None, r[1] or 0, r[2] or "", chat_escaped(r[3]))
     for conv, turn, role, text in sorted(rows, key=key):
         talks[conv].append((role or "", text or ""))

@@ -82,9 +82,10 @@ def test_trees_find_what_brute_force_finds():
         assert got == want
 
 
-@pytest.mark.parametrize("tree_size", [4, 512])
-def test_links_connect_all_near_values(spark, monkeypatch, tree_size):
+@pytest.mark.parametrize("tree_size, split_size", [(4, 8192), (512, 8192), (4, 1), (2, 5)])
+def test_links_connect_all_near_values(spark, monkeypatch, tree_size, split_size):
     monkeypatch.setattr(simhash, "TREE_SIZE", tree_size)
+    monkeypatch.setattr(simhash, "SPLIT_SIZE", split_size)
     values = clusters(random.Random(tree_size), 12, 25) | {0, 1, (1 << 64) - 1}
     signed = [(v - (1 << 64) if v >> 63 else v,) for v in values]
     links = simhash.near_links(spark.createDataFrame(signed, "fp bigint")).collect()
@@ -461,8 +462,8 @@ def test_select_in_packed_bits():
         assert line.select(np.arange(len(want)), ones).tolist() == want.tolist()
 
 
-def plain_scores(rows):
-    """The trigram model by counting, its shares rounded as the trie rounds them."""
+def plain_scores(rows, order=3):
+    """The model by counting, its shares rounded as the trie rounds them."""
     tokens = [["start", *words_of((t or "").translate(LOWER)), "\n"] for _, t, *_ in rows]
     held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, *_ in rows]
     c1, c2, c3 = Counter(), Counter(), Counter()
@@ -480,23 +481,23 @@ def plain_scores(rows):
             w, v = words[k], words[k - 1]
             one = (c1[w] + 1) / (total + kinds + 1)
             p = part(c2[v, w], c1[v], 16, one)
-            if k > 1:
+            if k > 1 and order > 2:
                 p = part(c3[words[k - 2], v, w], c2[words[k - 2], v], 2, p)
             base, score = base + math.log10(one), score + math.log10(p)
         out.append((doc, h, len(words) - 1, sum(c1[w] > 0 for w in words[1:]), total, base, score))
     return out
 
 
-@pytest.mark.parametrize("shard_tokens, portion_bytes, least", [(4_000_000, 8 << 20, 512), (3000, 500, 1), (400, 100_000, 1)])
-def test_scores(spark, odd_docs, odd_rows, prose, monkeypatch, shard_tokens, portion_bytes, least):
+@pytest.mark.parametrize("order_, shard_tokens, portion_bytes, least", [(3, 4_000_000, 8 << 20, 512), (3, 3000, 500, 1), (3, 400, 100_000, 1), (2, 700, 3000, 1)])
+def test_scores(spark, odd_docs, odd_rows, prose, monkeypatch, order_, shard_tokens, portion_bytes, least):
     monkeypatch.setattr(lm, "CHUNK_TOKENS", least)
     # some words and pairs are frequent, and texts repeat
     more = [(100 + k, " ".join(["der die", prose(30, k % 7, 8), "der die das der die"]), "de", "x", 1) for k in range(60)]
     docs = odd_docs.selectExpr("doc_id", "text", "words", "part", "n").unionByName(
         spark.createDataFrame(more, "doc_id bigint, text string, lang string, source string, n_chars bigint").selectExpr("doc_id", "text", "'x' AS words", "'x' AS part", "'x' AS n")
     )
-    got = lm.scores(docs, remainder(docs["doc_id"], 7) == 2, shard_tokens, portion_bytes).collect()
-    want = plain_scores(odd_rows + more)
+    got = lm.scores(docs, remainder(docs["doc_id"], 7) == 2, order_, shard_tokens, portion_bytes).collect()
+    want = plain_scores(odd_rows + more, order_)
     order = lambda r: (r[0] is None, r[0] or 0, r[2])
     for g, w in zip(sorted(map(tuple, got), key=order), sorted(want, key=order), strict=True):
         assert g[:5] == w[:5]
@@ -505,8 +506,8 @@ def test_scores(spark, odd_docs, odd_rows, prose, monkeypatch, shard_tokens, por
 
 def test_frequent_prefixes_are_dealt_over_shards(spark):
     docs = spark.createDataFrame([(k, "so it goes " * 50 + f"w{k}") for k in range(40)], "doc_id bigint, text string")
-    found = lm.frequent_prefixes(docs, F.lit(False), 8, 1.0)
-    assert {(b"so",), (b"it",), (b"goes",), (b"so", b"it")} <= set(found)
+    common, found = lm.sampled(docs, 8, 1.0)
+    assert {(b"so",), (b"it",), (b"goes",), (b"so", b"it")} <= set(found) and {b"so", b"it", b"goes"} <= set(common)
 
 
 def test_model_is_a_distribution(spark, odd_docs):
@@ -517,3 +518,123 @@ def test_model_is_a_distribution(spark, odd_docs):
 
 def test_scores_empty(no_docs):
     assert lm.scores(no_docs, remainder(no_docs["doc_id"], 7) == 2).count() == 0
+
+
+# rules, secrets and decontamination at their edges
+
+
+def test_pools_depend_on_counts_alone():
+    needed = next(n for n in range(1, 10_000) if rules.within_risk(0, n, 0.015, 0.05 / len(rules.RULES)))
+    assert rules.pools({"a": needed}, 0.015, 0.05) == [("a",)]
+    assert rules.pools({"a": 5000, "b": 3, "c": 0}, 0.015, 0.05) == [("a", "b", "c")] or rules.pools({"a": 5000, "b": 3, "c": 0}, 0.015, 0.05)[0] == ("a",)
+    made = rules.pools({"a": 5000, "b": 200, "c": 200, "d": 200}, 0.015, 0.05)
+    assert made == [("a",), ("b", "c", "d")]
+    # each has enough for as many strata as there are, or all are one
+    for strata in (made, rules.pools({"a": 10, "b": 20}, 0.015, 0.05)):
+        assert len(strata) == 1 or all(strata)
+    assert rules.pools({"a": 10, "b": 20}, 0.015, 0.05) == [("a", "b")] and rules.pools({}, 0.015, 0.05) == []
+    assert len(rules.pools({f"l{k}": 1 for k in range(200)}, 0.015, 0.05)) == 1
+
+
+def test_small_languages_are_certified_together(spark):
+    rng, rows, labels = random.Random(9), [], []
+    for k in range(900):
+        good = k % 3 > 0
+        words = ["word" + str(rng.randrange(500)) + ("#" * 3 if not good else "") for _ in range(20)]
+        rows.append((k, " ".join(words), ("de", "fr", "es")[k % 9 // 3]))
+        labels.append((k, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    chosen = rules.calibrate(rules.statistics(docs), spark.createDataFrame(labels, "doc_id int, quality int"))
+    assert {pool for pool, _ in chosen.cutoffs} == {("de", "es", "fr")}
+    judged = {r["doc_id"]: r["kept"] for r in rules.judge(docs, spark.createDataFrame(labels, "doc_id int, quality int")).collect()}
+    assert all(judged[k] == (k % 3 > 0) for k in range(900))
+
+
+def plain_battery(token):
+    """The p-value of a token by plain arithmetic."""
+    body = token.rstrip("=")
+    name = next(n for n, symbols in secrets.ENCODINGS.items() if set(body) <= set(symbols))
+    alphabet, own, n = secrets.ENCODINGS[name], secrets.ORDINARY.get(name), len(body)
+    k, codes, counts = len(alphabet), [secrets.ENCODINGS[name].index(c) for c in body], Counter(body)
+    chi = sum((counts[c] - n / k) ** 2 / (n / k) for c in alphabet)
+    uniform = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    kinds = [c.lower() in secrets.VOWELS if name in secrets.WORDS else secrets._group(c) for c in body]
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
+    even = secrets.random_changes(name)
+    if own is None or not 0 < even < 1:
+        return 1.0
+    runs = (changes - (n - 1) * even) / math.sqrt((n - 1) * even * (1 - even))
+    mean = sum(codes) / n
+    square = sum((c - mean) ** 2 for c in codes)
+    serial = (sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:])) / square + 1 / n) * math.sqrt(n) if square else 10.0
+    if uniform > secrets.FAR or abs(runs) > secrets.FAR or abs(serial) > secrets.FAR:
+        return 1.0
+    q = own.frequencies(alphabet)
+    # the mean and the variance of the number of equal pairs, worked out term by term
+    two, three = sum(x**2 for x in q), sum(x**3 for x in q)
+    pairs_mean = n * (n - 1) * two
+    variance = 2 * n * (n - 1) * (two + 2 * (n - 2) * three - (2 * n - 3) * two * two)
+    z = (chi - (k / n * (pairs_mean + n) - n)) / (k / n * math.sqrt(variance))
+    p = 0.5 * math.exp(-z * z / 2) if z < 0 else 1.0
+    rate = changes / (n - 1)
+    beyond = rate < own.changes if name in secrets.WORDS else rate > own.changes
+    if beyond:
+        part = lambda x, y: x * math.log(x / y) if x else 0.0
+        p *= math.exp(-(n - 1) * (part(rate, own.changes) + part(1 - rate, 1 - own.changes)))
+    return p * (1 - math.log(p)) if p else 0.0
+
+
+def test_battery_against_plain_arithmetic(spark):
+    rng = random.Random(12)
+    tokens = ["a" * 20, "ab" * 15, "0123456789" * 3, "A1" * 20, "--__" * 6, "internationalizationofthings", "x" * 19 + "==", "Aa0+/-_" * 4]
+    for symbols in secrets.ENCODINGS.values():
+        tokens += ["".join(rng.choice(symbols) for _ in range(n)) for n in (20, 33, 64, 200)]
+    frame = spark.createDataFrame(list(enumerate(tokens)), "k int, token string")
+    for r in frame.select("k", secrets.battery(F.col("token"))["p"].alias("p")).collect():
+        assert r["p"] == pytest.approx(plain_battery(tokens[r["k"]]), rel=1e-6, abs=1e-280), tokens[r["k"]]
+
+
+@pytest.mark.parametrize("beside", [None, "sf0.001", "sf0.01"])
+def test_planted_keys_are_found_whatever_stands_beside_them(spark, beside):
+    rng = random.Random(3)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    keys = [(10**9 + k, "CLIENT_KEY=" + "".join(rng.choice(symbols) for _ in range(44))) for k in range(20)]
+    keys += [(2 * 10**9 + k, "x " + "".join(rng.choice(lower) for _ in range(48))) for k in range(5)]
+    plain = ["src/main/java/org/example/project/Application", "getElementsByClassNameAndAttribute", "thenandthereforewhomsoeverindeed", "01234567890123456789012345", "abcdefghijklmnopqrstuvwxyz0123456789", "internationalization-of-everything", "VERY_LONG_CONSTANT_NAME_2024"]
+    rows = keys + [(3 * 10**9 + k, f"see {w} here") for k, w in enumerate(plain)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    if beside:
+        docs = docs.unionByName(spark.read.parquet(f"/root/testdata/{beside}/documents.parquet").select("doc_id", "text"))
+    found = {r["doc_id"]: [s for s in r["spans"] if s["kind"] == "random"] for r in secrets.scan(docs).collect()}
+    assert all([(s["start"], s["end"]) for s in found[k]] == [(11, 55)] for k, _ in keys[:20])
+    assert sum(bool(found[k]) for k, _ in keys[20:]) >= 4 and not any(found[k] for k in found if k >= 3 * 10**9)
+    left = {r["doc_id"]: r["text"] for r in secrets.redacted(docs).where("doc_id >= 1000000000").collect()}
+    assert all(left[k] == "CLIENT_KEY=[SECRET]" for k, _ in keys[:20]) and all(left[k] == t for k, t in rows[25:])
+
+
+def test_repeated_words_are_laid_in_linear_memory():
+    import time
+    import tracemalloc
+
+    text = b"so " * 200 + b"on and on " + b"a b " * 200
+    index = decontaminate.Index([b"so " * 200, b"a b " * 150, b"x y z " * 30])
+    assert [(h["item"], h["start"], h["length"], h["matched"]) for h in index.hits(text)] == [(0, 0, 200, 200), (1, 203, 300, 300)]
+    spent = []
+    for n in (10_000, 40_000):
+        tracemalloc.start()
+        start = time.process_time()
+        found = index.hits(b"so " * n)
+        spent.append((time.process_time() - start, tracemalloc.get_traced_memory()[1]))
+        tracemalloc.stop()
+        assert [(h["item"], h["start"], h["matched"]) for h in found] == [(0, 0, 200)]
+    # four times the text: memory in proportion, and no product of the two sides
+    assert spent[1][1] < 200 << 20 and spent[1][0] < 12
+
+
+def test_short_items_are_found_word_for_word():
+    index = decontaminate.Index([b"one two three four five", b"a b c", b"k l m n o p q r s t u v", b"one two three four five"])
+    places = lambda text: [(h["item"], h["start"], h["length"]) for h in index.hits(text)]
+    assert places(b"so One two, three four five six one two three four five") == [(0, 1, 5), (3, 1, 5)]
+    assert places(b"one two three four six") == [] and places(b"a b c") == [(1, 0, 3)] and places(b"a b c d") == []
+    assert places(b"k l m n o p q r s t u v") == [(2, 0, 12)] and places(b"k l m n o p q r s t u x") == []
