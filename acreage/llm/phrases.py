@@ -5,8 +5,8 @@ word into smaller, equal and larger ones; equal ones go on to the next word, unt
 agree on their first d words end up in one equal partition, and its size is how often the phrase of these words occurs. A
 partition below the least count is abandoned at once.
 
-Equal suffixes of a portion of text are one pointer with a count before anything is shuffled. Pointers are routed to
-tasks by their leading words: cut points taken from a sample of the suffixes divide the order of all suffixes into ranges of
+Equal suffixes of a portion of text are one pointer with a count before anything is shuffled, and a portion's pointers for a
+task travel as one compressed row. Pointers are routed to tasks by their leading words: cut points taken from a sample of the suffixes divide the order of all suffixes into ranges of
 about the same number. The sample only decides the balance. A cut may fall between suffixes with the same leading words, so
 that even a word with a third of all rows is dealt over several tasks; the parts of such a partition, which a range knows
 by its cut points, are kept whatever their size and added up afterwards.
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -34,7 +35,7 @@ UNKNOWN = "und"
 # A phrase goes if a longer one that holds it has at least this percentage of its count.
 CONTAINED = 50
 # Text whose suffixes are counted together before the shuffle, and text per range; both bound a task's memory.
-PORTION_BYTES = 3 << 20
+PORTION_BYTES = 4 << 20
 ROUTE_BYTES = 3 << 20
 # Every so many words of a sampled document give a cut point to choose from, and so much text is sampled per range.
 STRIDE, SAMPLE_BYTES = 64, 8 << 10
@@ -47,7 +48,8 @@ SHARES = 64
 _PLAIN = bytes(
     10 if chr(c) in ".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if chr(c) in UPPER else c for c in range(256)
 )
-SUFFIXES = "route int, lang string, phrase binary, n bigint"
+SUFFIXES = "route int, lang string, phrases binary, sizes binary, counts binary"
+_KINDS = (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary())
 COUNTS = "lang string, words int, phrase string, n bigint"
 
 
@@ -120,6 +122,8 @@ def _routed(batches: Iterator[pa.RecordBatch], cuts: list[tuple[str, tuple[bytes
         for lang, texts in portion.items():
             words, codes = _numbered(texts)
             rows, counts = distinct_suffixes(codes, depth)
+            if not len(counts):
+                continue
             base = bisect_left(cuts, (lang, ()))
             own = [c for _, c in cuts[base : bisect_left(cuts, (lang + "\0", ()))]]
             places = [_cut_place(words, rows, c) for c in own]
@@ -127,10 +131,15 @@ def _routed(batches: Iterator[pa.RecordBatch], cuts: list[tuple[str, tuple[bytes
             written = pa.array([b"", *words], pa.binary())
             columns = [written.take(pa.array(r)) for r in rows]
             phrase = compute.binary_join_element_wise(*columns, pa.scalar(b" ", pa.binary()))
-            made = pa.array(route, pa.int32()), pa.array([lang]).take(pa.array(np.zeros(len(counts), np.int64))), phrase, pa.array(counts, pa.int64())
-            whole = pa.RecordBatch.from_arrays(list(made), names=names)
-            for a in range(0, whole.num_rows, 50_000):
-                yield whole.slice(a, 50_000)
+            offsets = np.frombuffer(phrase.buffers()[1], np.int32)[phrase.offset :]
+            data, packer = memoryview(phrase.buffers()[2] or b""), zstandard.ZstdCompressor(level=1)
+            sizes, counts = np.diff(offsets[: len(counts) + 1]).astype("<u4"), counts.astype("<u4")
+            first = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]))
+            made = []
+            for a, b in zip(first, [*first[1:], len(route)]):
+                parts = data[offsets[a] : offsets[b]], sizes[a:b].tobytes(), counts[a:b].tobytes()
+                made.append((int(route[a]), lang, *(packer.compress(x) for x in parts)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*made), _KINDS)], names=names)
 
 
 def equal_partitions(keys: np.ndarray, counts: np.ndarray, least: int, level: np.ndarray, seed: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -195,13 +204,20 @@ def _levels(keys: np.ndarray, words: pa.Array, langs: pa.Array, cuts: list[tuple
     return level
 
 
-def _route_counts(route: int, batches: list[pa.RecordBatch], cuts: list, depth: int, least: int) -> Iterator[pa.RecordBatch]:
-    rows = pa.Table.from_batches(batches).combine_chunks()
-    parts = compute.split_pattern(rows.column("phrase").combine_chunks(), pattern=" ").flatten().dictionary_encode()
-    langs = rows.column("lang").combine_chunks().dictionary_encode()
-    counts, words, names = np.asarray(rows.column("n")), parts.dictionary, langs.dictionary
+def _route_counts(route: int, rows: list[tuple], cuts: list, depth: int, least: int) -> Iterator[pa.RecordBatch]:
+    unpack, arrays, weights, sizes = zstandard.ZstdDecompressor().decompress, [], [], []
+    for _, phrases, lengths, counts in rows:
+        size = np.frombuffer(unpack(lengths), "<u4")
+        offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(unpack(phrases))]))
+        weights.append(np.frombuffer(unpack(counts), "<u4"))
+        sizes.append(len(size))
+    parts = compute.split_pattern(pa.concat_arrays(arrays), pattern=" ").flatten().dictionary_encode()
+    langs = pa.array([r[0] for r in rows], pa.string()).take(pa.array(np.repeat(np.arange(len(rows)), sizes))).dictionary_encode()
+    counts, words, names = np.concatenate(weights).astype(np.int64), parts.dictionary, langs.dictionary
+    del arrays, weights
     keys = np.concatenate([np.asarray(langs.indices)[None, :], np.asarray(parts.indices).reshape(-1, depth).T])
-    del rows, parts, langs
+    del parts, langs
     level = _levels(keys, words, names, cuts[max(0, route - 1) : route + 1])
     (end,) = _places(words, [b""])
     # the suffixes' languages are their first words: a language's partition has all of its words
@@ -216,10 +232,10 @@ def _route_counts(route: int, batches: list[pa.RecordBatch], cuts: list, depth:
 
 def _counted(batches: Iterator[pa.RecordBatch], cuts: list, depth: int, least: int) -> Iterator[pa.RecordBatch]:
     """The suffixes of a task, which are those of one range."""
-    held: dict[int, list[pa.RecordBatch]] = {}
+    held: dict[int, list[tuple]] = {}
     for batch in batches:
-        if batch.num_rows:
-            held.setdefault(batch.column(0)[0].as_py(), []).append(batch)
+        for route, *row in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            held.setdefault(route, []).append(tuple(row))
     for route in sorted(held):
         yield from _route_counts(route, held[route], cuts, depth, least)
 

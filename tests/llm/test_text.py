@@ -504,6 +504,24 @@ def test_scores(spark, odd_docs, odd_rows, prose, monkeypatch, order_, shard_tok
         assert g[5] == pytest.approx(w[5]) and g[6] == pytest.approx(w[6], rel=1e-9, abs=1e-4 * w[2])
 
 
+def test_suffixes_of_shards_with_millions_of_words(monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = rng.integers(1, 50, (3, 5000))
+    rows[2, :100] = 0
+    want, counts = np.unique(rows, axis=1, return_counts=True)
+    for pairs in (None, np.unique(lm.first_pairs(rows))):
+        union = lm.Union(6, pairs)
+        for part in np.array_split(np.arange(5000), 7):
+            union.add(rows[:, part], np.ones(len(part), np.int64))
+        union.merge()
+        assert (union.rows() == want).all() and (union.counts == counts).all()
+        assert (union.keys[np.searchsorted(union.keys, union.key(rows))] == union.key(rows)).all()
+    for bits in (63, 8):
+        monkeypatch.setattr(lm, "KEY_BITS", bits)
+        different, place = lm._ranked(rows, 6)
+        assert (different == want).all() and (different[:, place] == rows).all()
+
+
 def test_frequent_prefixes_are_dealt_over_shards(spark):
     docs = spark.createDataFrame([(k, "so it goes " * 50 + f"w{k}") for k in range(40)], "doc_id bigint, text string")
     common, found = lm.sampled(docs, 8, 1.0)
