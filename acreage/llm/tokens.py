@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from acreage.llm.common import text_bytes
 
 # Words kept per Python worker: two generations of at most this many.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 # Longer words are encoded each time, so that the cache has a bound in bytes.
 CACHE_LENGTH = 64
 END_ID = 1
@@ -219,6 +219,8 @@ def tokenized(docs: DataFrame, path: str, *columns: tuple[str, Column], queue: s
                 made["before"] = pa.array(before, pa.int64())
             made["ids"] = pa.array(ids, pa.binary())
             yield pa.RecordBatch.from_arrays([*kept, *made.values()], names=[*names, *made])
+        # an idle worker keeps few words
+        encoder.words.old = {}
 
     more = "part int, n bigint, " + ("before bigint, " if queue else "") + "ids binary"
     return narrow.mapInArrow(encode, f"{schema}, {more}")
