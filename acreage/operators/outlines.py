@@ -34,7 +34,7 @@ def directed_edges(vertices: DataFrame) -> DataFrame:
         ).where("x0 <> x1 OR y0 <> y1"),
         "parcel-edges",
     )
-    sides = rows.groupBy("PID").agg((F.sum("cross") < 0).alias("clockwise"), F.count(F.lit(1)).alias("count"))
+    sides = stored(rows.groupBy("PID").agg((F.sum("cross") < 0).alias("clockwise"), F.count(F.lit(1)).alias("count")), "windings")
     turned = lookup_join(rows, sides.drop("count"), ["PID"], "inner", counts=sides.select("PID", "count"), probe=True)
     swap = {"x0": "x1", "y0": "y1", "x1": "x0", "y1": "y0"}
     return turned.select("PID", *(F.when(F.col("clockwise"), F.col(b)).otherwise(F.col(a)).alias(a) for a, b in swap.items()))
@@ -69,7 +69,7 @@ def corners_on_sides(edges: DataFrame) -> DataFrame:
     along = (qx * dx + qy * dy) / F.col("length")
     near = F.abs(dx * qy - dy * qx) <= TOLERANCE * F.col("length")
     inside = (along > TOLERANCE) & (along < F.col("length") - TOLERANCE)
-    met = salted_join(corners, sides, on=["class", "cx", "cy"], by=["other", "px", "py"])
+    met = salted_join(corners, sides, on=["class", "cx", "cy"], by=["other", "px", "py"], small=fits_broadcast(sides))
     return met.where(near & inside & (F.col("other") != F.col("PID"))).select("PID", *ENDS, "other", "px", "py", along.alias("along"))
 
 
