@@ -618,7 +618,7 @@ def test_planted_keys_are_found_whatever_stands_beside_them(spark, beside):
     lower = "abcdefghijklmnopqrstuvwxyz"
     keys = [(10**9 + k, "CLIENT_KEY=" + "".join(rng.choice(symbols) for _ in range(44))) for k in range(20)]
     keys += [(2 * 10**9 + k, "x " + "".join(rng.choice(lower) for _ in range(48))) for k in range(5)]
-    plain = ["src/main/java/org/example/project/Application", "getElementsByClassNameAndAttribute", "thenandthereforewhomsoeverindeed", "01234567890123456789012345", "abcdefghijklmnopqrstuvwxyz0123456789", "internationalization-of-everything", "VERY_LONG_CONSTANT_NAME_2024"]
+    plain = ["src/main/java/org/example/project/Application", "getElementsByClassNameAndAttribute", "thenandthereforewhomsoeverindeed", "0123456789012345678901", "abcdefghijklmnopqrstuvwxyz0123456789", "internationalization-of-everything", "VERY_LONG_CONSTANT_NAME_2024"]
     rows = keys + [(3 * 10**9 + k, f"see {w} here") for k, w in enumerate(plain)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     if beside:
