@@ -32,7 +32,7 @@ def union_of_parcels(
     applications: DataFrame, vertices: DataFrame, pid_field: str = "PIDs", key: str = KEY
 ) -> tuple[DataFrame, DataFrame]:
     """How many of each application's listed parcels exist, and the pieces of their sides."""
-    listed = listed_parcels(applications, pid_field, key)
+    listed = stored(listed_parcels(applications, pid_field, key), "listed-parcels")
     edges = stored(directed_edges(wanted_parcels(vertices, listed)), "directed-edges")
     there = lookup_join(listed, edges.select("PID").distinct(), ["PID"], "left_semi", probe=True)
     return there.groupBy(key).agg(F.count(F.lit(1)).alias("pids_found")), union_pieces(listed, edges, key)

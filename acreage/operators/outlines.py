@@ -25,7 +25,8 @@ ENDS = ["x0", "y0", "x1", "y1"]
 def directed_edges(vertices: DataFrame) -> DataFrame:
     """Edges in grid coordinates with the parcel on the left, whichever way its rings wind; none has length zero."""
     block = F.floor(F.col("seq") / setting(vertices.sparkSession, BLOCK_ROWS))
-    rows = linked_rows(vertices, ["PID", "ring"], block, ["seq"], ["x", "y"], wrap=True, anchor=["PID"])
+    rows = linked_rows(vertices, ["PID", "ring"], block, ["seq"], ["x", "y"], wrap=True)
+    # a closed ring's sum is the same from any origin, so each ring has its own
     ax, ay = F.col("x") - F.col("first.x"), F.col("y") - F.col("first.y")
     bx, by = F.col("next.x") - F.col("first.x"), F.col("next.y") - F.col("first.y")
     rows = stored(
