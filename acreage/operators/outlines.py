@@ -11,15 +11,22 @@ piece knows its ring and its place there. All joins of that part are on the numb
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructType
 
-from acreage.operators.spread import fits_broadcast, linked_rows, lookup_join, numbered, salted_join
+from acreage.operators.spread import fits_broadcast, linked_rows, lookup_join, matching, numbered, salted_join
 from acreage.session import BLOCK_ROWS, setting, stored
 
 # How far from a side, in units of the grid, a corner may be and still cut it.
 TOLERANCE = 1e-6
 ENDS = ["x0", "y0", "x1", "y1"]
+# Keys with more pieces than this are not put together in one row but by joins.
+ROW_PIECES = 1024
 
 
 def directed_edges(vertices: DataFrame) -> DataFrame:
@@ -75,8 +82,55 @@ def corners_on_sides(edges: DataFrame) -> DataFrame:
 
 
 def _pieces(listed: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    """Each listed parcel's edges, cut at the corners of the other parcels of its list."""
+    """Each listed parcel's edges, cut at the corners of the other parcels of its list, and ``times``, how often each counts.
+
+    A list with few pieces is gathered in a row, beside which the parcels' sides are cut without another shuffle.
+    """
     corners = stored(corners_on_sides(edges), "corners-on-sides")
+    sizes = edges.select("PID").unionByName(corners.select("PID")).groupBy("PID").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stored(sizes, "parcel-sizes")
+    few = fits_broadcast(sizes)
+    weighed = salted_join(listed, sizes, on=["PID"], by=[key], small=few).groupBy(key).agg(F.sum("n").alias("n"))
+    large = stored(weighed.where((F.col("n") > ROW_PIECES) | F.col(key).isNull()).select(F.col(key).alias(f"_on_{key}")), "large-lists")
+    cut = ["PID", *ENDS, "corners"]
+    crossed = corners.groupBy("PID", *ENDS).agg(F.collect_set(F.struct("along", "px", "py", "other")).alias("corners"))
+    sides = edges.groupBy("PID", *ENDS).agg(F.count(F.lit(1)).alias("times")).join(crossed, ["PID", *ENDS], "left").select(*cut, "times")
+    none = large.isEmpty()
+    small = listed if none else listed.join(large, matching(listed, large, [key], null_safe=True), "left_anti")
+    near = _cut_sides(small, stored(sides, "cut-sides"), key, few)
+    if none:
+        return near
+    rest = listed.join(large, matching(listed, large, [key], null_safe=True), "left_semi")
+    return near.unionByName(_joined_pieces(stored(rest, "large-lists"), edges, corners, key).withColumn("times", F.lit(1).cast("bigint")))
+
+
+def _cut_sides(listed: DataFrame, sides: DataFrame, key: str, few: bool) -> DataFrame:
+    """``_pieces`` of lists that fit a row; ``few`` says that there are few parcels."""
+    if few and fits_broadcast(sides):
+        lists = listed.groupBy(key).agg(F.collect_list("PID").alias("_pids"))
+        rows = lists.select(key, "_pids", F.explode(F.array_distinct("_pids")).alias("PID")).join(F.broadcast(sides), "PID")
+    else:
+        parts = F.struct("PID", *ENDS, "corners", "times")
+        whole = sides.groupBy("PID").agg(F.collect_list(parts).alias("_sides"))
+        lists = salted_join(listed, whole, on=["PID"], by=[key]).groupBy(key).agg(F.collect_list("PID").alias("_pids"), F.collect_list("_sides").alias("_sides"))
+        rows = lists.select(key, "_pids", F.inline(F.array_distinct(F.flatten("_sides"))))
+    held = F.filter("corners", lambda c: F.array_contains(F.col("_pids"), c["other"]))
+    cuts = F.array_sort(F.array_distinct(F.transform(held, lambda c: F.struct(c["along"], c["px"], c["py"]))))
+    rows = rows.withColumn("_cuts", F.coalesce(cuts, F.array().cast("array<struct<along:double,px:double,py:double>>")))
+    point = lambda x, y: F.struct(x.alias("px"), y.alias("py"))
+    inner = F.transform("_cuts", lambda c: point(c["px"], c["py"]))
+    rows = rows.withColumn("_ends", F.concat(F.array(point(F.col("x0"), F.col("y0"))), inner, F.array(point(F.col("x1"), F.col("y1")))))
+    # a side that is not cut counts as often as it is listed, one that is cut counts once
+    again = F.col("times") * (F.size("_pids") - F.size(F.array_remove("_pids", F.col("PID"))))
+    rows = rows.withColumn("times", F.when(F.size("_cuts") == 0, again).otherwise(1).cast("bigint"))
+    steps = F.transform(F.sequence(F.lit(1), F.size("_ends") - 1), lambda k: F.struct(F.get("_ends", k - 1).alias("a"), F.get("_ends", k).alias("b")))
+    split = rows.select(key, "PID", "times", F.explode(steps).alias("_s"))
+    ends = {"x0": "_s.a.px", "y0": "_s.a.py", "x1": "_s.b.px", "y1": "_s.b.py"}
+    return split.select(key, "PID", *(F.col(c).alias(n) for n, c in ends.items()), "times").where("x0 <> x1 OR y0 <> y1")
+
+
+def _joined_pieces(listed: DataFrame, edges: DataFrame, corners: DataFrame, key: str) -> DataFrame:
+    """``_pieces`` by joins that hold no list whole."""
     rows = salted_join(listed, edges, on=["PID"], by=[key], small=fits_broadcast(edges))
     if corners.isEmpty():
         return rows
@@ -102,8 +156,11 @@ def union_pieces(listed: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     forward = F.struct("x0", "y0") <= F.struct("x1", "y1")
     rows = _pieces(listed, edges, key).withColumn("forward", forward)
     swap = {"x0": "x1", "y0": "y1", "x1": "x0", "y1": "y0"}
-    rows = rows.select(key, "forward", *(F.when(F.col("forward"), F.col(a)).otherwise(F.col(b)).alias(a) for a, b in swap.items()))
-    return rows.groupBy(key, *ENDS).agg(F.count_if("forward").alias("left"), F.count_if(~F.col("forward")).alias("right"))
+    rows = rows.select(key, "forward", "times", *(F.when(F.col("forward"), F.col(a)).otherwise(F.col(b)).alias(a) for a, b in swap.items()))
+    return rows.groupBy(key, *ENDS).agg(
+        F.sum(F.when(F.col("forward"), F.col("times")).otherwise(0)).alias("left"),
+        F.sum(F.when(F.col("forward"), 0).otherwise(F.col("times"))).alias("right"),
+    )
 
 
 def on_outline() -> Column:
@@ -159,6 +216,71 @@ def _following(outline: DataFrame, key: str) -> DataFrame:
     return turns.select(key, F.col("into").alias("id"), F.col("before.out").alias("next"), even.alias("even"))
 
 
+def _linked(key: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The pieces of whole keys that have rings: which pieces, and each one's ring number within its key, place and ``hole``.
+
+    The same steps as by joins: pieces at a corner take turns, and pointers double along the rings.
+    """
+    n, (x0, y0, x1, y1) = len(key), ends
+    ids = np.arange(n)
+    dx, dy = x1 - x0, y1 - y0
+    whose, vx, vy = np.tile(key, 2), np.concatenate([x1, x0]), np.concatenate([y1, y0])
+    angle = np.concatenate([np.arctan2(-dy, -dx), np.arctan2(dy, dx)])
+    into, piece = np.repeat([1, 0], n), np.tile(ids, 2)
+    order = np.lexsort((piece, into, angle, vy, vx, whose))
+    whose, vx, vy, into, piece = (v[order] for v in (whose, vx, vy, into, piece))
+    new = np.concatenate([[True], (whose[1:] != whose[:-1]) | (vx[1:] != vx[:-1]) | (vy[1:] != vy[:-1])])
+    starts = np.flatnonzero(new)
+    before = np.arange(2 * n) - 1
+    before[starts] = np.append(starts[1:], 2 * n) - 1
+    torn = np.unique(whose[into == into[before]])
+    following = np.zeros(n, dtype=np.int64)
+    following[piece[into == 1]] = piece[before[into == 1]]
+    kept = np.flatnonzero(~np.isin(key, torn))
+    place = np.cumsum(~np.isin(key, torn)) - 1
+    after, key, ends = place[following[kept]], key[kept], ends[:, kept]
+    x0, y0, x1, y1 = ends
+    ids = np.arange(len(kept))
+    jump, low = after, np.minimum(ids, after)
+    while True:
+        was, low, jump = low, np.minimum(low, low[jump]), jump[jump]
+        if (low == was).all():
+            break
+    # rings by key and least corner, so that the first piece of each ring is its start
+    order = np.lexsort((ids, y1, x1, y0, x0, low))
+    first = order[np.concatenate([[True], low[order][1:] != low[order][:-1]])] if len(ids) else order
+    rings = first[np.lexsort((low[first], y1[first], x1[first], y0[first], x0[first], key[first]))]
+    begun = np.concatenate([[True], key[rings][1:] != key[rings][:-1]]) if len(rings) else np.zeros(0, dtype=bool)
+    number = np.zeros(len(ids), dtype=np.int64)
+    number[low[rings]] = np.arange(len(rings)) - np.maximum.accumulate(np.where(begun, np.arange(len(rings)), 0)) + 1
+    back, steps = np.empty_like(after), np.ones(len(ids), dtype=np.int64)
+    back[after] = ids
+    back[first], steps[first] = first, 0
+    while (steps[back] > 0).any():
+        steps, back = steps + steps[back], back[back]
+    turning = np.bincount(low, x0 * (y1 - y0) - y0 * (x1 - x0), len(ids))
+    return kept, number[low], steps + 1, turning[low] < 0
+
+
+def _gathered_rings(outline: DataFrame, key: str) -> DataFrame:
+    """The rings of keys whose pieces fit a row each, linked in one task."""
+    kind = outline.schema[key].dataType
+    schema = StructType().add(key, kind).add("ring", LongType()).add("seq", LongType()).add("x", DoubleType()).add("y", DoubleType()).add("hole", BooleanType())
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat, at = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            ends = np.array([c.to_numpy(zero_copy_only=False) for c in flat.flatten()])
+            owner = np.repeat(np.arange(len(at)), at)
+            if len(owner):
+                kept, ring, seq, hole = _linked(owner, ends)
+                columns = batch.column(0).take(pa.array(owner[kept])), ring, seq, ends[0][kept], ends[1][kept], hole
+                yield pa.RecordBatch.from_arrays([pa.array(c) if isinstance(c, np.ndarray) else c for c in columns], names=schema.names)
+
+    return outline.groupBy(key).agg(F.collect_list(F.struct(*ENDS)).alias("pieces")).mapInArrow(link, schema)
+
+
 def outline_rings(pieces: DataFrame, key: str) -> DataFrame:
     """``key``, ``ring``, ``seq``, ``x``, ``y`` and ``hole``: the corners of the outline's rings in order.
 
@@ -171,6 +293,21 @@ def outline_rings(pieces: DataFrame, key: str) -> DataFrame:
     swap = {"x0": "x1", "y0": "y1", "x1": "x0", "y1": "y0"}
     outline = pieces.where(on_outline())
     outline = outline.select(key, *(F.when(ahead, F.col(a)).otherwise(F.col(b)).alias(a) for a, b in swap.items()))
+    outline = stored(outline, "outline")
+    odd = F.col(key).isNull()
+    for end in ENDS:
+        odd = odd | F.col(end).isNull() | F.isnan(end)
+    large = outline.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.bool_or(odd).alias("odd")).where((F.col("n") > ROW_PIECES) | F.col("odd"))
+    large = stored(large.select(F.col(key).alias(f"_on_{key}")), "large-outlines")
+    if large.isEmpty():
+        return _gathered_rings(outline, key)
+    same = matching(outline, large, [key], null_safe=True)
+    rest = _joined_rings(outline.join(large, same, "left_semi"), key)
+    return _gathered_rings(outline.join(large, same, "left_anti"), key).unionByName(rest)
+
+
+def _joined_rings(outline: DataFrame, key: str) -> DataFrame:
+    """The rings of keys with very many pieces, by joins on the pieces' numbers."""
     outline = stored(outline.withColumn("id", F.monotonically_increasing_id()), "outline")
     turns = stored(_following(outline, key), "turns")
     torn = turns.where(~F.col("even")).select(F.col(key).alias("_key")).distinct()
