@@ -3,9 +3,9 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
-from acreage.operators import duplicates, quality
+from acreage.operators import applications as apps
+from acreage.operators import duplicates, outlines, quality
 from acreage.operators.spread import heavy_keys_of
 from acreage.plans.queries import PLACE, _Inputs
 
@@ -112,3 +112,29 @@ def test_counts_are_reconciled_by_one_shuffle_of_the_permits(spark):
     assert exchanges(counts) == 2
     got = {r["Permit_Category"]: tuple(r)[1:] for r in counts.select("Permit_Category", "source", "rw", "ro", "failed", "related", "missing_rw", "missing_ro").collect()}
     assert got == {"A": (6, 2, 1, 1, 2, 2, 1), None: (1, 0, 0, 1, 0, 0, 0)}
+
+
+def ground(spark):
+    """Three squares in a row, the first with a corner in the middle of a side, a far one with a hole, and one given twice."""
+    square = lambda x, y, size: [(x, y), (x + size, y), (x + size, y + size), (x, y + size)]
+    rings = [("1", 0, square(0, 0, 10)), ("2", 0, square(10, 0, 5)), ("3", 0, square(10, 5, 5)), ("4", 0, square(40, 0, 9)), ("4", 1, square(43, 3, 2)[::-1]), ("5", 0, square(0, 0, 10))]
+    rows = [(pid.zfill(8), n, k, float(x), float(y)) for pid, n, corners in rings for k, (x, y) in enumerate(corners)]
+    listed = [(1, "1,2,3"), (2, "4"), (3, "1,5"), (4, "1, 2, 4"), (5, "3,3"), (5, "1"), (6, "9"), (7, "2,3"), (7, "2,3"), (None, "1,2,3")]
+    return spark.createDataFrame(listed, "Planning_App_Num bigint, PIDs string"), spark.createDataFrame(rows, "PID string, ring int, seq int, x double, y double")
+
+
+@pytest.mark.parametrize("settings", ["spark", "crowded"])
+@pytest.mark.parametrize("most", [0, 12])
+def test_outlines_in_rows_and_by_joins(request, monkeypatch, settings, most):
+    spark = request.getfixturevalue(settings)
+    found, vertices = ground(spark)
+    want = as_rows(apps.dissolve_area(found, vertices)), as_rows(apps.app_outline_rings(found, vertices))
+    assert len(want[0]) == 6 and len(want[1]) > 30
+    monkeypatch.setattr(outlines, "ROW_PIECES", most)
+    assert (as_rows(apps.dissolve_area(found, vertices)), as_rows(apps.app_outline_rings(found, vertices))) == want
+
+
+def test_pieces_of_lists_take_one_shuffle(spark):
+    found, vertices = ground(spark)
+    _, pieces = apps.union_of_parcels(found.where("Planning_App_Num IS NOT NULL"), vertices)
+    assert exchanges(pieces) == 1
