@@ -7,8 +7,8 @@ by itself, however rare; nothing depends on how large the corpus is or how it is
 
 Every place of a text begins a suffix of three words. A portion of documents keeps which place has which of its different
 suffixes, and sends these, with their counts, to shards: a chunk per shard. A shard has all suffixes with its first
-words. It merges its chunks into a trie and answers each chunk from it; the answers go back to the portion, where three
-neighbouring suffixes make up a token's probability. Nothing is written in between but Spark's own shuffles.
+words. It merges its chunks into a trie and answers each chunk with the trie's counts; the answers go back to the portion, where
+three neighbouring suffixes make up a token's probability. Nothing is written in between but Spark's own shuffles.
 
 A first pass counts tokens and different words. A sample gives the most frequent words, which are sent by a short number, and
 first words (or pairs of words) so frequent that they are dealt over the shards by the next word; the first pass counts
@@ -24,9 +24,10 @@ proportion to it. A task's memory is in proportion to a portion or a shard.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +38,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreage.llm.common import stored, text_bytes
-from acreage.llm.trie import POWERS, Trie, group_starts
+from acreage.llm.trie import POWERS, Trie, first_pairs, group_starts, node_steps
 
 M2, M3 = 16.0, 2.0
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 1_500_000
 PORTION_BYTES = 6 << 20
 CHUNK_TOKENS = 512
 # Bytes of text per shard from which frequent first words are found; a word that makes up more than this part of a
 # shard in the sample is dealt over the shards.
 SAMPLE_BYTES, HEAVY = 256 << 10, 0.25
+# Prefixes that a task counts in the sample before it hands them on.
+SAMPLE_PREFIXES = 1 << 19
+# Suffixes that a trie is asked for at a time.
+SLICE = 1 << 18
 # Bits of a number that may hold three words.
 KEY_BITS = 63
 # Words that have a number for all tasks.
@@ -61,7 +66,7 @@ ROW = (
 )
 ANSWER = (
     "portion bigint, shard int, doc_ids array<bigint>, held array<boolean>, sizes binary, places binary, "
-    "groups binary, count1 binary, back1 binary, seen2 binary, back2 binary, seen3 binary"
+    "groups binary, count1 binary, count2 binary, count3 binary"
 )
 COUNT = "dest int, hashes binary, tokens bigint, heavy array<int>, heavy_n array<bigint>"
 _KINDS = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "array<int>": pa.list_(pa.int32())}
@@ -87,8 +92,32 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).reshape(-1)
 
 
+def _packed_counts(values: np.ndarray) -> bytes:
+    """Numbers from 0 on in as many bytes each as the largest needs; the first byte says how many."""
+    most = int(values.max()) if len(values) else 0
+    width = next(w for w in (1, 2, 4, 8) if most < 1 << 8 * w)
+    return bytes([width]) + _packed(values.astype(f"<u{width}"))
+
+
+def _unpacked_counts(data: bytes) -> np.ndarray:
+    return _unpacked(data[1:], f"<u{data[0]}").astype(np.int64)
+
+
+def _steps(values: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """How much more each value is than the one before it, or than 0 where a group begins."""
+    before = np.concatenate([np.zeros(1, values.dtype), values[:-1]])
+    before[new] = 0
+    return values - before
+
+
+def _summed(steps: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """The values again."""
+    sums, at = np.cumsum(steps, dtype=np.int64), np.flatnonzero(new)
+    return sums - np.repeat(sums[at] - steps[at], np.diff(at, append=len(steps)))
+
+
 def _hashed(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def _sequence(text: bytes) -> list[bytes]:
@@ -115,15 +144,22 @@ def sampled(docs: DataFrame, shards: int, share: float) -> tuple[list[bytes], li
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+
+        def kept() -> pa.RecordBatch:
+            often = [(list(p), n) for p, n in counts.items() if n > 1 or not p]
+            columns = zip(*often) if often else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.list_(pa.binary()), pa.int64()))], names=["prefix", "n"])
+
         for batch in batches:
             for text in batch.column(0):
                 own = _sequence(text.as_py())
-                counts.update((w,) for w in own)
+                counts.update(zip(own))
                 counts.update(zip(own, own[1:]))
                 counts[()] += len(own)
-        kept = [(list(p), n) for p, n in counts.items() if n > 1 or not p]
-        columns = zip(*kept) if kept else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.list_(pa.binary()), pa.int64()))], names=["prefix", "n"])
+            if len(counts) > SAMPLE_PREFIXES:
+                yield kept()
+                counts.clear()
+        yield kept()
 
     texts = docs.select(text_bytes().alias("text")).where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
     counts = stored(texts.mapInArrow(count, "prefix array<binary>, n bigint").groupBy("prefix").agg(F.sum("n").alias("n")), "prefixes")
@@ -161,9 +197,10 @@ def _portions(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[l
 def _ranked(columns: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """The different columns in order, and which of them each column is."""
     if 3 * bits <= KEY_BITS:
-        key = (columns[0] << 2 * bits) | (columns[1] << bits) | columns[2]
-        order = np.argsort(key, kind="stable")
-        new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+        key = (columns[0].astype(np.int64) << 2 * bits) | (columns[1].astype(np.int64) << bits) | columns[2]
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
     else:
         order = np.lexsort(columns[::-1])
         new = np.concatenate([[True], (columns[:, order[1:]] != columns[:, order[:-1]]).any(axis=0)])
@@ -175,21 +212,14 @@ def _ranked(columns: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
 def _shards_of(rows: np.ndarray, hashes: np.ndarray, shared: Shared) -> np.ndarray:
     """The shard of each suffix."""
     mixed = hashes[rows[0]]
-    place = {h: k for k, h in enumerate(hashes.tolist())} if shared.heavy else {}
-    marks = []
-    for prefix in shared.prefixes:
-        # the rows of a first word, and in them of a pair, are neighbours
-        mark = np.zeros(rows.shape[1], dtype=bool)
-        low, high = 0, rows.shape[1]
-        for line, word in zip(rows, prefix):
-            code = place.get(word, -1)
-            low, high = low + np.searchsorted(line[low:high], code), low + np.searchsorted(line[low:high], code, "right")
-        mark[low:high] = True
-        marks.append(mark)
+    code = lambda word: int(at) if (at := np.searchsorted(hashes, np.uint64(word))) < len(hashes) and hashes[at] == word else -1
     for size in (1, 2):
-        for prefix, mark in zip(shared.prefixes, marks):
-            if len(prefix) == size:
-                mixed[mark] = _mixed(mixed[mark], hashes[rows[size, mark]])
+        for prefix in (p for p in shared.prefixes if len(p) == size):
+            # the rows of a first word, and in them of a pair, are neighbours
+            low, high = 0, rows.shape[1]
+            for line, word in zip(rows, map(code, prefix)):
+                low, high = low + np.searchsorted(line[low:high], word), low + np.searchsorted(line[low:high], word, "right")
+            mixed[low:high] = _mixed(mixed[low:high], hashes[rows[size, low:high]])
     return (_mixed(mixed, np.uint64(7)) % np.uint64(shared.shards)).astype(np.int32)
 
 
@@ -197,54 +227,65 @@ def _blocks(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.Re
     """Per portion a chunk for each shard, and one row (shard -1) with the documents."""
     portion = TaskContext.get().partitionId() << 33
     for ids, held, texts in _portions(batches, shared.portion_bytes):
-        flat, sizes = [], []
+        # words are numbered as they come, and then in the order of their hashes, from 1 on
+        seen: defaultdict[bytes, int] = defaultdict(count().__next__)
+        parts, sizes = [], []
         for text in texts:
             own = _sequence(text)
-            flat += own
+            parts.append(np.fromiter(map(seen.__getitem__, own), np.int32, len(own)))
             sizes.append(len(own))
-        # words are numbered in the order of their hashes, from 1 on
-        known = list(dict.fromkeys(flat))
-        hashes, number = np.unique(_hashed(known), return_inverse=True)
+        del texts
+        hashes, number = np.unique(_hashed(list(seen)), return_inverse=True)
         hashes = np.concatenate([np.zeros(1, dtype=np.uint64), hashes])
-        place = dict(zip(known, (number + 1).tolist()))
-        codes = np.fromiter(map(place.__getitem__, flat), np.int32, len(flat))
-        del flat
-        end = place[END]
-        second = np.append(codes[1:], 0)
+        number = (number + 1).astype(np.int32)
+        codes, end = number[np.concatenate(parts)], number[seen[END]]
+        del seen, parts
+        second = np.append(codes[1:], np.int32(0))
         second[codes == end] = 0
-        third = np.append(second[1:], 0)
+        third = np.append(second[1:], np.int32(0))
         third[(second == 0) | (second == end)] = 0
-        rows, which = _ranked(np.array([codes, second, third if shared.order > 2 else np.zeros_like(third)], dtype=np.int64), len(hashes).bit_length())
+        rows, which = _ranked(np.array([codes, second, third if shared.order > 2 else np.zeros_like(third)]), len(hashes).bit_length())
+        del codes, second, third
         learned = np.repeat(~np.array(held, dtype=bool), sizes)
         train = np.bincount(which[learned], minlength=rows.shape[1])
         shard = _shards_of(rows, hashes, shared)
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(shard.astype(np.int16) if shared.shards < 1 << 15 else shard, kind="stable")
         moved = np.empty(len(order), dtype=np.uint32)
         moved[order] = np.arange(len(order))
         own = {"portion": portion, "shard": -1, "doc_ids": ids, "held": held, "sizes": _packed(np.array(sizes, dtype="<u4"))}
         made = [own | {"dest": xxhash.xxh32_intdigest(str(portion)) % shared.shards, "places": _packed(moved[which])}]
         rows, train, shard = rows[:, order], train[order], shard[order]
+        del which, moved, order
         at = np.searchsorted(shared.common, hashes)
-        listed = np.isin(hashes, shared.common)
+        listed = np.append(shared.common, np.uint64(0))[at] == hashes
         cuts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]]))
         for a, b in zip(cuts, cuts[1:]):
             own = rows[:, a:b]
-            used = np.flatnonzero(np.bincount(own.reshape(-1), minlength=len(hashes)))
-            used = used[used > 0]
-            local = np.zeros(len(hashes), dtype=np.int32)
-            local[used] = np.arange(1, len(used) + 1)
+            used, local = _used(own, len(hashes))
             kind = "<u2" if len(used) < 1 << 16 else "<u4"
             mine = {"dest": int(shard[a]), "portion": portion, "shard": int(shard[a])}
             mine["common"] = _packed(np.diff(at[used[listed[used]]], prepend=0).astype("<u4"))
             mine["words"] = _packed(np.diff(hashes[used[~listed[used]]], prepend=np.uint64(0)))
-            mine["first"] = _packed(np.diff(local[own[0]], prepend=0).astype(kind))
-            mine |= {n: _packed(local[own[k]].astype(kind)) for n, k in (("second", 1), ("third", 2))}
+            starts = np.zeros(b - a, dtype=bool), *group_starts(local)
+            mine |= {n: _packed(_steps(line, new).astype(kind)) for n, line, new in zip(("first", "second", "third"), local, starts)}
             mine["train"] = _packed(train[a:b].astype("<u4"))
             made.append(mine)
         portion += 1
         yield pa.RecordBatch.from_pylist(made, schema=_ROW)
 
 
+def _used(rows: np.ndarray, numbers: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which numbers above 0 the rows have, and the rows with these numbered from 1 on."""
+    if rows.size * 8 < numbers:
+        used, local = np.unique(rows, return_inverse=True)
+        none = int(used[0] == 0)
+        return used[none:], (local + (1 - none)).reshape(rows.shape).astype(np.int32)
+    there = np.zeros(numbers, dtype=bool)
+    there[rows] = True
+    there[0] = False
+    return np.flatnonzero(there), np.cumsum(there, dtype=np.int32)[rows]
+
+
 @dataclass
 class Chunk:
     """A portion's suffixes in a shard, compressed; ``number`` says which numbers its words have in the shard."""
@@ -264,7 +305,10 @@ class Chunk:
         """The suffixes in the shard's numbers, which go by the words' hashes as the chunk's own do."""
         kind = "<u2" if len(self.number) <= 1 << 16 else "<u4"
         first, second, third = (_unpacked(p, kind) for p in self.parts)
-        return self.number[np.array([np.cumsum(first, dtype=np.int64), second, third])]
+        new = np.append(True, first[1:] > 0) if len(first) else np.zeros(0, dtype=bool)
+        first, second = np.cumsum(first, dtype=np.int64), _summed(second, new)
+        new[1:] |= second[1:] != second[:-1]
+        return self.number[np.array([first, second, _summed(third, new)])]
 
 
 def _different(values: np.ndarray) -> np.ndarray:
@@ -272,10 +316,6 @@ def _different(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
-def first_pairs(rows: np.ndarray) -> np.ndarray:
-    return rows[0] << 32 | rows[1]
-
-
 class Union:
     """The different suffixes of a shard's chunks, and how often each occurs in training texts.
 
@@ -300,7 +340,7 @@ class Union:
 
     def merge(self) -> None:
         keys = np.concatenate([self.keys, *self.new])
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         keys, counts = keys[order], np.concatenate([self.counts, *self.weights])[order]
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
         self.keys, self.counts, self.new, self.weights = keys[first], np.add.reduceat(counts, first) if len(first) else counts, [], []
@@ -327,14 +367,9 @@ def _shard_answers(shard: int, chunks: list[Chunk], shared: Shared) -> Iterator[
     for c in chunks:
         union.add(c.rows(), _unpacked(c.train, "<u4").astype(np.int64))
     union.merge()
-    rows, seen = union.rows(), union.counts > 0
-    place = lambda p: tuple(int(np.searchsorted(known, np.uint64(w))) + 1 for w in p)
-    here = {p: n for p, n in zip(shared.prefixes, shared.totals) if np.isin(np.array(p, dtype=np.uint64), known).all()}
-    trie = Trie(rows[:, seen], union.counts[seen], len(known), {place(p): n for p, n in here.items()}, (M2, M3))
-    first, pair = group_starts(rows)
-    count1, back1, seen2, back2, seen3 = trie.answers(rows)
+    count1, count2, count3, first, pair = _union_counts(union, known, shared)
     word, couple = (np.cumsum(x, dtype=np.int32) - 1 for x in (first, pair))
-    del rows, seen, first, pair, trie
+    del first, pair
     for c in chunks:
         own = c.rows()
         first, pair = group_starts(own)
@@ -342,11 +377,30 @@ def _shard_answers(shard: int, chunks: list[Chunk], shared: Shared) -> Iterator[
         one, two = word[at[first]], couple[at[pair]]
         bits = zstandard.compress(np.packbits(np.concatenate([first, pair])).tobytes(), 1)
         values = {"portion": c.portion, "shard": shard, "groups": own.shape[1].to_bytes(8, "little") + bits}
-        made = count1[one], back1[one], seen2[two], back2[two], seen3[at]
-        values |= {n: _packed(x) for n, x in zip(("count1", "back1", "seen2", "back2", "seen3"), made)}
+        made = count1[one], count2[two], count3[at]
+        values |= {n: _packed_counts(x) for n, x in zip(("count1", "count2", "count3"), made)}
         yield pa.RecordBatch.from_pylist([values], schema=_ANSWER)
 
 
+def _union_counts(union: Union, known: np.ndarray, shared: Shared) -> tuple[np.ndarray, ...]:
+    """Counts in training texts by a trie, of the union's different first words, pairs and suffixes, and where the first two begin."""
+    rows, seen = union.rows().astype(np.int32), union.counts > 0
+    # frequent first words and pairs are in several shards: their counts are those of all
+    totals, most = {}, np.append(known, np.uint64(0))
+    for prefix, total in zip(shared.prefixes, shared.totals):
+        words = np.array(prefix, dtype=np.uint64)
+        at = np.searchsorted(known, words)
+        if (most[at] == words).all():
+            totals[tuple((at + 1).tolist())] = total
+    trie = Trie(rows[:, seen], union.counts[seen], len(known), totals, (M2, M3))
+    first, pair = group_starts(rows)
+    # asked in slices that cut no first word, so that the search takes little memory
+    starts = np.flatnonzero(first)
+    cuts = starts[np.unique(np.searchsorted(starts, np.arange(0, rows.shape[1], SLICE)).clip(max=len(starts) - 1))]
+    found = [trie.counts(rows[:, a:b]) for a, b in zip(cuts, np.append(cuts[1:], rows.shape[1]))]
+    return *(np.concatenate(x) for x in zip(*found)), first, pair
+
+
 def _answers(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.RecordBatch]:
     """A task has the chunks of one shard, which make its trie and are then answered, and portions' own rows, passed on."""
     chunks: dict[int, list[Chunk]] = {}
@@ -371,13 +425,13 @@ class Portion:
     places: np.ndarray
     found: list[tuple[np.ndarray, ...]] = field(default_factory=list)
 
-    def add(self, groups: bytes, count1: bytes, back1: bytes, seen2: bytes, back2: bytes, seen3: bytes) -> None:
+    def add(self, groups: bytes, count1: bytes, count2: bytes, count3: bytes) -> None:
         size = int.from_bytes(groups[:8], "little")
         bits = np.unpackbits(np.frombuffer(zstandard.decompress(groups[8:]), np.uint8), count=2 * size)
         first, pair = np.cumsum(bits[:size]) - 1, np.cumsum(bits[size:]) - 1
-        per_word = _unpacked(count1, "<i8")[first], _unpacked(back1, "<u2")[first]
-        per_pair = _unpacked(seen2, "<u2")[pair], _unpacked(back2, "<u2")[pair]
-        self.found.append((*per_word, *per_pair, _unpacked(seen3, "<u2")))
+        one, two, three = map(_unpacked_counts, (count1, count2, count3))
+        steps = node_steps(one, two, three, first[bits[size:] > 0], pair, (M2, M3))
+        self.found.append((one[first], steps[0][first], steps[1][pair], steps[2][pair], steps[3]))
 
     def scores(self, trained: int, words: int, order: int) -> pa.RecordBatch:
         count1, back1, seen2, back2, seen3 = (np.concatenate(x)[self.places] for x in zip(*self.found))
@@ -424,7 +478,7 @@ def _put_together(batches: Iterator[pa.RecordBatch], trained: int, words: int, o
 def _counts(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.RecordBatch]:
     """How many tokens the task's training texts have, and how often each frequent prefix; its different words, by shard."""
     words, tokens, heavy = [], 0, Counter()
-    singles, pairs = ({p for p in shared.heavy if len(p) == n} for n in (1, 2))
+    singles, pairs = {p[0] for p in shared.heavy if len(p) == 1}, {p for p in shared.heavy if len(p) == 2}
 
     def rows() -> list[dict]:
         different = _different(np.concatenate(words)) if words else np.zeros(0, dtype=np.uint64)
@@ -441,17 +495,18 @@ def _counts(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.Re
             tokens += len(own) - 1
             seen.update(own)
             if singles:
-                heavy.update((w,) for w in own if (w,) in singles)
+                heavy.update(filter(singles.__contains__, own))
             if pairs:
-                heavy.update(p for p in zip(own, own[1:]) if p in pairs)
+                heavy.update(filter(pairs.__contains__, zip(own, own[1:])))
         words.append(_different(_hashed(list(seen - {START}))))
         if sum(map(len, words)) > 1 << 20:
             words = [_different(np.concatenate(words))]
             if len(words[0]) > 1 << 19:
                 yield pa.RecordBatch.from_pylist(rows(), schema=_COUNT)
                 words = []
-    own = {"dest": -1, "tokens": tokens, "heavy": [k for k, p in enumerate(shared.heavy) if heavy[p]]}
-    yield pa.RecordBatch.from_pylist([own | {"heavy_n": [heavy[shared.heavy[k]] for k in own["heavy"]]}, *rows()], schema=_COUNT)
+    found = [heavy[p if len(p) > 1 else p[0]] for p in shared.heavy]
+    own = {"dest": -1, "tokens": tokens, "heavy": [k for k, n in enumerate(found) if n], "heavy_n": [n for n in found if n]}
+    yield pa.RecordBatch.from_pylist([own, *rows()], schema=_COUNT)
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,8 +3,8 @@
 Level one has the words, level two the words that follow each of them, level three those that follow each pair. A level is
 a rising sequence of (parent's place, word), and a rising sequence of pointers says where each parent's children begin.
 A value is split into 16 low bits, stored as they are, and high bits in unary, packed, with a count of the ones before
-every 64 bits; so nothing is unpacked to be searched. Every node has the quantised logarithm of its smoothed probability, and of
-what its own children leave to the shorter context: steps of 1 / ``STEPS`` of a power of ten.
+every 64 bits; so nothing is unpacked to be searched. Every node has its count. From these follow the quantised logarithm of
+its smoothed probability, and of what its own children leave to the shorter context: steps of 1 / ``STEPS`` of a power of ten.
 
 The smoothing gives a context of count c the weight c / (c + m), m being fixed for its length.
 """
@@ -35,6 +35,21 @@ def quantised(share: np.ndarray) -> np.ndarray:
     return np.minimum(np.rint(-np.log10(share) * STEPS), NONE - 1).astype(np.uint16)
 
 
+def node_steps(
+    count1: np.ndarray, count2: np.ndarray, count3: np.ndarray, parent2: np.ndarray, parent3: np.ndarray, weights: tuple[float, float]
+) -> tuple[np.ndarray, ...]:
+    """What words leave, pairs' probabilities, what pairs leave, and triples' probabilities, from the counts; a step each,
+    ``NONE`` for a probability without a count. ``parent2`` and ``parent3`` say of which word, or pair, one is."""
+    small, large = weights
+    made = []
+    for counts, own, weight in ((count2, count1[parent2], small), (count3, count2[parent3], large)):
+        steps = np.full(len(counts), NONE, dtype=np.uint16)
+        known = np.flatnonzero(counts > 0)
+        steps[known] = quantised(counts[known] / (own[known] + weight))
+        made.append(steps)
+    return quantised(small / (count1 + small)), made[0], quantised(large / (count2 + large)), made[1]
+
+
 class Arena:
     """Arrays one behind the other in an anonymous memory map."""
 
@@ -114,11 +129,16 @@ def group_starts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, pair
 
 
+def first_pairs(rows: np.ndarray) -> np.ndarray:
+    """The first two words of each row as one number."""
+    return rows[0].astype(np.int64) << 32 | rows[1]
+
+
 class Trie:
     """The n-grams of ``rows``: three lines of word numbers from 1 on, in order and different, 0 where a text has ended.
 
     ``counts`` says how often each occurs. ``totals`` gives the counts of words, and of pairs, of which other tries have
-    a part: they take the place of the sums found here.
+    a part, or all: they take the place of the sums found here.
     """
 
     def __init__(self, rows: np.ndarray, counts: np.ndarray, vocabulary: int, totals: dict[tuple[int, ...], int], weights: tuple[float, float]) -> None:
@@ -132,40 +152,48 @@ class Trie:
         count2 = sums(np.flatnonzero(pair))[rows[1, pair] > 0] if rows.shape[1] else sums(two)
         parent2 = (np.cumsum(first) - 1)[two]
         parent3 = (np.cumsum(pair & (rows[1] > 0)) - 1)[three]
-        for prefix, total in totals.items():
-            if len(prefix) == 1:
-                count1[rows[0, one] == prefix[0]] = total
-            else:
-                count2[(rows[0, two] == prefix[0]) & (rows[1, two] == prefix[1])] = total
-        arrays = {"count1": count1}
-        levels = [(rows[0, one], self.wide), (parent2 * self.wide + rows[1, two], max(1, len(one)) * self.wide)]
-        levels.append((parent3 * self.wide + rows[2, three], max(1, len(two)) * self.wide))
-        levels += [(np.searchsorted(p, np.arange(n + 1)), len(p) + 1) for p, n in ((parent2, len(one)), (parent3, len(two)))]
-        for k, (values, universe) in enumerate(levels):
+        arrays = {"count1": _narrow(count1), "count2": _narrow(count2), "count3": _narrow(counts[three])}
+        # one level at a time is made, so that one is held unpacked
+        levels = [
+            lambda: (rows[0, one], self.wide),
+            lambda: (parent2 * self.wide + rows[1, two], max(1, len(one)) * self.wide),
+            lambda: (parent3 * self.wide + rows[2, three], max(1, len(two)) * self.wide),
+            lambda: (np.searchsorted(parent2, np.arange(len(one) + 1)), len(two) + 1),
+            lambda: (np.searchsorted(parent3, np.arange(len(two) + 1)), len(three) + 1),
+        ]
+        for k, level in enumerate(levels):
+            values, universe = level()
             arrays |= {f"{k}{name}": a for name, a in elias_fano(values.astype(np.int64), universe).items()}
-        small, large = weights
-        arrays |= {
-            "back1": quantised(small / (count1 + small)),
-            "seen2": quantised(count2 / (count1[parent2] + small)),
-            "back2": quantised(large / (count2 + large)),
-            "seen3": quantised(counts[three] / (count2[parent3] + large)),
-        }
+        self.weights = weights
+        self.totals = [sorted((first_pairs(np.array(p)) if len(p) > 1 else p[0], n) for p, n in totals.items() if len(p) == k) for k in (1, 2)]
         self.held = Arena(arrays).arrays
         parts = [Rising(*(self.held[f"{k}{name}"] for name in ("lows", "bits", "ones"))) for k in range(5)]
         self.words, self.pairs, self.triples, self.below1, self.below2 = parts
 
-    def answers(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For rows like those of the trie: per first word its count and what it leaves, per pair its probability and
-        what it leaves, and per row its probability; a step each, ``NONE`` for an n-gram that does not occur."""
+    def counts(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For rows like those of the trie: the count of each first word, of each pair and of each row, 0 for an n-gram that does not occur."""
         first, pair = group_starts(rows)
         one = np.flatnonzero(first)
         node = self.words.find(rows[0, one], np.zeros(len(one), dtype=np.int64), np.full(len(one), len(self.held["count1"])))
-        count1, back1 = _taken(self.held["count1"], node, 0), _taken(self.held["back1"], node, 0)
+        count1 = _taken(self.held["count1"], node)
         two = np.flatnonzero(pair)
         child = self._children(self.pairs, self.below1, node[(np.cumsum(first) - 1)[two]], rows[1, two])
-        seen2, back2 = _taken(self.held["seen2"], child, NONE), _taken(self.held["back2"], child, 0)
+        count2 = _taken(self.held["count2"], child)
         leaf = self._children(self.triples, self.below2, child[np.cumsum(pair) - 1], rows[2])
-        return count1, back1, seen2, back2, _taken(self.held["seen3"], leaf, NONE)
+        for counts, own, totals in ((count1, rows[0, one], self.totals[0]), (count2, first_pairs(rows[:, two]), self.totals[1])):
+            if totals and len(own):
+                wanted, total = np.array(totals, dtype=np.int64).T
+                at = np.minimum(np.searchsorted(own, wanted), len(own) - 1)
+                there = own[at] == wanted
+                counts[at[there]] = total[there]
+        return count1, count2, _taken(self.held["count3"], leaf)
+
+    def answers(self, rows: np.ndarray) -> tuple[np.ndarray, ...]:
+        """For rows like those of the trie: per first word its count and what it leaves, per pair its probability and
+        what it leaves, and per row its probability; a step each, ``NONE`` for an n-gram that does not occur."""
+        first, pair = group_starts(rows)
+        count1, count2, count3 = self.counts(rows)
+        return count1, *node_steps(count1, count2, count3, (np.cumsum(first) - 1)[pair], np.cumsum(pair) - 1, self.weights)
 
     def _children(self, level: Rising, below: Rising, parent: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The places of words among their parents' children, -1 for none; ``parent`` does not fall where it is known."""
@@ -180,8 +208,12 @@ class Trie:
         return out
 
 
-def _taken(values: np.ndarray, places: np.ndarray, missing: int) -> np.ndarray:
-    out = np.full(len(places), missing, dtype=values.dtype)
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    return counts.astype(np.uint32) if len(counts) == 0 or counts.max() < 1 << 32 else counts
+
+
+def _taken(values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(places), dtype=np.int64)
     known = places >= 0
     out[known] = values[places[known]]
     return out

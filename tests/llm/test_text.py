@@ -1,11 +1,14 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -521,6 +524,52 @@ def test_suffixes_of_shards_with_millions_of_words(monkeypatch):
         assert (different == want).all() and (different[:, place] == rows).all()
 
 
+def blocks_of(monkeypatch, texts, held, shared):
+    monkeypatch.setattr(lm, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    docs = [pa.array(range(len(texts)), pa.int64()), pa.array(held, pa.bool_()), pa.array(texts, pa.binary())]
+    batches = iter([pa.RecordBatch.from_arrays(docs, names=["doc_id", "held", "text"])])
+    rows = [r for b in lm._blocks(batches, shared) for r in b.to_pylist()]
+    return [lm.Chunk(r["portion"], r["common"], r["words"], (r["first"], r["second"], r["third"]), r["train"]) for r in rows if r["shard"] >= 0]
+
+
+def test_portions_and_shards_take_little_memory_and_send_few_bytes(monkeypatch):
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{n}" for n in draw.integers(0, 30_000, 500) ** 2 // 30_000).encode() for _ in range(300)]
+    common = np.unique(lm._hashed([b"w%d" % n for n in range(30_000)]))
+    shared = lm.Shared(1, 1 << 30, 3, common, [])
+    tracemalloc.start()
+    try:
+        chunks = blocks_of(monkeypatch, texts, [False] * 300, shared)
+        taken = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    suffixes = sum(len(lm._unpacked(c.train, "<u4")) for c in chunks)
+    (answer,) = [r for b in lm._shard_answers(0, chunks, shared) for r in b.to_pylist()]
+    # 288 and 0.66 bytes when a portion kept each word as an object and probabilities were sent
+    assert taken < 250 * suffixes
+    assert sum(len(v) for v in answer.values() if isinstance(v, bytes)) < 0.3 * suffixes
+
+
+def test_frequent_words_of_shards_without_training_rows(monkeypatch):
+    # the shard's only suffix of a frequent word is held out; the other shards have learned the word
+    shared = lm.Shared(1, 1 << 20, 3, np.zeros(0, np.uint64), [(b"the",), (b"the", b"cat")], [900, 40])
+    (chunk,) = blocks_of(monkeypatch, [b"the cat", b"a dog"], [True, False], shared)
+    (answer,) = [r for b in lm._shard_answers(0, [chunk], shared) for r in b.to_pylist()]
+    found = lm.Portion([], [], np.zeros(0), np.zeros(0))
+    found.add(*(answer[n] for n in lm._ANSWER.names[6:]))
+    assert 900 in found.found[0][0]
+
+
+def test_steps_of_groups():
+    values, new = np.array([5, 2, 2, 9, 9, 1]), np.array([1, 1, 0, 0, 1, 1], dtype=bool)
+    steps = lm._steps(values, new)
+    assert steps.tolist() == [5, 2, 0, 7, 9, 1] and lm._summed(steps, new).tolist() == values.tolist()
+    assert lm._steps(values[1:4], np.zeros(3, dtype=bool)).tolist() == [2, 0, 7]
+    for most in (0, 255, 256, 1 << 16, 1 << 33):
+        counts = np.array([0, 1, most])
+        assert lm._unpacked_counts(lm._packed_counts(counts)).tolist() == counts.tolist()
+
+
 def test_frequent_prefixes_are_dealt_over_shards(spark):
     docs = spark.createDataFrame([(k, "so it goes " * 50 + f"w{k}") for k in range(40)], "doc_id bigint, text string")
     common, found = lm.sampled(docs, 8, 1.0)
