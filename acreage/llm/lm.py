@@ -10,7 +10,7 @@ suffixes, and sends these, with their counts, to shards: a chunk per shard. A sh
 words. It merges its chunks into a trie and answers each chunk with the trie's counts; the answers go back to the portion, where
 three neighbouring suffixes make up a token's probability. Nothing is written in between but Spark's own shuffles.
 
-A first pass counts tokens and different words. A sample gives the most frequent words, which are sent by a short number, and
+A first pass counts tokens and different words. The words that most portions have are sent by a short number. A sample gives
 first words (or pairs of words) so frequent that they are dealt over the shards by the next word; the first pass counts
 these exactly. What the sample finds does not change any result.
 
@@ -53,8 +53,8 @@ SAMPLE_PREFIXES = 1 << 19
 SLICE = 1 << 18
 # Bits of a number that may hold three words.
 KEY_BITS = 63
-# Words that have a number for all tasks.
-COMMON = 1 << 17
+# Words that have a number for all tasks: about how many there are, and how many of them a sample may give.
+COMMON, SAMPLE_COMMON = 1 << 18, 1 << 14
 # About how many bytes a token has, to turn sizes of texts into numbers of tokens.
 TOKEN_BYTES = 6
 # Not words, as these have no white space: the start and the end of a text.
@@ -68,7 +68,7 @@ ANSWER = (
     "portion bigint, shard int, doc_ids array<bigint>, held array<boolean>, sizes binary, places binary, "
     "groups binary, count1 binary, count2 binary, count3 binary"
 )
-COUNT = "dest int, hashes binary, tokens bigint, heavy array<int>, heavy_n array<bigint>"
+COUNT = "dest int, hashes binary, portions binary, tokens bigint, heavy array<int>, heavy_n array<bigint>"
 _KINDS = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_()), "array<int>": pa.list_(pa.int32())}
 
 
@@ -165,7 +165,7 @@ def sampled(docs: DataFrame, shards: int, share: float) -> tuple[list[bytes], li
     counts = stored(texts.mapInArrow(count, "prefix array<binary>, n bigint").groupBy("prefix").agg(F.sum("n").alias("n")), "prefixes")
     total = counts.where(F.size("prefix") == 0).agg(F.sum("n")).first()[0] or 0
     words = counts.where((F.size("prefix") == 1) & (F.octet_length(F.col("prefix")[0]) < 256))
-    common = words.orderBy(F.desc("n"), "prefix").limit(COMMON).select(F.col("prefix")[0].alias("w")).collect()
+    common = words.orderBy(F.desc("n"), "prefix").limit(SAMPLE_COMMON).select(F.col("prefix")[0].alias("w")).collect()
     # at most two prefixes per this part of all suffixes
     least = max(8.0, total * HEAVY / shards)
     rows = counts.where((F.size("prefix") > 0) & (F.col("n") >= least)).collect() if shards > 1 else []
@@ -481,12 +481,12 @@ def _counts(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.Re
     singles, pairs = {p[0] for p in shared.heavy if len(p) == 1}, {p for p in shared.heavy if len(p) == 2}
 
     def rows() -> list[dict]:
-        different = _different(np.concatenate(words)) if words else np.zeros(0, dtype=np.uint64)
+        different, portions = _tallied(words)
         dest = (_mixed(different, np.uint64(7)) % np.uint64(shared.shards)).astype(np.int64)
         order = np.argsort(dest, kind="stable")
         cuts = np.searchsorted(dest[order], np.arange(shared.shards + 1))
-        parts = ((k, different[order[a:b]]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b)
-        return [{"dest": k, "hashes": _packed(np.diff(own, prepend=np.uint64(0)))} for k, own in parts]
+        parts = ((k, order[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b)
+        return [{"dest": k, "hashes": _packed(np.diff(different[own], prepend=np.uint64(0))), "portions": _packed_counts(portions[own])} for k, own in parts]
 
     for _, held, texts in _portions(batches, shared.portion_bytes):
         seen: set[bytes] = set()
@@ -498,10 +498,11 @@ def _counts(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.Re
                 heavy.update(filter(singles.__contains__, own))
             if pairs:
                 heavy.update(filter(pairs.__contains__, zip(own, own[1:])))
-        words.append(_different(_hashed(list(seen - {START}))))
-        if sum(map(len, words)) > 1 << 20:
-            words = [_different(np.concatenate(words))]
-            if len(words[0]) > 1 << 19:
+        own = _different(_hashed(list(seen - {START})))
+        words.append((own, np.ones(len(own), dtype=np.int64)))
+        if sum(len(own) for own, _ in words) > 1 << 20:
+            words = [_tallied(words)]
+            if len(words[0][0]) > 1 << 19:
                 yield pa.RecordBatch.from_pylist(rows(), schema=_COUNT)
                 words = []
     found = [heavy[p if len(p) > 1 else p[0]] for p in shared.heavy]
@@ -509,17 +510,31 @@ def _counts(batches: Iterator[pa.RecordBatch], shared: Shared) -> Iterator[pa.Re
     yield pa.RecordBatch.from_pylist([own, *rows()], schema=_COUNT)
 
 
-def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many different words the task's shards have."""
-    words: dict[int, list[np.ndarray]] = {}
+def _tallied(words: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The different hashes, and the sums of their numbers."""
+    hashes, numbers = (np.concatenate(x) for x in zip(*words)) if words else (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    new = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, dtype=np.int64)
+    return hashes[new], np.add.reduceat(numbers[order], new) if len(new) else numbers
+
+
+def _distinct_words(batches: Iterator[pa.RecordBatch], wanted: int) -> Iterator[pa.RecordBatch]:
+    """How many different words the task's shards have, and of each shard the ``wanted`` words that most portions have."""
+    words: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
-        for shard, hashes in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for shard, hashes, portions in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
             own = words.setdefault(shard, [])
-            own.append(np.cumsum(_unpacked(hashes.as_py(), "<u8"), dtype=np.uint64))
+            own.append((np.cumsum(_unpacked(hashes.as_py(), "<u8"), dtype=np.uint64), _unpacked_counts(portions.as_py())))
             if len(own) >= 64:
-                words[shard] = [_different(np.concatenate(own))]
-    total = sum(len(_different(np.concatenate(own))) for own in words.values())
-    yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], names=["n"])
+                words[shard] = [_tallied(own)]
+    total, often = 0, [np.zeros(0, dtype=np.uint64)]
+    for own in words.values():
+        hashes, portions = _tallied(own)
+        total += len(hashes)
+        several = np.flatnonzero(portions > 1)
+        often.append(hashes[several[np.argsort(-portions[several], kind="stable")[:wanted]]])
+    yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64()), pa.array([np.concatenate(often).tobytes()], pa.binary())], names=["n", "often"])
 
 
 def scores(docs: DataFrame, held: Column, order: int = 3, shard_tokens: int = SHARD_TOKENS, portion_bytes: int = PORTION_BYTES) -> DataFrame:
@@ -547,8 +562,10 @@ def scores(docs: DataFrame, held: Column, order: int = 3, shard_tokens: int = SH
     pairs = counts.where("dest < 0").select(F.explode(F.arrays_zip("heavy", "heavy_n")).alias("h"))
     sums = {r["k"]: r["n"] for r in pairs.groupBy(F.col("h.heavy").alias("k")).agg(F.sum("h.heavy_n").alias("n")).collect()}
     shared.totals = [sums.get(k, 0) for k in range(len(shared.heavy))]
-    words = counts.where("dest >= 0").select("dest", "hashes").repartitionById(shards, F.col("dest"))
-    words = words.mapInArrow(_distinct_words, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = counts.where("dest >= 0").select("dest", "hashes", "portions").repartitionById(shards, F.col("dest"))
+    found = found.mapInArrow(lambda batches: _distinct_words(batches, -(-COMMON // shards)), "n bigint, often binary").collect()
+    words = sum(r["n"] for r in found)
+    shared.common = _different(np.concatenate([shared.common, *(np.frombuffer(r["often"], np.uint64) for r in found)]))
 
     counted = spark.sparkContext.broadcast(shared)
     chunks = rows.mapInArrow(lambda batches: _blocks(batches, counted.value), ROW).repartitionById(shards, F.col("dest"))

@@ -560,6 +560,16 @@ def test_frequent_words_of_shards_without_training_rows(monkeypatch):
     assert 900 in found.found[0][0]
 
 
+def test_words_that_most_portions_have():
+    parts = [([10, 20, 30], [5, 1, 2]), ([20, 30, 90], [1, 1, 1])]
+    made = [{"dest": 0, "hashes": lm._packed(np.diff(np.array(h, np.uint64), prepend=np.uint64(0))), "portions": lm._packed_counts(np.array(n))} for h, n in parts]
+    for wanted, want in ((2, {10, 30}), (9, {10, 20, 30})):
+        (row,) = [r for b in lm._distinct_words(iter([pa.RecordBatch.from_pylist(made).select(["dest", "hashes", "portions"])]), wanted) for r in b.to_pylist()]
+        assert row["n"] == 4 and set(np.frombuffer(row["often"], np.uint64).tolist()) == want
+    (row,) = [r for b in lm._distinct_words(iter([]), 2) for r in b.to_pylist()]
+    assert row == {"n": 0, "often": b""}
+
+
 def test_steps_of_groups():
     values, new = np.array([5, 2, 2, 9, 9, 1]), np.array([1, 1, 0, 0, 1, 1], dtype=bool)
     steps = lm._steps(values, new)
